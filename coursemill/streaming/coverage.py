@@ -1,0 +1,93 @@
+"""Video coverage across micro-batches, the one job that needs state of its own."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from coursemill.functions.scalars import seconds_between
+from coursemill.operators.playback import VIDEO
+from coursemill.streaming.sinks import append_commits, start
+
+RANGE = [*VIDEO, "ps", "pe"]
+RANGE_SCHEMA = ("userid bigint, cwareid bigint, videoid string, ps bigint, pe bigint, secs_all bigint, "
+                "event_id bigint, secs bigint")
+OUT_SCHEMA = ("userid bigint, cwareid bigint, videoid string, play_interval string, totaltime bigint, "
+              "effecttime bigint, completetime bigint")
+STATE_SCHEMA = "starts array<bigint>, ends array<bigint>, totaltime bigint, effecttime bigint, completetime bigint"
+
+
+def fold_ranges(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One row per different range: all its seconds and its first play."""
+    pdf = pdf.sort_values("event_id", kind="stable")
+    return pdf.groupby(RANGE, as_index=False, sort=False, dropna=False).agg(
+        secs_all=("secs_all", "sum"), event_id=("event_id", "first"), secs=("secs", "first"))
+
+
+def _fold_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        if len(pdf):
+            yield fold_ranges(pdf)
+
+
+def add_range(starts: list[int], ends: list[int], s: int, e: int) -> tuple[list[int], list[int], int]:
+    """Put ``s``-``e`` into sorted disjoint ranges; also returns the seconds it adds.
+
+    Ranges that overlap or touch the new one form one run of the sorted lists,
+    found by two binary searches.
+    """
+    lo = int(np.searchsorted(ends, s, side="left"))
+    hi = int(np.searchsorted(starts, e, side="right"))
+    covered = sum(max(0, min(e, b) - max(s, a)) for a, b in zip(starts[lo:hi], ends[lo:hi]))
+    if lo < hi:
+        s_all, e_all = min(s, starts[lo]), max(e, ends[hi - 1])
+    else:
+        s_all, e_all = s, e
+    return starts[:lo] + [s_all] + starts[hi:], ends[:lo] + [e_all] + ends[hi:], max(0, e - s) - covered
+
+
+def _update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    if state.exists:
+        starts, ends, total, effective, complete = state.get
+        starts, ends = list(starts), list(ends)
+    else:
+        starts, ends, total, effective, complete = [], [], 0, 0, 0
+    rows = None
+    for pdf in batches:  # folded as it arrives: never more than the different ranges of one video
+        rows = fold_ranges(pdf if rows is None else pd.concat([rows, pdf], ignore_index=True))
+    for r in rows.sort_values(["ps", "pe"]).itertuples(index=False):
+        starts, ends, fresh = add_range(starts, ends, int(r.ps), int(r.pe))
+        length = int(r.pe) - int(r.ps)
+        total += int(r.secs_all)
+        complete += fresh
+        effective += int(np.floor(float(r.secs) / length * fresh)) if length > 0 else 0
+    state.update((starts, ends, total, effective, complete))
+    text = ",".join(f"{a}-{b}" for a, b in zip(starts, ends))
+    yield pd.DataFrame([(*key, text, total, effective, complete)],
+                       columns=[*VIDEO, "play_interval", "totaltime", "effecttime", "completetime"])
+
+
+def video_state(learn: DataFrame) -> DataFrame:
+    """Running ranges and seconds of each video and viewer, one row per changed key and batch.
+
+    Plays of the same range are folded inside each task before the shuffle, so
+    a much-repeated video costs its ranges and not its plays.
+    """
+    rows = learn.select(
+        F.col("userid").cast("bigint"), F.col("cwareid").cast("bigint"), F.col("videoid").cast("string"),
+        F.col("ps").cast("bigint"), F.col("pe").cast("bigint"),
+        seconds_between(F.col("ts"), F.col("te")).alias("secs_all"), F.col("event_id").cast("bigint"),
+        seconds_between(F.col("ts"), F.col("te")).alias("secs"))
+    folded = rows.mapInPandas(_fold_partition, RANGE_SCHEMA)
+    return folded.groupBy(*VIDEO).applyInPandasWithState(
+        _update, OUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+
+
+def run_play_coverage(learn: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    return start(video_state(learn), checkpoint, append_commits(out))
