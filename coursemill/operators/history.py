@@ -9,20 +9,34 @@ from pyspark.sql.window import Window
 from coursemill.functions.scalars import OPEN_END, dt_to_date
 from coursemill.operators.joins import rename_drop
 from coursemill.operators.member import MONEY
+from coursemill.sources.tables import partition_filter
 
 HISTORY = ["uid", "paymoney", "vip_level", "start_time", "end_time", "dn"]
 
 
-def daily_payment_delta(payment: DataFrame, vip: DataFrame, dt: str) -> DataFrame:
-    """Per member: what was paid on a day and the best vip level, as an open row."""
-    return (payment.where(F.col("dt") == F.lit(dt)).join(rename_drop(vip, drops=["dt"]), ["vip_id", "dn"], "inner")
-            .groupBy("uid", "dn")
+def daily_payment_delta(payment: DataFrame, vip: DataFrame, dt: str | None = None) -> DataFrame:
+    """Per member and day: what was paid and the best vip level, as an open row.
+
+    ``dt`` picks one day; without it every day comes out.
+    """
+    paid = partition_filter(payment, dt).join(rename_drop(vip, drops=["dt"]), ["vip_id", "dn"], "inner")
+    return (paid.groupBy("uid", "dn", "dt")
             .agg(F.sum(F.col("paymoney").cast("decimal(10,4)")).cast(MONEY).alias("paymoney"),
                  F.max("vip_level").alias("vip_level"))
-            .withColumns({"start_time": dt_to_date(F.lit(dt)), "end_time": F.lit(OPEN_END)})
+            .withColumns({"start_time": dt_to_date(F.col("dt")), "end_time": F.lit(OPEN_END)})
             .select(*HISTORY))
 
 
+def build_history(days: DataFrame) -> DataFrame:
+    """The whole history out of one open row per member and day."""
+    key = Window.partitionBy("uid", "dn").orderBy("start_time")
+    paid = F.sum(F.coalesce(F.col("paymoney").cast(MONEY), F.lit(0).cast(MONEY))).over(
+        key.rowsBetween(Window.unboundedPreceding, 0))
+    end = F.coalesce(F.lead("start_time").over(key), F.lit(OPEN_END))
+    return days.select("uid", paid.cast(MONEY).alias("paymoney"), "vip_level", "start_time",
+                       end.alias("end_time"), "dn")
+
+
 def union_history(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
@@ -45,7 +59,7 @@ def scd2_merge(history: DataFrame, delta: DataFrame, day: str) -> DataFrame:
 
     key = Window.partitionBy("uid", "dn")
     zero = F.lit(0).cast(MONEY)
-    money = F.col("paymoney").cast(MONEY)
+    money = F.coalesce(F.col("paymoney").cast(MONEY), zero)
     start, new = F.col("start_time"), F.col("_new")
     before = F.max(F.when(~new & (start < day), money)).over(key)
     replaced = F.max(F.when(~new & (start == day), money)).over(key)
@@ -61,4 +75,4 @@ def scd2_merge(history: DataFrame, delta: DataFrame, day: str) -> DataFrame:
     end = F.coalesce(F.lead("start_time").over(key.orderBy("start_time")), F.lit(OPEN_END))
     changed = rows.select("uid", paid.cast(MONEY).alias("paymoney"), "vip_level", "start_time",
                           end.alias("end_time"), "dn")
-    return union_history(changed, settled.withColumn("paymoney", money))
+    return union_history(changed, settled.withColumn("paymoney", F.col("paymoney").cast(MONEY)))

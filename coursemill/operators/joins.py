@@ -22,7 +22,7 @@ def rename_drop(df: DataFrame, renames: dict[str, str] | None = None, drops: lis
 
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's own estimate of a frame's size; huge where it knows nothing."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def _row_salt(df: DataFrame, n: int, cols: list[str] | None) -> F.Column:

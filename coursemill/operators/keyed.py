@@ -78,9 +78,13 @@ def _slot(keys: list[str], parts: int) -> Column:
 
 
 def keyed_create(spark: SparkSession, path: str, schema: StructType) -> None:
-    """An empty keyed table."""
-    full = StructType(list(schema.fields) + [StructField(BATCH, LongType()), StructField(SLOT, IntegerType())])
-    replace_table(spark.createDataFrame([], full).drop(SLOT), path)
+    """An empty keyed table: its first slot, without rows."""
+    _clear_slot(spark, path, schema, 0)
+
+
+def _clear_slot(spark: SparkSession, path: str, schema: StructType, slot: int) -> None:
+    empty = StructType(list(schema.fields) + [StructField(BATCH, LongType())])
+    replace_table(spark.createDataFrame([], empty), f"{path}/{SLOT}={slot}")
 
 
 def keyed_exists(spark: SparkSession, path: str) -> bool:
@@ -109,16 +113,15 @@ def _apply(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], par
     old = _stored(spark, path, schema).where(F.col(SLOT).isin(touched))
     new = change(old.drop(SLOT), rows.drop(SLOT)).withColumn(SLOT, _slot(keys, parts))
     # The new content is complete on shared storage before a stored slot is
-    # replaced, so a failed attempt leaves the old rows in place. A slot that
-    # became empty is overwritten by nothing, hence a marker-free rewrite below.
+    # replaced, so a failed attempt leaves the old rows in place.
     stage = scratch_dir(spark, "keyed")
     replace_table(new, stage)
     staged = spark.read.schema(new.schema).parquet(stage)
     write_overwrite(staged.repartition(F.col(SLOT)), path, [SLOT])
+    # A slot that lost its last row has no new rows to be overwritten with.
     left = {r[0] for r in staged.select(SLOT).distinct().collect()}
     for slot in set(touched) - left:
-        empty = spark.createDataFrame([], StructType([f for f in new.schema.fields if f.name != SLOT]))
-        replace_table(empty, f"{path}/{SLOT}={slot}")
+        _clear_slot(spark, path, schema, slot)
 
 
 def apply_insert(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], schema: StructType,

@@ -155,7 +155,7 @@ def pages(events: DataFrame) -> DataFrame:
     page = (F.when(kind == "view", 1).when(kind == "click", 2).when(kind == "purchase", 3)
             .when(kind == "signup", 4).otherwise(5))
     k = F.get_json_object("props", "$.k").cast("int")
-    num = (F.col("event_id") % 1000003 * 4099) % 4294967296
+    num = (F.col("event_id") % 1000003 * 2654435) % 4294967296
     octets = [F.shiftright(num, s) % 256 for s in (24, 16, 8, 0)]
     return events.select(
         text("user_id").alias("uid"), text(k % 6).alias("last_page_id"), text(page).alias("page_id"),
@@ -243,7 +243,7 @@ CTE = {
         SELECT CAST(CAST(json_extract(props, '$.k') AS INTEGER) % 6 AS VARCHAR) AS last_page_id,
                CASE event_type WHEN 'view' THEN '1' WHEN 'click' THEN '2' WHEN 'purchase' THEN '3'
                     WHEN 'signup' THEN '4' ELSE '5' END AS page_id,
-               CAST(event_id % 6 AS VARCHAR) AS next_page_id, ((event_id % 1000003) * 4099) % 4294967296 AS num
+               CAST(event_id % 6 AS VARCHAR) AS next_page_id, ((event_id % 1000003) * 2654435) % 4294967296 AS num
         FROM events""",
 }
 

@@ -1,2 +1,136 @@
-QUERIES = {}
-SQL = {}
+"""Streaming jobs: the events table as a stream, run until it is used up, and the result read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
+
+from coursemill.operators import mastery as K
+from coursemill.operators import pages as P
+from coursemill.operators.keyed import read_keyed
+from coursemill.operators.playback import PLAY_TIMES
+from coursemill.registry import inputs as I
+from coursemill.registry.pages import FUNNEL_SQL, REGION_SQL
+from coursemill.registry.playback import INTERVALS_SQL, MASTERY_SQL
+from coursemill.session import scratch_dir
+from coursemill.streaming import coverage, jobs
+from coursemill.streaming.sinks import read_state
+
+
+def _finish(query: StreamingQuery) -> None:
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+
+
+def stream_running_count(spark: SparkSession, sf: str) -> DataFrame:
+    base = scratch_dir(spark, "running")
+    _finish(jobs.run_running_counts(I.event_stream(spark, sf), "event_type", f"{base}/out", f"{base}/cp"))
+    schema = jobs.running_counts(I.events(spark, sf), "event_type").schema
+    return read_state(spark, f"{base}/out", ["event_type"], schema)
+
+
+def _timed(events: DataFrame) -> DataFrame:
+    return events.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def stream_sliding_window(spark: SparkSession, sf: str) -> DataFrame:
+    base = scratch_dir(spark, "windows")
+    _finish(jobs.run_window_counts(_timed(I.event_stream(spark, sf)), "ts", "event_type", f"{base}/out", f"{base}/cp"))
+    schema = jobs.window_counts(_timed(I.events(spark, sf)), "ts", "event_type").schema
+    rows = read_state(spark, f"{base}/out", ["window_start", "event_type"], schema)
+    at = [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("window_start", "window_end")]
+    return rows.select(*at, "event_type", "num")
+
+
+def stream_play_totals(spark: SparkSession, sf: str) -> DataFrame:
+    base = scratch_dir(spark, "totals")
+    _finish(jobs.run_play_totals(I.learn(I.event_stream(spark, sf)), f"{base}/out", f"{base}/cp"))
+    schema = jobs.play_time_all(I.learn(I.events(spark, sf))).schema
+    return read_state(spark, f"{base}/out", ["dimension", "id"], schema)
+
+
+def stream_play_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    base = scratch_dir(spark, "coverage")
+    _finish(coverage.run_play_coverage(I.learn(I.event_stream(spark, sf)), f"{base}/out", f"{base}/cp"))
+    schema = StructType.fromDDL(coverage.OUT_SCHEMA)
+    return read_state(spark, f"{base}/out", coverage.VIDEO, schema).select(
+        *coverage.VIDEO, "play_interval", "totaltime", "completetime")
+
+
+def stream_point_mastery(spark: SparkSession, sf: str) -> DataFrame:
+    base = scratch_dir(spark, "mastery")
+    _finish(jobs.run_point_mastery(I.answers(I.event_stream(spark, sf)), f"{base}/out", f"{base}/cp"))
+    schema = K.answer_counts(I.answers(I.events(spark, sf))).schema
+    return K.mastery_from_counts(read_state(spark, f"{base}/out", jobs.ANSWER_KEYS, schema))
+
+
+def stream_page_funnel(spark: SparkSession, sf: str) -> DataFrame:
+    base = scratch_dir(spark, "funnel")
+    _finish(jobs.run_page_transitions(I.pages(I.event_stream(spark, sf)), f"{base}/out", f"{base}/cp"))
+    schema = P.page_transition_count(I.pages(I.events(spark, sf))).schema
+    return P.page_funnel(P.page_visit_total(read_state(spark, f"{base}/out", P.TRIPLE, schema)))
+
+
+def stream_region_topk(spark: SparkSession, sf: str) -> DataFrame:
+    base = scratch_dir(spark, "regions")
+    _finish(jobs.run_region_topk(spark, I.pages(I.event_stream(spark, sf)), I.ranges(spark, sf), f"{base}/totals",
+                                 f"{base}/top", f"{base}/cp"))
+    return spark.read.parquet(f"{base}/top")
+
+
+def stream_keyed_counts(spark: SparkSession, sf: str) -> DataFrame:
+    base = scratch_dir(spark, "keyed-counts")
+    kind = F.col("event_type")
+    app = F.when(kind == "view", "PC").when(kind == "click", "APP").otherwise("Other")
+    _finish(jobs.run_keyed_counts(spark, I.event_stream(spark, sf).select(app.alias("servicetype")), f"{base}/table",
+                                  f"{base}/cp"))
+    return read_keyed(spark, f"{base}/table", jobs.KEYED_COUNTS)
+
+
+def stream_land_raw(spark: SparkSession, sf: str) -> DataFrame:
+    base = scratch_dir(spark, "land")
+    raw = I.event_stream(spark, sf).select(
+        F.concat_ws("|", I.text("event_id"), "props").alias("value"), F.col("event_type").alias("topic"),
+        I.millis().alias("ts_ms"))
+    _finish(jobs.run_land_raw(raw, f"{base}/out", f"{base}/cp"))
+    return spark.read.schema("value string, topic string, dt string").parquet(f"{base}/out")
+
+
+QUERIES = {f.__name__: f for f in (
+    stream_running_count, stream_sliding_window, stream_play_totals, stream_play_coverage, stream_point_mastery,
+    stream_page_funnel, stream_region_topk, stream_keyed_counts, stream_land_raw)}
+
+_TOTALS = " UNION ALL ".join(
+    f"SELECT '{c}' AS dimension, CAST(\"{c}\" AS VARCHAR) AS id, CAST(sum(secs) AS BIGINT) AS totaltime FROM learn GROUP BY \"{c}\""
+    for c in PLAY_TIMES.values())
+SQL = {
+    "stream_running_count": "SELECT event_type, count(*) AS num FROM events GROUP BY event_type",
+    "stream_sliding_window": """
+        SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start,
+               strftime(s + INTERVAL 60 SECOND, '%Y-%m-%d %H:%M:%S') AS window_end, event_type, count(*) AS num
+        FROM (SELECT event_type, make_timestamp((epoch_us(ts) // 6000000 - k) * 6000000) AS s
+              FROM events, generate_series(0, 9) g(k))
+        GROUP BY s, event_type""",
+    "stream_play_totals": I.with_ctes(["learn"], _TOTALS),
+    "stream_play_coverage": I.with_ctes(["learn"], """
+        SELECT userid, cwareid, videoid, play_interval, totaltime, completetime
+        FROM (SELECT userid, cwareid, videoid, CAST(sum(secs) AS BIGINT) AS totaltime FROM learn
+              GROUP BY userid, cwareid, videoid)
+        JOIN (""" + INTERVALS_SQL + """) USING (userid, cwareid, videoid)
+        JOIN (SELECT userid, cwareid, videoid, CAST(count(DISTINCT s) AS BIGINT) AS completetime
+              FROM (SELECT userid, cwareid, videoid, unnest(range(ps, pe)) AS s FROM learn)
+              GROUP BY userid, cwareid, videoid) USING (userid, cwareid, videoid)"""),
+    "stream_point_mastery": MASTERY_SQL,
+    "stream_page_funnel": FUNNEL_SQL,
+    "stream_region_topk": I.with_ctes(["geo", "pages"],
+                                      f"SELECT * FROM ({REGION_SQL}) ORDER BY num DESC, province LIMIT 3"),
+    "stream_keyed_counts": """
+        SELECT CAST(CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 ELSE 3 END AS INTEGER) AS id,
+               CASE event_type WHEN 'view' THEN 'PC' WHEN 'click' THEN 'APP' ELSE 'Other' END AS servicetype,
+               count(*) AS count FROM events GROUP BY 1, 2""",
+    "stream_land_raw": """
+        SELECT event_id || '|' || props AS value, event_type AS topic, strftime(ts, '%Y%m%d') AS dt FROM events""",
+}

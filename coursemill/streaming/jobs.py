@@ -75,7 +75,7 @@ def run_region_topk(spark: SparkSession, pages: DataFrame, ranges: DataFrame, to
     return start(counts, checkpoint, each)
 
 
-KEYED_COUNTS = StructType().add("id", "int").add("servicetype", "string").add("count", "bigint")
+KEYED_COUNTS = StructType().add("id", "integer").add("servicetype", "string").add("count", "long")
 
 
 def run_keyed_counts(spark: SparkSession, apps: DataFrame, table: str, checkpoint: str,

@@ -34,7 +34,7 @@ def append_commits(path: str) -> Callable[[DataFrame, int], None]:
 
 def read_state(spark: SparkSession, path: str, keys: list[str], schema: StructType) -> DataFrame:
     """The newest row of each key over all commits of a stream."""
-    full = StructType(list(schema.fields)).add(COMMIT, "bigint")
+    full = StructType(list(schema.fields)).add(COMMIT, "long")
     return latest_by_key(spark.read.schema(full).parquet(path), keys, [COMMIT]).drop(COMMIT)
 
 
