@@ -46,7 +46,8 @@ def _lookup(df: DataFrame, keys: list[str], weight: str) -> DataFrame:
 
 
 def _have(df: DataFrame, names: list[str]) -> list[str]:
-    return [c for c in names if c in df.columns]
+    have = set(df.columns)
+    return [c for c in names if c in have]
 
 
 def member_wide_agg(member: DataFrame, regtype: DataFrame, ad: DataFrame, site: DataFrame, payment: DataFrame,

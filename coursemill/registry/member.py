@@ -28,13 +28,16 @@ def member_wide(spark: SparkSession, sf: str) -> DataFrame:
     return M.member_wide_agg(*_inputs(spark, sf))
 
 
+def _shown(wide: DataFrame) -> DataFrame:
+    return wide.withColumns({"paymoney": F.col("paymoney").cast("double"), "vip_id": F.col("vip_id").cast("string")})
+
+
 def member_wide_agg(spark: SparkSession, sf: str) -> DataFrame:
-    return I.plain(member_wide(spark, sf))
+    return _shown(member_wide(spark, sf))
 
 
 def member_wide_agg_zero(spark: SparkSession, sf: str) -> DataFrame:
-    wide = M.member_wide_agg(*_inputs(spark, sf), zero=True)
-    return wide.withColumn("paymoney", F.col("paymoney").cast("double"))
+    return _shown(M.member_wide_agg(*_inputs(spark, sf), zero=True))
 
 
 def count_query(by: str, spark: SparkSession, sf: str) -> DataFrame:
@@ -65,7 +68,7 @@ _REG = [c for c in M.REGTYPE] + M.SITE
 def _wide_sql(zero: bool) -> str:
     cols = ["m.uid"] + [f"min(m.{c}) AS {c}" for c in M.MEMBER] + ["min(a.adname) AS adname"]
     cols += [f"arg_min({'r' if c in M.REGTYPE else 's'}.{c}, r.reg_createtime) AS {c}" for c in _REG]
-    cols += [f"arg_min(v.{c}, v.vip_id) AS {c}" for c in M.VIP_FIRST]
+    cols += [f"CAST(arg_min(v.{c}, v.vip_id) AS VARCHAR) AS {c}" for c in M.VIP_FIRST]
     cols += ["max(v.vip_level) AS vip_level", "min(v.vip_start_time) AS vip_start_time",
              "max(v.vip_end_time) AS vip_end_time", "max(v.vip_last_modify_time) AS vip_last_modify_time"]
     if zero:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from math import floor
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,17 +24,12 @@ OUT_SCHEMA = ("userid bigint, cwareid bigint, videoid string, play_interval stri
 STATE_SCHEMA = "starts array<bigint>, ends array<bigint>, totaltime bigint, effecttime bigint, completetime bigint"
 
 
-def fold_ranges(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One row per different range: all its seconds and its first play."""
-    pdf = pdf.sort_values("event_id", kind="stable")
-    return pdf.groupby(RANGE, as_index=False, sort=False, dropna=False).agg(
-        secs_all=("secs_all", "sum"), event_id=("event_id", "first"), secs=("secs", "first"))
-
-
-def _fold_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def fold_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per Arrow batch, one row per different range: all its seconds and its first play."""
     for pdf in batches:
-        if len(pdf):
-            yield fold_ranges(pdf)
+        pdf = pdf.sort_values("event_id", kind="stable")
+        totals = pdf.groupby(RANGE, sort=False, dropna=False)["secs_all"].transform("sum")
+        yield pdf.assign(secs_all=totals).drop_duplicates(RANGE)
 
 
 def add_range(starts: list[int], ends: list[int], s: int, e: int) -> tuple[list[int], list[int], int]:
@@ -42,8 +38,7 @@ def add_range(starts: list[int], ends: list[int], s: int, e: int) -> tuple[list[
     Ranges that overlap or touch the new one form one run of the sorted lists,
     found by two binary searches.
     """
-    lo = int(np.searchsorted(ends, s, side="left"))
-    hi = int(np.searchsorted(starts, e, side="right"))
+    lo, hi = bisect_left(ends, s), bisect_right(starts, e)
     covered = sum(max(0, min(e, b) - max(s, a)) for a, b in zip(starts[lo:hi], ends[lo:hi]))
     if lo < hi:
         s_all, e_all = min(s, starts[lo]), max(e, ends[hi - 1])
@@ -58,15 +53,17 @@ def _update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> I
         starts, ends = list(starts), list(ends)
     else:
         starts, ends, total, effective, complete = [], [], 0, 0, 0
-    rows = None
-    for pdf in batches:  # folded as it arrives: never more than the different ranges of one video
-        rows = fold_ranges(pdf if rows is None else pd.concat([rows, pdf], ignore_index=True))
-    for r in rows.sort_values(["ps", "pe"]).itertuples(index=False):
-        starts, ends, fresh = add_range(starts, ends, int(r.ps), int(r.pe))
-        length = int(r.pe) - int(r.ps)
-        total += int(r.secs_all)
+    plays: dict[tuple[int, int], tuple[int, int]] = {}  # range -> first play: never more than one video has ranges
+    for pdf in batches:
+        total += int(pdf["secs_all"].sum())
+        for ps, pe, event, secs in zip(*(pdf[c].tolist() for c in ("ps", "pe", "event_id", "secs"))):
+            known = plays.get((ps, pe))
+            if known is None or event < known[0]:
+                plays[ps, pe] = (event, secs)
+    for (ps, pe), (_, secs) in sorted(plays.items()):
+        starts, ends, fresh = add_range(starts, ends, ps, pe)
         complete += fresh
-        effective += int(np.floor(float(r.secs) / length * fresh)) if length > 0 else 0
+        effective += floor(secs / (pe - ps) * fresh) if pe > ps else 0
     state.update((starts, ends, total, effective, complete))
     text = ",".join(f"{a}-{b}" for a, b in zip(starts, ends))
     yield pd.DataFrame([(*key, text, total, effective, complete)],
@@ -84,7 +81,7 @@ def video_state(learn: DataFrame) -> DataFrame:
         F.col("ps").cast("bigint"), F.col("pe").cast("bigint"),
         seconds_between(F.col("ts"), F.col("te")).alias("secs_all"), F.col("event_id").cast("bigint"),
         seconds_between(F.col("ts"), F.col("te")).alias("secs"))
-    folded = rows.mapInPandas(_fold_partition, RANGE_SCHEMA)
+    folded = rows.mapInPandas(fold_ranges, RANGE_SCHEMA)
     return folded.groupBy(*VIDEO).applyInPandasWithState(
         _update, OUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
 
