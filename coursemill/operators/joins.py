@@ -123,13 +123,20 @@ def cart_join_broadcast(sale: DataFrame, cart: DataFrame, pay: DataFrame, limit:
     return _present(wide.join(pay, ORDER_KEYS, "left"), SALES_DETAIL)
 
 
-def cart_join_bucketed(sale: DataFrame, cart: DataFrame, pay: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
+def cart_join_bucketed(sale: DataFrame, cart: DataFrame, pay: DataFrame, hot_cart: DataFrame | None = None,
+                       limit: int = BROADCAST_LIMIT) -> DataFrame:
     """The cart join over tables bucketed by order: carts and payments meet without a shuffle.
 
     Buckets follow ``orderid`` alone. ``dt`` and ``dn`` are compared as ranges,
     which Spark keeps beside the join key; as further equalities they would
     become join keys that the buckets do not cover and force a shuffle.
+    ``hot_cart`` holds the carts of orders too large for a bucket; those meet
+    their payment, one row per order, in a join Spark can split.
     """
+    if hot_cart is not None:
+        few = pay.join(hot_cart.select(*ORDER_KEYS).distinct(), ORDER_KEYS, "left_semi").select(*pay.columns)
+        return cart_join_bucketed(sale, cart, pay, limit=limit).unionByName(
+            cart_join_broadcast(sale, hot_cart, few, limit))
     cart, pay = _sales_inputs(cart, pay)
     pay = pay.withColumnsRenamed({c: f"_p_{c}" for c in ORDER_KEYS})
     same = (F.col("orderid") == F.col("_p_orderid"))

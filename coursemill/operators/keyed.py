@@ -7,15 +7,14 @@ slots a change touches are read and written again.
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from coursemill.operators.sinks import replace_table, write_overwrite
-from coursemill.session import scratch_dir
+from coursemill.operators.sinks import replace_table, replace_touched
+from coursemill.sources.tables import table_exists
 
 SLOT = "_slot"
 BATCH = "_batch"
@@ -79,16 +78,11 @@ def _slot(keys: list[str], parts: int) -> Column:
 
 def keyed_create(spark: SparkSession, path: str, schema: StructType) -> None:
     """An empty keyed table: its first slot, without rows."""
-    _clear_slot(spark, path, schema, 0)
-
-
-def _clear_slot(spark: SparkSession, path: str, schema: StructType, slot: int) -> None:
     empty = StructType(list(schema.fields) + [StructField(BATCH, LongType())])
-    replace_table(spark.createDataFrame([], empty), f"{path}/{SLOT}={slot}")
+    replace_table(spark.createDataFrame([], empty), f"{path}/{SLOT}=0")
 
 
 def keyed_exists(spark: SparkSession, path: str) -> bool:
-    from coursemill.sources.tables import table_exists
     return table_exists(spark, path)
 
 
@@ -112,16 +106,7 @@ def _apply(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], par
         return
     old = _stored(spark, path, schema).where(F.col(SLOT).isin(touched))
     new = change(old.drop(SLOT), rows.drop(SLOT)).withColumn(SLOT, _slot(keys, parts))
-    # The new content is complete on shared storage before a stored slot is
-    # replaced, so a failed attempt leaves the old rows in place.
-    stage = scratch_dir(spark, "keyed")
-    replace_table(new, stage)
-    staged = spark.read.schema(new.schema).parquet(stage)
-    write_overwrite(staged.repartition(F.col(SLOT)), path, [SLOT])
-    # A slot that lost its last row has no new rows to be overwritten with.
-    left = {r[0] for r in staged.select(SLOT).distinct().collect()}
-    for slot in set(touched) - left:
-        _clear_slot(spark, path, schema, slot)
+    replace_touched(spark, new, path, SLOT, touched)
 
 
 def apply_insert(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], schema: StructType,

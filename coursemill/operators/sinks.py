@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from coursemill.session import scratch_dir
 from coursemill.sources.specs import BUCKETS
 
 
@@ -12,17 +15,13 @@ def _writer(df: DataFrame, mode: str, partitions: list[str]):
     return w.partitionBy(*partitions) if partitions else w
 
 
-def spread_for_partitions(df: DataFrame, partitions: list[str], per_partition: int = 1) -> DataFrame:
-    """Bring the rows of each output folder into about ``per_partition`` tasks.
+def spread_for_partitions(df: DataFrame, partitions: list[str]) -> DataFrame:
+    """Gather the rows of each output folder, so that not every task writes a file into every folder.
 
-    Without this every task writes a file into every folder it has rows for.
-    The extra hash keeps one large folder from becoming one large task.
+    Spark sizes the tasks at run time: small folders share one, a folder that
+    holds a large part of the rows is split over several.
     """
-    from pyspark.sql import functions as F
-    if not partitions:
-        return df
-    slot = F.pmod(F.xxhash64(*df.columns), F.lit(per_partition))
-    return df.repartition(*partitions, slot)
+    return df.hint("rebalance", *partitions) if partitions else df
 
 
 def write_append(df: DataFrame, path: str, partitions: list[str] = ("dt", "dn")) -> None:
@@ -40,15 +39,30 @@ def replace_table(df: DataFrame, path: str) -> None:
     _writer(df, "overwrite", []).option("partitionOverwriteMode", "static").parquet(path)
 
 
-def replace_from_itself(spark: SparkSession, df: DataFrame, path: str, stage: str,
-                        partitions: list[str] = ()) -> None:
-    """Replace a table by a frame that reads it: finish the new rows elsewhere first."""
-    replace_table(df, stage)
-    fresh = spark.read.schema(df.schema).parquet(stage)
-    if partitions:
-        write_overwrite(fresh, path, list(partitions))
-    else:
-        replace_table(fresh, path)
+def partition_folder(column: str, value) -> str:
+    """The folder name Spark gives a partition value."""
+    if value is None or value == "":
+        return f"{column}=__HIVE_DEFAULT_PARTITION__"
+    special = set('"#%\'*/:=?\\{[]^') | {chr(i) for i in range(1, 32)} | {chr(127)}
+    return f"{column}=" + "".join(f"%{ord(c):02X}" if c in special else c for c in str(value))
+
+
+def replace_touched(spark: SparkSession, rows: DataFrame, path: str, partition: str, touched: list) -> None:
+    """Replace the ``touched`` partitions of a table by rows that were computed from it.
+
+    The new rows are complete on shared storage before a stored partition is
+    replaced, so a failed attempt leaves the old ones in place. A partition
+    that lost its last row has nothing to be overwritten with and is emptied.
+    ``touched`` holds partition values, never rows.
+    """
+    stage = scratch_dir(spark, "stage")
+    replace_table(rows, stage)
+    staged = spark.read.schema(rows.schema).parquet(stage)
+    write_overwrite(spread_for_partitions(staged, [partition]), path, [partition])
+    filled = {r[0] for r in staged.select(partition).distinct().collect()}
+    schema = StructType([f for f in rows.schema.fields if f.name != partition])
+    for value in set(touched) - filled:
+        replace_table(spark.createDataFrame([], schema), f"{path}/{partition_folder(partition, value)}")
 
 
 def limit_files(df: DataFrame, n: int) -> DataFrame:
@@ -61,9 +75,20 @@ def write_bucketed(df: DataFrame, name: str, path: str, column: str, buckets: in
     """Partitioned table, bucketed and sorted by one column.
 
     Rows are brought to their bucket first, so each folder gets one file per
-    bucket instead of one per task and bucket.
+    bucket instead of one per task and bucket. A value that owns a large share
+    of the rows would own its bucket too: see ``split_hot``.
     """
     w = df.repartition(buckets, column).write.mode(mode).option("path", path).option("compression", "snappy")
     if partitions:
         w = w.partitionBy(*partitions)
     w.bucketBy(buckets, column).sortBy(column).format("parquet").saveAsTable(name)
+
+
+def split_hot(df: DataFrame, column: str, min_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(rows fit for bucketing, rows of values with more than ``min_rows`` rows).
+
+    A bucket is read by one task and cannot be split, so hot values are kept
+    beside the bucketed table, where a join may spread them.
+    """
+    hot = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > min_rows).select(column)
+    return df.join(hot, [column], "left_anti").select(*df.columns), df.join(hot, [column], "left_semi").select(*df.columns)

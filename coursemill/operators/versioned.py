@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from coursemill.functions.scalars import partition_path
-from coursemill.operators.sinks import _writer, replace_from_itself, write_overwrite
-from coursemill.session import scratch_dir
+from coursemill.operators.sinks import _writer, replace_touched, write_overwrite
+from coursemill.sources.tables import table_exists
 
 COMMIT = "_commit_ts"
 
@@ -82,24 +82,12 @@ def cow_upsert(spark: SparkSession, df: DataFrame, path: str, keys: list[str], p
     the same keys, since a key whose partition changed has to leave its old one.
     """
     rows = latest_by_key(df, keys, [precombine]).withColumn(COMMIT, F.lit(commit).cast("bigint"))
-    from coursemill.sources.tables import table_exists
     if not table_exists(spark, path):
         write_overwrite(rows, path, [partition])
         return
     stored = spark.read.schema(rows.schema).parquet(path)
     old_homes = stored.join(rows.select(*keys), keys, "left_semi").select(partition)
-    touched = old_homes.union(rows.select(partition)).distinct()
-    kept = stored.join(touched, [partition], "left_semi").select(*rows.columns)
+    touched = [r[0] for r in old_homes.union(rows.select(partition)).distinct().collect()]
+    kept = stored.where(F.col(partition).isin(touched)).select(*rows.columns)
     merged = latest_by_key(kept.unionByName(rows), keys, [precombine, COMMIT])
-    emptied = touched.join(merged.select(partition).distinct(), [partition], "left_anti")
-    gone = [r[0] for r in emptied.collect()]  # folders of this commit that lost their last row
-    replace_from_itself(spark, merged, path, scratch_dir(spark, "cow"), [partition])
-    for value in gone:
-        _empty_partition(spark, rows, path, partition, value)
-
-
-def _empty_partition(spark: SparkSession, rows: DataFrame, path: str, partition: str, value) -> None:
-    from pyspark.sql.types import StructType
-    schema = StructType([f for f in rows.schema.fields if f.name != partition])
-    spark.createDataFrame([], schema).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static").parquet(f"{path}/{partition}={value}")
+    replace_touched(spark, merged, path, partition, touched)

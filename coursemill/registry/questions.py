@@ -81,7 +81,7 @@ def join_answer_detail(spark: SparkSession, sf: str) -> DataFrame:
                    chapterid=(c("l_linenumber") % 5), sitecourseid=c("l_orderkey"), questionid=c("l_partkey"),
                    majorid=c("l_suppkey") % 25, useranswer=c("l_returnflag"), istrue=c("l_linestatus"),
                    paperid=c("l_suppkey"), spendtime=c("l_quantity"), question_answer=c("l_linenumber"),
-                   score=c("l_discount"), dt=F.date_format("l_shipdate", "yyyyMM"))
+                   score=c("l_discount"), dt=I.month_of("l_shipdate"))
     course = _dims(table(spark, sf, "orders"), sitecourseid=c("o_orderkey"), courseid=c("o_custkey"),
                    sitecoursename=c("o_orderpriority"), sitecourse_creator=c("o_orderstatus"), majorid=c("o_custkey"))
     chapter = _dims(table(spark, sf, "region"), chapterid=c("r_regionkey"), chaptername=c("r_name"))

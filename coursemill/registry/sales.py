@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coursemill.operators import joins as J
-from coursemill.operators.sinks import write_bucketed
-from coursemill.registry.inputs import DN, DT, table
+from coursemill.operators.sinks import split_hot, write_bucketed
+from coursemill.registry.inputs import DN, DT, dashed_day_of, table
 from coursemill.session import scratch_dir
 
 
@@ -23,10 +23,10 @@ def _inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFra
         F.col("l_partkey").alias("courseid"), F.col("l_orderkey").alias("orderid"),
         F.lit("in the cart").alias("coursename"), F.col("l_discount").alias("discount"),
         F.col("l_extendedprice").alias("sellmoney"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("createtime")).withColumns(day)
+        dashed_day_of("l_shipdate").alias("createtime")).withColumns(day)
     pay = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(
         F.col("o_orderkey").alias("orderid"), F.lit(0.0).alias("discount"), F.col("o_totalprice").alias("paymoney"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("createtime")).withColumns(day)
+        dashed_day_of("o_orderdate").alias("createtime")).withColumns(day)
     return sale, cart, pay
 
 
@@ -42,15 +42,17 @@ def cart_join_broadcast(spark: SparkSession, sf: str) -> DataFrame:
     return J.cart_join_broadcast(*_inputs(spark, sf))
 
 
-def bucketed_tables(spark: SparkSession, sf: str, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+def bucketed_tables(spark: SparkSession, sf: str, min_rows: int = J.HOT_ROWS) -> list[DataFrame]:
+    """Carts and payments bucketed by order, and the carts of orders too large for a bucket."""
     _, cart, pay = _inputs(spark, sf)
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cart, hot = split_hot(cart, "orderid", min_rows)
     frames = []
     for kind, df in (("cart", cart), ("pay", pay)):
         name = f"coursemill_{kind}_{uuid4().hex}"
         write_bucketed(df, name, scratch_dir(spark, name), "orderid", buckets)
         frames.append(spark.table(name).withColumns({c: F.col(c).cast("string") for c in ("dt", "dn")}))
-    return frames[0], frames[1]
+    return [*frames, hot]
 
 
 def cart_join_bucketed(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from coursemill.operators import keyed as K
 from coursemill.operators import sinks as W
 from coursemill.operators import versioned as V
-from coursemill.registry.inputs import table
+from coursemill.registry.inputs import day_of, table
 from coursemill.session import scratch_dir
 
 NEW_IDS = 1_000_000_000_000
@@ -56,7 +56,7 @@ def keyed_query(kind: str, spark: SparkSession, sf: str) -> DataFrame:
 def _lake(spark: SparkSession, sf: str) -> list[DataFrame]:
     """Orders in three commits by date; the last one renames its rows."""
     rows = table(spark, sf, "orders").select(
-        F.col("o_custkey").alias("uid"), F.date_format("o_orderdate", "yyyyMMdd").alias("ts"),
+        F.col("o_custkey").alias("uid"), day_of("o_orderdate").alias("ts"),
         F.col("o_orderkey").alias("orderid"), F.col("o_orderpriority").alias("name"),
         F.col("o_orderstatus").alias("dn"))
     cuts = [F.col("ts") < "19950101", F.col("ts").between("19950101", "19979999"), F.col("ts") >= "19980101"]
@@ -118,7 +118,7 @@ def versioned_move_partition(spark: SparkSession, sf: str) -> DataFrame:
 
 def _by_year(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select(
-        "o_orderkey", "o_totalprice", F.date_format("o_orderdate", "yyyy").alias("dt"), F.col("o_orderstatus").alias("dn"))
+        "o_orderkey", "o_totalprice", F.year("o_orderdate").cast("string").alias("dt"), F.col("o_orderstatus").alias("dn"))
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:

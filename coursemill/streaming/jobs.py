@@ -9,13 +9,13 @@ from pyspark.sql.types import StructType
 
 from coursemill.functions.cleaning import APP_IDS
 from coursemill.functions.scalars import epoch_to_day
-from coursemill.operators.keyed import apply_add, keyed_create
+from coursemill.operators.keyed import apply_add, keyed_create, keyed_exists, read_keyed
 from coursemill.operators.mastery import POINT, answer_counts
 from coursemill.operators.pages import page_transition_count
 from coursemill.operators.playback import play_time_all
-from coursemill.operators.regions import topk_region, with_province
+from coursemill.operators.regions import ip_region_counts, topk_region
 from coursemill.operators.sinks import replace_table
-from coursemill.streaming.sinks import append_commits, read_state, start
+from coursemill.streaming.sinks import append_commits, start
 
 WINDOW, SLIDE = "60 seconds", "6 seconds"  # fixed values
 LATENESS = "10 minutes"
@@ -56,6 +56,7 @@ def run_point_mastery(answers: DataFrame, out: str, checkpoint: str) -> Streamin
     return start(answer_counts(answers), checkpoint, append_commits(out))
 
 
+REGION_TOTALS = StructType().add("province", "string").add("num", "long")
 ANSWER_KEYS = [*POINT, "questionid"]
 
 
@@ -65,14 +66,18 @@ def run_page_transitions(pages: DataFrame, out: str, checkpoint: str) -> Streami
 
 def run_region_topk(spark: SparkSession, pages: DataFrame, ranges: DataFrame, totals: str, top: str,
                     checkpoint: str, k: int = 3) -> StreamingQuery:
-    """Visits per province since the stream began, and the top ``k`` replaced on each batch."""
-    counts = with_province(pages, ranges).groupBy("province").agg(F.count(F.lit(1)).alias("num"))
-    write = append_commits(totals)
+    """Visits per province since the stream began, and the top ``k`` replaced on each batch.
+
+    A batch is counted per address before the addresses are looked up, which a
+    streaming aggregation could not do: it allows no second grouping.
+    """
+    if not keyed_exists(spark, totals):
+        keyed_create(spark, totals, REGION_TOTALS)
 
     def each(batch: DataFrame, number: int) -> None:
-        write(batch, number)
-        replace_table(topk_region(read_state(spark, totals, ["province"], counts.schema), k), top)
-    return start(counts, checkpoint, each)
+        apply_add(spark, totals, ip_region_counts(batch, ranges), ["province"], ["num"], REGION_TOTALS, number)
+        replace_table(topk_region(read_keyed(spark, totals, REGION_TOTALS), k), top)
+    return start(pages, checkpoint, each, mode="append")
 
 
 KEYED_COUNTS = StructType().add("id", "integer").add("servicetype", "string").add("count", "long")
@@ -81,7 +86,8 @@ KEYED_COUNTS = StructType().add("id", "integer").add("servicetype", "string").ad
 def run_keyed_counts(spark: SparkSession, apps: DataFrame, table: str, checkpoint: str,
                      parts: int = 3) -> StreamingQuery:
     """Rows per app (``servicetype``), each batch added to a keyed table exactly once."""
-    keyed_create(spark, table, KEYED_COUNTS)
+    if not keyed_exists(spark, table):
+        keyed_create(spark, table, KEYED_COUNTS)
     ids = F.create_map(*[F.lit(x) for pair in APP_IDS.items() for x in pair])
 
     def each(batch: DataFrame, number: int) -> None:
