@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from coursemill.operators.sinks import limit_files, write_append, write_bucketed, write_overwrite
+from coursemill.operators.joins import HOT_ROWS
+from coursemill.operators.sinks import limit_files, split_hot, write_append, write_bucketed, write_overwrite
 from coursemill.operators.versioned import derive_partition_path, versioned_insert, versioned_upsert
 from coursemill.sources.lines import json_lines_to_table, read_lines
 from coursemill.sources.specs import BUCKETED, BUCKETS, FIELDS, LOG_OF_CLUSTER, spec
@@ -22,6 +23,11 @@ def log_path(ods: str, table: str) -> str:
     return f"{ods.rstrip('/')}/{LOG_OF_CLUSTER.get(table, table)}.log"
 
 
+def hot_path(root: str, table: str) -> str:
+    """Rows of values too frequent for one bucket."""
+    return table_path(root, f"dwd.{table}_hot")
+
+
 def load_detail(spark: SparkSession, ods: str, root: str, table: str, files: int | None = None,
                 buckets: int = BUCKETS) -> None:
     """Clean one log and add it to its detail table; lookup tables are replaced.
@@ -35,7 +41,9 @@ def load_detail(spark: SparkSession, ods: str, root: str, table: str, files: int
         rows = limit_files(rows, files)
     path = table_path(root, f"dwd.{table}")
     if table in BUCKETED:
-        write_bucketed(rows, f"{table}", path, BUCKETED[table], buckets, list(s.partitions), s.mode)
+        rows, hot = split_hot(rows, BUCKETED[table], HOT_ROWS)
+        write_bucketed(rows, table, path, BUCKETED[table], buckets, list(s.partitions), s.mode)
+        write_append(hot, hot_path(root, table), list(s.partitions))
     elif s.mode == "append":
         write_append(rows, path, list(s.partitions))
     else:

@@ -69,6 +69,15 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def read_state_table(spark: SparkSession, path: str | None = None, jdbc: dict[str, str] | None = None) -> DataFrame:
+    """Earlier totals for a merge: a Parquet folder, or a database table through JDBC options.
+
+    A large database table should name ``partitionColumn`` with its bounds and
+    ``numPartitions`` among the options; otherwise one task reads it all.
+    """
+    return spark.read.format("jdbc").options(**jdbc).load() if jdbc else spark.read.parquet(path)
+
+
 def register_table(spark: SparkSession, path: str, name: str) -> None:
     """Publish a Parquet folder in the catalog, with its partitions."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")

@@ -86,5 +86,5 @@ def video_state(learn: DataFrame) -> DataFrame:
         _update, OUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
 
 
-def run_play_coverage(learn: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    return start(video_state(learn), checkpoint, append_commits(out))
+def run_play_coverage(learn: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    return start(video_state(learn), checkpoint, append_commits(out), trigger=trigger)

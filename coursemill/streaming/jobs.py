@@ -1,4 +1,8 @@
-"""Streaming jobs: each turns a stream of rows into a started query."""
+"""Streaming jobs: each turns a stream of rows into a started query.
+
+``trigger`` is that of Spark, e.g. ``EVERY_3_SECONDS``; without it a job takes
+what is there and ends.
+"""
 
 from __future__ import annotations
 
@@ -19,6 +23,8 @@ from coursemill.streaming.sinks import append_commits, start
 
 WINDOW, SLIDE = "60 seconds", "6 seconds"  # fixed values
 LATENESS = "10 minutes"
+EVERY_3_SECONDS = {"processingTime": "3 seconds"}
+AVAILABLE = {"availableNow": True}
 
 
 def window_counts(stream: DataFrame, ts: str, key: str, window: str = WINDOW, slide: str = SLIDE,
@@ -34,38 +40,53 @@ def running_counts(stream: DataFrame, key: str) -> DataFrame:
     return stream.groupBy(key).agg(F.count(F.lit(1)).alias("num"))
 
 
-def run_window_counts(stream: DataFrame, ts: str, key: str, out: str, checkpoint: str, **kw) -> StreamingQuery:
-    return start(window_counts(stream, ts, key, **kw), checkpoint, append_commits(out))
+def run_window_counts(stream: DataFrame, ts: str, key: str, out: str, checkpoint: str,
+                      trigger: dict | None = None, **kw) -> StreamingQuery:
+    """Counts of all windows as they grow, as commits."""
+    return start(window_counts(stream, ts, key, **kw), checkpoint, append_commits(out), trigger=trigger)
+
+
+def run_closed_windows(stream: DataFrame, ts: str, key: str, out: str, checkpoint: str,
+                       trigger: dict | None = None, **kw) -> StreamingQuery:
+    """Counts of each window once it can change no more, as files per day.
+
+    State holds the open windows only and every row is written once, which
+    makes this the form for long runs.
+    """
+    rows = window_counts(stream, ts, key, **kw).withColumn("dt", F.date_format("window_start", "yyyyMMdd"))
+    return (rows.writeStream.format("parquet").outputMode("append").option("path", out)
+            .option("checkpointLocation", checkpoint).partitionBy("dt").trigger(**(trigger or AVAILABLE)).start())
 
 
-def run_running_counts(stream: DataFrame, key: str, out: str, checkpoint: str) -> StreamingQuery:
-    return start(running_counts(stream, key), checkpoint, append_commits(out))
+def run_running_counts(stream: DataFrame, key: str, out: str, checkpoint: str,
+                       trigger: dict | None = None) -> StreamingQuery:
+    return start(running_counts(stream, key), checkpoint, append_commits(out), trigger=trigger)
 
 
-def run_play_totals(learn: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+def run_play_totals(learn: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """The five play-time totals as one stateful aggregation over (dimension, id)."""
-    return start(play_time_all(learn), checkpoint, append_commits(out))
+    return start(play_time_all(learn), checkpoint, append_commits(out), trigger=trigger)
 
 
-def run_point_mastery(answers: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+def run_point_mastery(answers: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Attempts per learner, point and question; mastery is summed up when it is read.
 
     State is one small row per question, where a set of ids per point would be
     rewritten whole on each answer.
     """
-    return start(answer_counts(answers), checkpoint, append_commits(out))
+    return start(answer_counts(answers), checkpoint, append_commits(out), trigger=trigger)
 
 
 REGION_TOTALS = StructType().add("province", "string").add("num", "long")
 ANSWER_KEYS = [*POINT, "questionid"]
 
 
-def run_page_transitions(pages: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    return start(page_transition_count(pages), checkpoint, append_commits(out))
+def run_page_transitions(pages: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    return start(page_transition_count(pages), checkpoint, append_commits(out), trigger=trigger)
 
 
 def run_region_topk(spark: SparkSession, pages: DataFrame, ranges: DataFrame, totals: str, top: str,
-                    checkpoint: str, k: int = 3) -> StreamingQuery:
+                    checkpoint: str, k: int = 3, trigger: dict | None = None) -> StreamingQuery:
     """Visits per province since the stream began, and the top ``k`` replaced on each batch.
 
     A batch is counted per address before the addresses are looked up, which a
@@ -77,14 +98,14 @@ def run_region_topk(spark: SparkSession, pages: DataFrame, ranges: DataFrame, to
     def each(batch: DataFrame, number: int) -> None:
         apply_add(spark, totals, ip_region_counts(batch, ranges), ["province"], ["num"], REGION_TOTALS, number)
         replace_table(topk_region(read_keyed(spark, totals, REGION_TOTALS), k), top)
-    return start(pages, checkpoint, each, mode="append")
+    return start(pages, checkpoint, each, mode="append", trigger=trigger)
 
 
 KEYED_COUNTS = StructType().add("id", "integer").add("servicetype", "string").add("count", "long")
 
 
 def run_keyed_counts(spark: SparkSession, apps: DataFrame, table: str, checkpoint: str,
-                     parts: int = 3) -> StreamingQuery:
+                     parts: int = 3, trigger: dict | None = None) -> StreamingQuery:
     """Rows per app (``servicetype``), each batch added to a keyed table exactly once."""
     if not keyed_exists(spark, table):
         keyed_create(spark, table, KEYED_COUNTS)
@@ -94,12 +115,12 @@ def run_keyed_counts(spark: SparkSession, apps: DataFrame, table: str, checkpoin
         counts = (batch.groupBy("servicetype").agg(F.count(F.lit(1)).alias("count"))
                   .select(F.try_element_at(ids, F.col("servicetype")).alias("id"), "servicetype", "count"))
         apply_add(spark, table, counts, ["id"], ["count"], KEYED_COUNTS, number, parts)
-    return start(apps, checkpoint, each, mode="append")
+    return start(apps, checkpoint, each, mode="append", trigger=trigger)
 
 
-def run_land_raw(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def run_land_raw(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Raw values (columns topic, ts_ms, value) as compressed files below topic and day."""
     rows = stream.select("value", "topic", epoch_to_day(F.col("ts_ms")).alias("dt"))
     return (rows.writeStream.format("parquet").outputMode("append").option("path", path)
             .option("checkpointLocation", checkpoint).option("compression", "snappy")
-            .partitionBy("topic", "dt").trigger(availableNow=True).start())
+            .partitionBy("topic", "dt").trigger(**(trigger or AVAILABLE)).start())

@@ -7,6 +7,7 @@ however often a batch runs.
 
 from __future__ import annotations
 
+import time
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from coursemill.operators.sinks import replace_table, write_overwrite
+from coursemill.operators.sinks import replace_table, spread_for_partitions, write_overwrite
 from coursemill.operators.versioned import COMMIT, latest_by_key
 
 
@@ -25,10 +26,19 @@ def start(df: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]
             .trigger(**(trigger or {"availableNow": True})).foreachBatch(each).start())
 
 
+def stop_gracefully(query: StreamingQuery, poll: float = 0.1) -> None:
+    """Stop between two micro-batches rather than in the middle of one."""
+    while query.isActive and query.status["isTriggerActive"]:
+        time.sleep(poll)
+    query.stop()
+
+
 def append_commits(path: str) -> Callable[[DataFrame, int], None]:
     """Write every batch as commit number ``batch`` below ``path``."""
     def each(batch: DataFrame, number: int) -> None:
-        write_overwrite(batch.withColumn(COMMIT, F.lit(number).cast("bigint")), path, [COMMIT])
+        rows = batch.withColumn(COMMIT, F.lit(number).cast("bigint"))
+        # State lives in as many partitions as the query shuffles into; a commit gets few files all the same.
+        write_overwrite(spread_for_partitions(rows, [COMMIT]), path, [COMMIT])
     return each
 
 

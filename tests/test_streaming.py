@@ -87,6 +87,33 @@ def test_sliding_windows(spark):
     assert sums["00:00:00"] == 2 and sums["23:59:12"] == 1 and sums["00:00:54"] == 1 and sum(sums.values()) == 20
 
 
+def test_closed_windows_are_written_once(spark):
+    base = scratch_dir(spark, "closed")
+    at = ["00:00:03", "00:00:03", "00:00:59", "02:00:00", "04:00:00"]
+    for i, t in enumerate(at):
+        feed(spark, f"{base}/in", [f"{i}\t1\t2024-01-01 {t}"])
+    stream = tsv_fields(text_stream(spark, f"{base}/in"), REGISTER_TSV).select(
+        F.col("registered_at").cast("timestamp").alias("ts"), C.app_name(F.col("app_code")).alias("app"))
+    finish(jobs.run_closed_windows(stream, "ts", "app", f"{base}/out", f"{base}/cp"))
+    got = spark.read.schema("window_start timestamp, window_end timestamp, app string, num bigint, dt string").parquet(f"{base}/out")
+    sums = [r[0] for r in got.groupBy("window_start", "app").count().select("count").collect()]
+    assert sums and set(sums) == {1}  # no window twice
+    early = got.where("window_start < '2024-01-01 01:00:00'").agg(F.sum("num")).first()[0]
+    assert early == 30  # three rows in ten windows each; the last windows are still open
+
+
+def test_graceful_stop_with_a_timed_trigger(spark):
+    from coursemill.streaming.sinks import stop_gracefully
+    base = scratch_dir(spark, "stop")
+    feed(spark, f"{base}/in", REGISTER)
+    query = jobs.run_running_counts(apps(text_stream(spark, f"{base}/in")), "servicetype", f"{base}/out", f"{base}/cp",
+                                    trigger={"processingTime": "1 second"})
+    query.processAllAvailable()
+    stop_gracefully(query)
+    assert not query.isActive and query.exception() is None
+    assert spark.read.parquet(f"{base}/out").count() == 3
+
+
 LEARN = "event_id bigint, userid bigint, cwareid bigint, videoid string, chapterid int, edutypeid int, sourceType string, subjectid int, ts bigint, te bigint, ps bigint, pe bigint"
 
 
