@@ -106,28 +106,27 @@ def score_segment_users(detail: DataFrame, dt: str | None = None, ids_per_row: i
 
     A band may hold any number of users, so its text is cut into rows of at
     most ``ids_per_row`` ids, numbered by ``part``; a band that fits is one row
-    with part 0, as nearly all do.
+    with part 0, as nearly all do. User ids are whole numbers of 32 bits.
     """
-    group = [*PAPER, "score_segment"]
-    rows = (partition_filter(detail, dt).withColumn("score_segment", score_band(F.col("score")))
-            .where(F.col("userid").isNotNull())
-            .groupBy(*group, "userid").agg(F.count(F.lit(1)).alias("n")))
-    long = rows.groupBy(*group).agg(F.sum("n").alias("_n")).where(F.col("_n") > ids_per_row)
-    on = [F.col(f"r.{c}").eqNullSafe(F.col(f"l.{c}")) for c in group]
-    both = rows.alias("r"), long.alias("l")
-    short = both[0].join(both[1], on, "left_anti").select(
-        *group, "userid", F.lit(0).cast("bigint").alias("part"), F.col("n").cast("int").alias("copies"))
-    cut = short.unionByName(_numbered(both[0].join(both[1], on, "left_semi"), group, ids_per_row))
+    band = F.struct(*PAPER, score_band(F.col("score")).alias("score_segment"))
+    # One struct as key: equal structs match even where a field is null, and the
+    # shuffle of the join below is also the one the last grouping needs.
+    rows = (partition_filter(detail, dt).where(F.col("userid").isNotNull())
+            .groupBy(band.alias("g"), "userid").agg(F.count(F.lit(1)).alias("n")))
+    long = rows.groupBy("g").agg(F.sum("n").alias("_n")).where(F.col("_n") > ids_per_row).select("g")
+    short = rows.join(long, ["g"], "left_anti").select(
+        "g", "userid", F.lit(0).cast("bigint").alias("part"), F.col("n").cast("int").alias("copies"))
+    cut = short.unionByName(_numbered(rows.join(long, ["g"], "left_semi"), ids_per_row))
     ids = F.array_sort(F.collect_list(F.struct("userid", "copies")))
     text = F.concat_ws(",", F.flatten(F.transform(
         ids, lambda u: F.array_repeat(u["userid"].cast("string"), u["copies"]))))
-    return (cut.groupBy(*group, "part").agg(text.alias("userids"))
-            .select("paperviewid", "paperviewname", "score_segment", "part", "userids", "dt", "dn")
+    return (cut.groupBy("g", "part").agg(text.alias("userids"))
+            .select("g.paperviewid", "g.paperviewname", "g.score_segment", "part", "userids", "g.dt", "g.dn")
             .orderBy("paperviewid", "score_segment", "part"))
 
 
-def _numbered(rows: DataFrame, group: list[str], ids_per_row: int) -> DataFrame:
-    """Cut (userid, n) rows of long groups into numbered parts of ``ids_per_row`` ids.
+def _numbered(rows: DataFrame, ids_per_row: int) -> DataFrame:
+    """Cut (g, userid, n) rows of long groups into numbered parts of ``ids_per_row`` ids.
 
     Positions are found without gathering a group in one task: ids are counted
     per block of neighbouring ids, blocks get their offset from a running sum,
@@ -136,20 +135,19 @@ def _numbered(rows: DataFrame, group: list[str], ids_per_row: int) -> DataFrame:
     """
     span = max(1, ids_per_row // 10)
     rows = rows.withColumn("block", F.floor(F.col("userid") / span))
-    blocks = rows.groupBy(*group, "block").agg(F.sum("n").alias("block_n"))
-    before = Window.partitionBy(*group).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select(*group, "block", F.coalesce(F.sum("block_n").over(before), F.lit(0)).alias("offset"))
+    blocks = rows.groupBy("g", "block").agg(F.sum("n").alias("block_n"))
+    before = Window.partitionBy("g").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("g", "block", F.coalesce(F.sum("block_n").over(before), F.lit(0)).alias("offset"))
 
-    on = [F.col(f"r.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*group, "block"]]
-    placed = rows.alias("r").join(blocks.alias("b"), on, "inner").select("r.*", "b.offset")
-    upto = Window.partitionBy(*group, "block").orderBy("userid").rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy("g", "block").orderBy("userid").rowsBetween(Window.unboundedPreceding, 0)
     size = F.lit(ids_per_row)
-    placed = (placed.withColumn("stop", F.col("offset") + F.sum("n").over(upto))
+    placed = (rows.join(blocks, ["g", "block"], "inner")
+              .withColumn("stop", F.col("offset") + F.sum("n").over(upto))
               .withColumn("start", F.col("stop") - F.col("n")))
     first, last = F.floor(F.col("start") / size), F.floor((F.col("stop") - 1) / size)
     copies = F.least("stop", (F.col("part") + 1) * size) - F.greatest("start", F.col("part") * size)
     return (placed.withColumn("part", F.explode(F.sequence(first, last)))
-            .select(*group, "userid", "part", copies.cast("int").alias("copies")))
+            .select("g", "userid", "part", copies.cast("int").alias("copies")))
 
 
 def paper_pass_rate(detail: DataFrame, dt: str | None = None) -> DataFrame:

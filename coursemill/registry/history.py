@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coursemill.operators import history as H
+from coursemill.operators.sinks import replace_table
 from coursemill.registry import inputs as I
+from coursemill.session import scratch_dir
 
 LATE_DAY = "1997-06-15"
 
@@ -20,10 +22,10 @@ def scd2_daily_delta(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scd2_merge(spark: SparkSession, sf: str) -> DataFrame:
-    """History of all days but one, and then the missing day arrives."""
-    days = daily(spark, sf)
-    history = H.build_history(days.where(F.col("start_time") != LATE_DAY))
-    return I.plain(H.scd2_merge(history, days.where(F.col("start_time") == LATE_DAY), LATE_DAY))
+    """A stored history of all days but one, and then the missing day arrives."""
+    days, path = daily(spark, sf), scratch_dir(spark, "history")
+    replace_table(H.build_history(days.where(F.col("start_time") != LATE_DAY)), path)
+    return I.plain(H.scd2_merge(spark.read.parquet(path), days.where(F.col("start_time") == LATE_DAY), LATE_DAY))
 
 
 QUERIES = {"scd2_daily_delta": scd2_daily_delta, "scd2_merge": scd2_merge}
