@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from coursemill.functions.scalars import OPEN_END, dt_to_date
 from coursemill.operators.joins import rename_drop
-from coursemill.operators.member import MONEY
+from coursemill.operators.member import MONEY, payment_vip_join
 from coursemill.sources.tables import partition_filter
 
 HISTORY = ["uid", "paymoney", "vip_level", "start_time", "end_time", "dn"]
@@ -19,9 +19,10 @@ def daily_payment_delta(payment: DataFrame, vip: DataFrame, dt: str | None = Non
 
     ``dt`` picks one day; without it every day comes out.
     """
-    paid = partition_filter(payment, dt).join(rename_drop(vip, drops=["dt"]), ["vip_id", "dn"], "inner")
-    return (paid.groupBy("uid", "dn", "dt")
-            .agg(F.sum(F.col("paymoney").cast("decimal(10,4)")).cast(MONEY).alias("paymoney"),
+    per_level = (partition_filter(payment, dt).groupBy("uid", "dn", "dt", "vip_id")
+                 .agg(F.sum(F.col("paymoney").cast("decimal(10,4)")).alias("paymoney")))
+    return (payment_vip_join(per_level, rename_drop(vip, drops=["dt"])).groupBy("uid", "dn", "dt")
+            .agg(F.sum("paymoney").cast(MONEY).alias("paymoney"),
                  F.max("vip_level").alias("vip_level"))
             .withColumns({"start_time": dt_to_date(F.col("dt")), "end_time": F.lit(OPEN_END)})
             .select(*HISTORY))

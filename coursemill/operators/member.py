@@ -79,7 +79,10 @@ def member_wide_agg(member: DataFrame, regtype: DataFrame, ad: DataFrame, site:
            .agg(F.min(F.struct(*order)).alias("_reg"),
                 F.sum(F.coalesce("_site_n", F.lit(1))).alias("_reg_n")))
 
-    paid = payment.join(vip1, ["vip_id", "dn"], "left")
+    # Payments are the long table: they are summed per level by hash, and only the
+    # sums meet the vip texts, whose maxima Spark can aggregate by sorting alone.
+    per_level = payment.groupBy("uid", "dn", "vip_id").agg(F.sum("paymoney").cast(MONEY).alias("paymoney"))
+    paid = per_level.join(vip1, ["vip_id", "dn"], "left")
     vip_row = ["vip_id"] + _have(paid, ["vip_max_free", "vip_min_free", "vip_operator", "vip_next_level"])
     level = F.when(F.col("_vip_n").isNotNull(), F.struct(*vip_row))
     paid = (paid.groupBy("uid", "dn")
