@@ -96,7 +96,9 @@ def run_region_topk(spark: SparkSession, pages: DataFrame, ranges: DataFrame, to
         keyed_create(spark, totals, REGION_TOTALS)
 
     def each(batch: DataFrame, number: int) -> None:
-        apply_add(spark, totals, ip_region_counts(batch, ranges), ["province"], ["num"], REGION_TOTALS, number)
+        counts = ip_region_counts(batch, ranges).persist()  # a few rows, used more than once
+        apply_add(spark, totals, counts, ["province"], ["num"], REGION_TOTALS, number)
+        counts.unpersist()
         replace_table(topk_region(read_keyed(spark, totals, REGION_TOTALS), k), top)
     return start(pages, checkpoint, each, mode="append", trigger=trigger)
 
@@ -113,8 +115,9 @@ def run_keyed_counts(spark: SparkSession, apps: DataFrame, table: str, checkpoin
 
     def each(batch: DataFrame, number: int) -> None:
         counts = (batch.groupBy("servicetype").agg(F.count(F.lit(1)).alias("count"))
-                  .select(F.try_element_at(ids, F.col("servicetype")).alias("id"), "servicetype", "count"))
+                  .select(F.try_element_at(ids, F.col("servicetype")).alias("id"), "servicetype", "count").persist())
         apply_add(spark, table, counts, ["id"], ["count"], KEYED_COUNTS, number, parts)
+        counts.unpersist()
     return start(apps, checkpoint, each, mode="append", trigger=trigger)
 
 
