@@ -51,8 +51,11 @@ def replace_touched(spark: SparkSession, rows: DataFrame, path: str, partition:
     """Replace the ``touched`` partitions of a table by rows that were computed from it.
 
     The new rows are complete on shared storage before a stored partition is
-    replaced, so a failed attempt leaves the old ones in place. A partition
-    that lost its last row has nothing to be overwritten with and is emptied.
+    replaced, so a failure while they are computed leaves the old ones in
+    place. Replacing several partitions is not one atomic step: should the
+    driver die in the middle of it, the staged rows have to be copied again.
+    A partition that lost its last row has nothing to be overwritten with and
+    is emptied.
     ``touched`` holds partition values, never rows.
     """
     stage = scratch_dir(spark, "stage")
