@@ -11,7 +11,9 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), ".."
 
 from check import connect, difference  # noqa: E402
 
-from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from __spark_entry__ import entry  # noqa: E402
+from coursemill.registry import all_queries as queries  # noqa: E402
+from coursemill.registry import all_sql as oracle_sql  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
