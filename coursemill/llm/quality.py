@@ -70,20 +70,20 @@ def votes() -> dict[str, Column]:
         "word_length": rule(ratio("word_chars"), lambda v: (v < 2.5) | (v > 12), lambda v: (v >= 3.5) & (v <= 9)),
         "upper": rule(F.col("n_upper") / F.expr("nullif(word_chars, 0)"), lambda v: v > 0.3, lambda v: v < 0.12),
         "endings": rule(ratio("n_ended", F.expr("nullif(n_lines, 0)")), lambda v: v < 0.15, lambda v: v > 0.6),
-        "length": rule(F.col("n_words"), lambda v: v < 20, lambda v: v >= 80),
+        "length": F.when(F.col("n_words") >= 80, 1),
     }
 
 
 def fit_rules(patterns: list[tuple[tuple[int | None, ...], int]], rounds: int = 50) -> tuple[float, list[tuple[float, float]]]:
     """Share of good documents and, per rule, the chance of a right vote on good and on bad ones.
 
-    Abstentions say nothing. The start says that junk comes in many kinds: a rule sees a quarter of it and is seldom wrong
-    about good documents. Pseudo-counts keep a rule that never votes there. The bounds keep the classes from trading
+    Abstentions say nothing. The start says that junk comes in many kinds: a rule sees a quarter of it and is hardly ever
+    wrong about good documents. Pseudo-counts keep a rule that never votes there. The bounds keep the classes from trading
     places, and one kind of junk from owning the bad class: no rule may claim over 40 % of it.
     """
-    good, rates = 0.8, [(0.995, 0.25)] * (len(patterns[0][0]) if patterns else 0)
+    good, rates = 0.8, [(0.9995, 0.25)] * (len(patterns[0][0]) if patterns else 0)
     for _ in range(rounds):
-        sums = [[199.0, 200.0, 10.0, 40.0] for _ in rates]
+        sums = [[1999.0, 2000.0, 10.0, 40.0] for _ in rates]
         total, share = 10.0, 8.0
         for pattern, n in patterns:
             p = posterior(pattern, good, rates)
@@ -111,18 +111,18 @@ def posterior(pattern, good: float, rates) -> float:
 def judge_quality(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """Input rows without the text, with ``FEATURES``, ``base_failed``, ``posterior`` (good, 0 to 1) and ``kept``.
 
-    Base: under 50 words, or over half of the words in repeated windows. What passes is kept if the posterior reaches
+    Base: under 50 words, or over half of the words in repeated windows. The rates are estimated on what passes, and that is kept if the posterior reaches
     ``threshold``. Null and empty texts fail the base. Input columns named like added ones are replaced. Columns of
     all kinds and repeated rows pass through; an empty table stays empty.
     """
     features = saved(quality_features(docs, text_col))
     rules = votes()
     names = list(rules)
-    counted = features.select(*[c.alias(n) for n, c in rules.items()]).groupBy(*names).count().collect()  # at most 3 ** 7 rows
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    counted = features.where(~failed).select(*[c.alias(n) for n, c in rules.items()]).groupBy(*names).count().collect()  # at most 3 ** 7 rows
     good, rates = fit_rules(sorted(((tuple(r[n] for n in names), r["count"]) for r in counted), key=str))
     odds = F.lit(math.log(good / (1 - good)))
     for (a, b), vote in zip(rates, rules.values()):
         odds = odds + F.when(vote == 1, math.log(a / (1 - b))).when(vote == 0, math.log((1 - a) / b)).otherwise(0.0)
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (features.withColumn("base_failed", failed).withColumn("posterior", 1 / (1 + F.exp(-odds)))
             .withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= threshold)))
