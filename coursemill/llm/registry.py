@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ("mixing", "lines", "simhash", "quality")
+AREAS = ("language", "lines", "topk", "mixing", "simhash", "licenses", "quality")
 
 QUERIES: dict = {}
 SQL: dict = {}
