@@ -11,7 +11,7 @@ import os
 
 import numpy as np
 
-#: Parts that a worker remembers before it starts anew.
+#: Parts that a worker remembers before it lets go of those not seen since it last did.
 KNOWN = 300_000
 
 
@@ -34,6 +34,8 @@ class Encoder:
             self.starts[i] = token.startswith(("Ġ", "Ċ"))
             self.ends[i] = token.endswith((".", "!", "?", "Ċ"))
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.marks = {m: self.whole(m) for m in ".,!?"}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -58,16 +60,35 @@ class Encoder:
             else:
                 self.known.update((p, self.whole(p if p[0] == "\n" else " " + p)) for p in some)
 
+    def _recall(self, parts: set[str]) -> None:
+        """See to it that all of ``parts`` are known. A mark after a letter is a piece of its own, so words are learned without."""
+        if len(self.known) + len(parts) > KNOWN:
+            self.known, self.older = {}, self.known
+        known, older, new, marked = self.known, self.older, set(), []
+        for p in parts.difference(known):
+            ids = older.get(p)
+            if ids is not None:
+                known[p] = ids
+            elif p[-1] in self.marks and p[-2:-1].isalpha():
+                marked.append(p)
+            else:
+                new.add(p)
+        for stem in {p[:-1] for p in marked}.difference(known, new):
+            ids = older.get(stem)
+            if ids is not None:
+                known[stem] = ids
+            else:
+                new.add(stem)
+        self._learn(sorted(new))
+        for p in marked:
+            known[p] = known[p[:-1]] + self.marks[p[-1]]
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; null and empty texts have none."""
         split = [self.parts(t) if t else None for t in texts]
         out = []
         for at in range(0, len(texts), 64):
-            new = set().union(*(p[1:] for p in split[at:at + 64] if p)).difference(self.known)
-            if len(self.known) + len(new) > KNOWN:
-                self.known.clear()
-                new = set().union(*(p[1:] for p in split[at:at + 64] if p))
-            self._learn(sorted(new))
+            self._recall(set().union(*(p[1:] for p in split[at:at + 64] if p)))
             for text, p in zip(texts[at:at + 64], split[at:at + 64]):
                 if not text:
                     out.append(b"")
