@@ -14,10 +14,6 @@ from coursemill.llm.common import let
 ADDED = ("n_lines", "n_removed")
 
 
-def _same_row(left: DataFrame, right: DataFrame, id_col: str):
-    return left[id_col].eqNullSafe(right["_id"]) & left["_row"].eqNullSafe(right["_text"])
-
-
 def line_windows(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``_id, _text, _pos, _h1, _h2``: a row for each window of ``width`` lines that are not all blank; 128 bits of hash."""
     # Java's \s and trim differ on rare characters; a line is blank if it has no word.
@@ -49,7 +45,7 @@ def dedup_lines(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_co
             .withColumn("_to", F.expr(f"transform(filter(_at, (x, i) -> i = size(_at) - 1 or get(_at, i + 1) - x > {width}), x -> x + {width})"))
             .drop("_at"))
     rows = docs.drop(*ADDED).withColumn("_row", F.xxhash64(text_col))
-    joined = rows.join(cuts, _same_row(rows, cuts, id_col), "left").drop("_id", "_text", "_row")
+    joined = rows.join(cuts, F.col(id_col).eqNullSafe(F.col("_id")) & F.col("_row").eqNullSafe(F.col("_text")), "left").drop("_id", "_text", "_row")
     kept = let(F.split(F.col(text_col), "\n"), lambda lines: F.flatten(F.transform(
         F.sequence(F.lit(0), F.size("_from")),
         lambda k: let(F.coalesce(F.get("_to", k - 1), F.lit(0)), lambda a: F.slice(

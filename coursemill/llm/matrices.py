@@ -7,6 +7,7 @@ about a million ids: nothing is shuffled, and a chunk is large enough for its ro
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -77,7 +78,7 @@ def pack_matrices(docs: DataFrame, size: int = 1024, tokenizer: str | None = Non
     """
     path = tokenizer or default_tokenizer()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    end = np.array([end_id], "<u4").tobytes()
+    end, ramp = np.array([end_id], "<u4").tobytes(), np.arange(size, dtype="<u4").tobytes()
     kind = dict(rows.dtypes)["doc_id"]
 
     def lay(items: list[tuple], first: int) -> pd.DataFrame:
@@ -88,9 +89,9 @@ def pack_matrices(docs: DataFrame, size: int = 1024, tokenizer: str | None = Non
             lengths = [len(s[2]) // 4 for s in segments]
             used = sum(lengths)
             all_lengths = [*lengths, size - used] if used < size else lengths
-            positions = np.concatenate([np.arange(n, dtype="<u4") for n in all_lengths])
-            out.append((first + row, used, [s[0] for s in segments], [s[1] for s in segments], np.cumsum([0, *lengths]).tolist(),
-                        b"".join(s[2] for s in segments) + end * (size - used), positions.tobytes()))
+            positions = b"".join(ramp[:4 * n] for n in all_lengths)
+            out.append((first + row, used, [s[0] for s in segments], [s[1] for s in segments], list(accumulate(lengths, initial=0)),
+                        b"".join(s[2] for s in segments) + end * (size - used), positions))
         return pd.DataFrame(out, columns=["sequence_id", "n_tokens", "doc_ids", "starts", "cu_seqlens", "ids", "position_ids"])
 
     def matrices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -154,5 +154,5 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, radius: int = 4, id_co
     kept = (simhash_groups(docs, words, radius, id_col, text_col).groupBy("group")
             .agg(F.min(row).alias("_kept")).select(F.col("_kept.id").alias("_id"), F.col("_kept.text_hash").alias("_hash")))
     rows = docs.withColumn("_row", F.xxhash64(text_col))
-    same = rows[id_col].eqNullSafe(kept["_id"]) & (rows["_row"] == kept["_hash"])
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_hash"))
     return rows.join(kept, same, "left_semi").dropDuplicates([id_col, "_row"]).drop("_row")
