@@ -54,7 +54,7 @@ def scd2_merge(history: DataFrame, delta: DataFrame, day: str) -> DataFrame:
     shuffle. Of the others a member has at most one per day.
     """
     settled = history.where(F.col("end_time") < day).select(*HISTORY)
-    stored = history.where(F.col("end_time") >= day).select(*HISTORY, F.lit(False).alias("_new"))
+    stored = history.where(F.coalesce(F.col("end_time") >= day, F.lit(True))).select(*HISTORY, F.lit(False).alias("_new"))
     fresh = delta.select(*HISTORY, F.lit(True).alias("_new"))
     rows = union_history(stored, fresh)
 

@@ -64,14 +64,14 @@ def read_snapshot(spark: SparkSession, path: str, keys: list[str], precombine: s
 
 
 def read_incremental(spark: SparkSession, path: str, keys: list[str], precombine: str, begin: int) -> DataFrame:
-    """The newest row of each key committed after ``begin``."""
-    return latest_by_key(read_commits(spark, path, begin), keys, [precombine, COMMIT])
+    """Current rows that were committed after ``begin``; a row that an older commit still outranks is not handed out."""
+    return read_snapshot(spark, path, keys, precombine).where(F.col(COMMIT) > begin)
 
 
 def read_between(spark: SparkSession, path: str, keys: list[str], precombine: str, begin: int,
                  end: int) -> DataFrame:
-    """The newest row of each key committed in (begin, end]."""
-    return latest_by_key(read_commits(spark, path, begin, end), keys, [precombine, COMMIT])
+    """Rows that were current at ``end`` and committed in (begin, end]."""
+    return latest_by_key(read_commits(spark, path, end=end), keys, [precombine, COMMIT]).where(F.col(COMMIT) > begin)
 
 
 def cow_upsert(spark: SparkSession, df: DataFrame, path: str, keys: list[str], precombine: str, partition: str,
@@ -81,6 +81,8 @@ def cow_upsert(spark: SparkSession, df: DataFrame, path: str, keys: list[str], p
     Touched are the folders of the new rows and those that hold an older row of
     the same keys, since a key whose partition changed has to leave its old one.
     """
+    # An empty partition value is stored as the default folder and reads back as null.
+    df = df.withColumn(partition, F.when(F.col(partition).cast("string") != "", F.col(partition)))
     rows = latest_by_key(df, keys, [precombine]).withColumn(COMMIT, F.lit(commit).cast("bigint"))
     if not table_exists(spark, path):
         write_overwrite(rows, path, [partition])
@@ -88,6 +90,9 @@ def cow_upsert(spark: SparkSession, df: DataFrame, path: str, keys: list[str], p
     stored = spark.read.schema(rows.schema).parquet(path)
     old_homes = stored.join(rows.select(*keys), keys, "left_semi").select(partition)
     touched = [r[0] for r in old_homes.union(rows.select(partition)).distinct().collect()]
-    kept = stored.where(F.col(partition).isin(touched)).select(*rows.columns)
+    home = F.col(partition).isin([t for t in touched if t is not None])
+    if None in touched:
+        home = home | F.col(partition).isNull()
+    kept = stored.where(home).select(*rows.columns)
     merged = latest_by_key(kept.unionByName(rows), keys, [precombine, COMMIT])
     replace_touched(spark, merged, path, partition, touched)

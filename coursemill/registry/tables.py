@@ -164,11 +164,11 @@ _LAKE = """
 """
 
 
-def _latest(where: str, cols: str = "uid, ts, orderid, name, dn, _commit_ts") -> str:
+def _latest(where: str, cols: str = "uid, ts, orderid, name, dn, _commit_ts", after: int = 0) -> str:
     return _LAKE + f"""
         SELECT {cols} FROM (
             SELECT *, row_number() OVER (PARTITION BY uid ORDER BY ts DESC, _commit_ts DESC, orderid DESC) AS rn
-            FROM lake WHERE {where}) WHERE rn = 1"""
+            FROM lake WHERE {where}) WHERE rn = 1 AND _commit_ts > {after}"""
 
 
 _YEARS = "SELECT o_orderkey, {price} AS o_totalprice, strftime(o_orderdate, '%Y') AS dt, o_orderstatus AS dn FROM orders"
@@ -181,8 +181,8 @@ SQL = {
         SELECT id, s.name, b.count + s.count AS count FROM chg s JOIN base b USING (id) UNION ALL SELECT * FROM more""",
     "versioned_insert": _latest("true", "uid, ts, orderid, name, dn"),
     "versioned_snapshot": _latest("true"),
-    "versioned_incremental": _latest("_commit_ts > 1"),
-    "versioned_point_in_time": _latest("_commit_ts > 1 AND _commit_ts <= 2"),
+    "versioned_incremental": _latest("true", after=1),
+    "versioned_point_in_time": _latest("_commit_ts <= 2", after=1),
     "versioned_cow": _latest("true"),
     "versioned_move_partition": f"SELECT dn, count(*) AS n, count(DISTINCT uid) AS uids FROM ({_latest('true')}) GROUP BY dn",
     "sink_append": _YEARS.format(price="o_totalprice"),

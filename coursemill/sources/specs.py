@@ -153,10 +153,10 @@ SCANS = {
                   "vip_id vip_level start_time>vip_start_time end_time>vip_end_time "
                   "last_modify_time>vip_last_modify_time max_free>vip_max_free min_free>vip_min_free "
                   "next_level>vip_next_level operator>vip_operator dn"),
-    "member_payment": ("dwd.dwd_pcentermempaymoney", "uid paymoney::decimal(10,4) vip_id dn"),
+    "member_payment": ("dwd.dwd_pcentermempaymoney", "uid paymoney::decimal(20,4) vip_id dn"),
     "member_wide": ("dws.dws_member",
                     "uid ad_id memberlevel register appregurl regsource regsourcename adname siteid sitename "
-                    "vip_level paymoney::decimal(10,4) dt dn"),
+                    "vip_level paymoney::decimal(20,4) dt dn"),
     # question bank, detail layer
     "qz_chapter": ("dwd.dwd_qz_chapter",
                    "chapterid chapterlistid chaptername sequence showstatus status creator>chapter_creator "

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from coursemill.sources.specs import SCANS
@@ -15,15 +16,11 @@ def table_path(root: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    # dt and dn are folder names; without this Spark would read a day as a number.
-    return (spark.read.option("basePath", table_path(root, name))
-            .parquet(table_path(root, name))
-            .transform(_text_partitions))
-
-
-def _text_partitions(df: DataFrame) -> DataFrame:
-    cols = {c: F.col(c).cast("string") for c in ("dt", "dn") if c in df.columns and dict(df.dtypes)[c] != "string"}
-    return df.withColumns(cols) if cols else df
+    reader = spark.read.option("basePath", table_path(root, name))
+    found = reader.parquet(table_path(root, name)).schema
+    # dt and dn are folder names; by itself Spark would read a day, or a name like 007, as a number.
+    text = StructType([StructField(f.name, StringType(), f.nullable) if f.name in ("dt", "dn") else f for f in found])
+    return reader.parquet(table_path(root, name)) if text == found else reader.schema(text).parquet(table_path(root, name))
 
 
 def parse_columns(text: str) -> list[tuple[str, str, str | None]]:
