@@ -16,11 +16,15 @@ def table_path(root: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    reader = spark.read.option("basePath", table_path(root, name))
-    found = reader.parquet(table_path(root, name)).schema
-    # dt and dn are folder names; by itself Spark would read a day, or a name like 007, as a number.
-    text = StructType([StructField(f.name, StringType(), f.nullable) if f.name in ("dt", "dn") else f for f in found])
-    return reader.parquet(table_path(root, name)) if text == found else reader.schema(text).parquet(table_path(root, name))
+    return read_folder(spark, table_path(root, name))
+
+
+def read_folder(spark: SparkSession, path: str) -> DataFrame:
+    """A table by its folder. ``dt`` and ``dn`` are folder names; by itself Spark would read a day, or a name like 007, as a number."""
+    reader = spark.read.option("basePath", path)
+    found = reader.parquet(path)
+    text = StructType([StructField(f.name, StringType(), f.nullable) if f.name in ("dt", "dn") else f for f in found.schema])
+    return found if text == found.schema else reader.schema(text).parquet(path)
 
 
 def parse_columns(text: str) -> list[tuple[str, str, str | None]]:

@@ -88,7 +88,7 @@ def test_snapshot_incremental_and_between(spark, frame):
     V.versioned_upsert(frame(LAKE, (2, "09", "older", "p"), (3, "13", "e", "p")), path, ["uid"], "ts", 300)  # repeated
     cols = ("uid", "name", V.COMMIT)
     assert rows_of(V.read_snapshot(spark, path, ["uid"], "ts"), *cols) == [(1, "tie", 200), (2, "c", 100), (3, "e", 300)]
-    assert rows_of(V.read_incremental(spark, path, ["uid"], "ts", 200), *cols) == [(2, "older", 300), (3, "e", 300)]
+    assert rows_of(V.read_incremental(spark, path, ["uid"], "ts", 200), *cols) == [(3, "e", 300)]  # 2 is outranked
     assert rows_of(V.read_between(spark, path, ["uid"], "ts", 100, 200), *cols) == [(1, "tie", 200), (3, "d", 200)]
     plan = plan_of(V.read_between(spark, path, ["uid"], "ts", 100, 200))
     assert "PartitionFilters: [isnotnull(_commit_ts" in plan and "WindowGroupLimit" in plan
@@ -96,6 +96,13 @@ def test_snapshot_incremental_and_between(spark, frame):
     assert V.read_snapshot(spark, path, ["uid"], "ts").count() == 1
 
 
+def test_rows_without_partition_stay_and_names_stay_text(spark, frame):
+    path = scratch_dir(spark, "cow")
+    V.cow_upsert(spark, frame("uid int, ts string, name string, dn string", (1, "10", "a", None), (2, "10", "b", ""), (3, "10", "c", "007")), path, ["uid"], "ts", "dn", 1)
+    V.cow_upsert(spark, frame("uid int, ts string, name string, dn string", (4, "10", "d", None)), path, ["uid"], "ts", "dn", 2)
+    assert rows_of(T.read_folder(spark, path), "uid", "dn") == [(1, None), (2, None), (3, "007"), (4, None)]
+
+
 @pytest.mark.parametrize("commits", [2, 3])
 def test_both_layouts_hold_the_same_rows(spark, frame, commits):
     log, cow = scratch_dir(spark, "log"), scratch_dir(spark, "cow")
@@ -130,7 +137,7 @@ def test_append_and_dynamic_overwrite(spark, frame):
     W.write_append(df, path)
     W.write_append(df, path)
     W.write_overwrite(df.where("a = 2").withColumn("a", F.lit(5)), path)
-    read = T._text_partitions(spark.read.parquet(path))
+    read = T.read_folder(spark, path)
     assert rows_of(read, "a", "dt", "dn") == [(1, "20240101", "w"), (1, "20240101", "w"), (5, "20240102", "w")]
     assert "PartitionFilters: [isnotnull(" in plan_of(T.partition_filter(read, "20240101"))
     W.replace_table(df.limit(0), path)
