@@ -17,15 +17,15 @@ PASSWORD_MASK = "******"
 
 
 def int_or_zero(c: Column) -> Column:
-    """Text to int; missing, null or non-numeric text is 0, fractions are cut."""
-    whole = c.try_cast("int")
-    cut = c.try_cast("decimal(38,10)").try_cast("int")
-    return F.coalesce(whole, cut, F.lit(0))
+    """Text to a whole number of 64 bits; missing, null or non-numeric text is 0, fractions are cut."""
+    whole = c.try_cast("bigint")
+    cut = c.try_cast("decimal(38,10)").try_cast("bigint")
+    return F.coalesce(whole, cut, F.lit(0).cast("bigint"))
 
 
 def is_bad_int(c: Column) -> Column:
     """True where ``int_or_zero`` had to give up on text that was present."""
-    return c.isNotNull() & (F.trim(c) != "") & c.try_cast("decimal(38,10)").try_cast("int").isNull()
+    return c.isNotNull() & (F.trim(c) != "") & c.try_cast("decimal(38,10)").try_cast("bigint").isNull()
 
 
 def long_or_null(c: Column) -> Column:
@@ -36,7 +36,7 @@ def string_or_empty(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
-def decimal_half_up(c: Column, scale: int = 1, precision: int = 10) -> Column:
+def decimal_half_up(c: Column, scale: int = 1, precision: int = 20) -> Column:
     """Round half up to ``scale`` places; text that is no number becomes null."""
     return c.try_cast(f"decimal({precision},{scale})")
 

@@ -20,7 +20,7 @@ def daily_payment_delta(payment: DataFrame, vip: DataFrame, dt: str | None = Non
     ``dt`` picks one day; without it every day comes out.
     """
     per_level = (partition_filter(payment, dt).groupBy("uid", "dn", "dt", "vip_id")
-                 .agg(F.sum(F.col("paymoney").cast("decimal(10,4)")).alias("paymoney")))
+                 .agg(F.sum(F.col("paymoney").cast("decimal(20,4)")).alias("paymoney")))
     return (payment_vip_join(per_level, rename_drop(vip, drops=["dt"])).groupBy("uid", "dn", "dt")
             .agg(F.sum("paymoney").cast(MONEY).alias("paymoney"),
                  F.max("vip_level").alias("vip_level"))

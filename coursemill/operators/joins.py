@@ -61,7 +61,8 @@ def hot_left_join(left: DataFrame, right: DataFrame, keys: list[str], n: int = S
     of a hot key are copied per salt; a hot key exists on the right by
     definition, so a copy without a partner is only a leftover and is removed.
     """
-    hot = hot_keys(right, keys, min_rows).withColumn("_hot", F.lit(True))
+    # At most one key in ``min_rows`` rows is hot, so the keys fit into every task and ``right`` is shuffled once.
+    hot = F.broadcast(hot_keys(right, keys, min_rows).withColumn("_hot", F.lit(True)))
     spread = (right.join(hot, keys, "left")
               .withColumn(SALT, F.when(F.col("_hot"), _row_salt(right, n, None)).otherwise(0))
               .withColumn("_hit", F.lit(True)).drop("_hot"))

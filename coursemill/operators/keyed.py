@@ -2,7 +2,8 @@
 
 The frame functions say what a change does to a table. The ``apply_*``
 functions do it on disk: rows live in a folder per hash slot, and only the
-slots a change touches are read and written again.
+slots a change touches are read and written again. The number of slots is
+stored with the table when it is created.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from coursemill.sources.tables import table_exists
 SLOT = "_slot"
 BATCH = "_batch"
 PARTS = 3  # fixed value: hash partitions of a keyed table
+SLOTS = "_slots"  # folder of the slot count; no part of the table to a reader
 
 
 # --- what a change does --------------------------------------------------------
@@ -76,8 +78,9 @@ def _slot(keys: list[str], parts: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(parts)).cast("int")
 
 
-def keyed_create(spark: SparkSession, path: str, schema: StructType) -> None:
-    """An empty keyed table: its first slot, without rows."""
+def keyed_create(spark: SparkSession, path: str, schema: StructType, parts: int = PARTS) -> None:
+    """An empty keyed table of ``parts`` slots: its slot count and its first slot, without rows."""
+    replace_table(spark.range(1).select(F.lit(parts).alias("parts")), f"{path}/{SLOTS}")
     empty = StructType(list(schema.fields) + [StructField(BATCH, LongType())])
     replace_table(spark.createDataFrame([], empty), f"{path}/{SLOT}=0")
 
@@ -97,8 +100,9 @@ def read_keyed(spark: SparkSession, path: str, schema: StructType | None = None)
     return df.drop(SLOT, BATCH)
 
 
-def _apply(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], parts: int, schema: StructType,
-           change: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+def _apply(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], schema: StructType,
+           change: Callable[[DataFrame, DataFrame], DataFrame], may_empty: bool = False) -> None:
+    parts = spark.read.schema("parts int").parquet(f"{path}/{SLOTS}").first()[0]
     rows = rows.withColumn(SLOT, _slot(keys, parts))
     # At most ``parts`` numbers come to the driver.
     touched = [r[0] for r in rows.select(SLOT).distinct().collect()]
@@ -106,36 +110,32 @@ def _apply(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], par
         return
     old = _stored(spark, path, schema).where(F.col(SLOT).isin(touched))
     new = change(old.drop(SLOT), rows.drop(SLOT)).withColumn(SLOT, _slot(keys, parts))
-    replace_touched(spark, new, path, SLOT, touched)
+    replace_touched(spark, new, path, SLOT, touched if may_empty else [])
 
 
-def apply_insert(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], schema: StructType,
-                 parts: int = PARTS) -> None:
-    _apply(spark, path, rows.withColumn(BATCH, F.lit(None).cast("bigint")), keys, parts, schema,
+def apply_insert(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], schema: StructType) -> None:
+    _apply(spark, path, rows.withColumn(BATCH, F.lit(None).cast("bigint")), keys, schema,
            lambda t, r: keyed_insert(t, r, keys))
 
 
-def apply_update(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], schema: StructType,
-                 parts: int = PARTS) -> None:
-    _apply(spark, path, rows, keys, parts, schema, lambda t, r: keyed_update(t, r, keys))
+def apply_update(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], schema: StructType) -> None:
+    _apply(spark, path, rows, keys, schema, lambda t, r: keyed_update(t, r, keys))
 
 
-def apply_delete(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], schema: StructType,
-                 parts: int = PARTS) -> None:
-    _apply(spark, path, rows, keys, parts, schema, lambda t, r: keyed_delete(t, r, keys))
+def apply_delete(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], schema: StructType) -> None:
+    _apply(spark, path, rows, keys, schema, lambda t, r: keyed_delete(t, r, keys), may_empty=True)
 
 
-def apply_upsert(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], schema: StructType,
-                 parts: int = PARTS) -> None:
-    _apply(spark, path, rows.withColumn(BATCH, F.lit(None).cast("bigint")), keys, parts, schema,
+def apply_upsert(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], schema: StructType) -> None:
+    _apply(spark, path, rows.withColumn(BATCH, F.lit(None).cast("bigint")), keys, schema,
            lambda t, r: keyed_upsert(t, r, keys))
 
 
 def apply_add(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], sums: list[str],
-              schema: StructType, batch: int, parts: int = PARTS) -> None:
+              schema: StructType, batch: int) -> None:
     """Add a numbered batch once: a key that already holds this batch, or a later one, is left as it is."""
     def change(table: DataFrame, increments: DataFrame) -> DataFrame:
         done = table.where(F.col(BATCH) >= F.lit(batch)).select(*keys)
         todo = increments.join(done, keys, "left_anti")
         return keyed_add(table, todo, keys, sums)
-    _apply(spark, path, rows.withColumn(BATCH, F.lit(batch).cast("bigint")), keys, parts, schema, change)
+    _apply(spark, path, rows.withColumn(BATCH, F.lit(batch).cast("bigint")), keys, schema, change)

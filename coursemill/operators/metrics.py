@@ -106,7 +106,7 @@ def score_segment_users(detail: DataFrame, dt: str | None = None, ids_per_row: i
 
     A band may hold any number of users, so its text is cut into rows of at
     most ``ids_per_row`` ids, numbered by ``part``; a band that fits is one row
-    with part 0, as nearly all do. User ids are whole numbers of 32 bits.
+    with part 0, as nearly all do. User ids are whole numbers.
     """
     band = F.struct(*PAPER, score_band(F.col("score")).alias("score_segment"))
     # One struct as key: equal structs match even where a field is null, and the
@@ -135,9 +135,14 @@ def _numbered(rows: DataFrame, ids_per_row: int) -> DataFrame:
     """
     span = max(1, ids_per_row // 10)
     rows = rows.withColumn("block", F.floor(F.col("userid") / span))
-    blocks = rows.groupBy("g", "block").agg(F.sum("n").alias("block_n"))
-    before = Window.partitionBy("g").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select("g", "block", F.coalesce(F.sum("block_n").over(before), F.lit(0)).alias("offset"))
+    blocks = rows.groupBy("g", "block").agg(F.sum("n").alias("block_n")).withColumn("area", F.floor(F.col("block") / span))
+    # Blocks are summed up inside areas and areas inside the group, so that no task holds all blocks of a group.
+    areas = blocks.groupBy("g", "area").agg(F.sum("block_n").alias("area_n"))
+    earlier = Window.partitionBy("g").orderBy("area").rowsBetween(Window.unboundedPreceding, -1)
+    areas = areas.select("g", "area", F.coalesce(F.sum("area_n").over(earlier), F.lit(0)).alias("area_offset"))
+    before = Window.partitionBy("g", "area").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (blocks.withColumn("inside", F.coalesce(F.sum("block_n").over(before), F.lit(0))).join(areas, ["g", "area"])
+              .select("g", "block", (F.col("area_offset") + F.col("inside")).alias("offset")))
 
     upto = Window.partitionBy("g", "block").orderBy("userid").rowsBetween(Window.unboundedPreceding, 0)
     size = F.lit(ids_per_row)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from coursemill.session import scratch_dir
 from coursemill.sources.specs import BUCKETS
 
 
@@ -48,24 +47,21 @@ def partition_folder(column: str, value) -> str:
 
 
 def replace_touched(spark: SparkSession, rows: DataFrame, path: str, partition: str, touched: list) -> None:
-    """Replace the ``touched`` partitions of a table by rows that were computed from it.
-
-    The new rows are complete on shared storage before a stored partition is
-    replaced, so a failure while they are computed leaves the old ones in
-    place. Replacing several partitions is not one atomic step: should the
-    driver die in the middle of it, the staged rows have to be copied again.
-    A partition that lost its last row has nothing to be overwritten with and
-    is emptied.
-    ``touched`` holds partition values, never rows.
+    """Replace partitions of a table by rows that were computed from it.
+
+    Spark moves the new folders into place when all rows are written, so a
+    failure before that leaves the old ones as they are. Replacing several
+    partitions is not one atomic step. A partition that lost its last row has
+    nothing to be overwritten with and is emptied: ``touched`` names those it
+    may happen to. It holds partition values, never rows.
     """
-    stage = scratch_dir(spark, "stage")
-    replace_table(rows, stage)
-    staged = spark.read.schema(rows.schema).parquet(stage)
-    write_overwrite(spread_for_partitions(staged, [partition]), path, [partition])
-    filled = {r[0] for r in staged.select(partition).distinct().collect()}
+    left = {partition_folder(partition, t) for t in touched}
+    if left:
+        left -= {partition_folder(partition, r[0]) for r in rows.select(partition).distinct().collect()}
+    write_overwrite(spread_for_partitions(rows, [partition]), path, [partition])
     schema = StructType([f for f in rows.schema.fields if f.name != partition])
-    for value in set(touched) - filled:
-        replace_table(spark.createDataFrame([], schema), f"{path}/{partition_folder(partition, value)}")
+    for folder in left:
+        replace_table(spark.createDataFrame([], schema), f"{path}/{folder}")
 
 
 def limit_files(df: DataFrame, n: int) -> DataFrame:

@@ -44,7 +44,7 @@ def build_member_history(spark: SparkSession, root: str, dt: str) -> None:
     path = table_path(root, "dws.dws_member_zipper")
     if table_exists(spark, path):
         stored = spark.read.parquet(path).withColumn(END_MONTH, F.col(END_MONTH).cast("string"))
-        stored = stored.where(F.col(END_MONTH) >= day[:7])
+        stored = stored.where(F.col(END_MONTH).isNull() | (F.col(END_MONTH) >= day[:7]))
         touched = [r[0] for r in stored.select(END_MONTH).distinct().collect()]
     else:
         stored, touched = delta.limit(0), []
@@ -71,9 +71,9 @@ def member_reports_sql(spark: SparkSession, root: str, dt: str) -> dict[str, Dat
            for by in MEMBER_COUNTS.values()}
     out["top3"] = spark.sql("""
         SELECT uid, memberlevel, register, appregurl, regsourcename, adname, sitename, vip_level,
-               CAST(paymoney AS decimal(10,4)) AS paymoney, rownum, dt, dn
+               CAST(paymoney AS decimal(20,4)) AS paymoney, rownum, dt, dn
         FROM (SELECT *, row_number() OVER (PARTITION BY dt, dn, memberlevel
-                                           ORDER BY CAST(paymoney AS decimal(10,4)) DESC, uid) AS rownum
+                                           ORDER BY CAST(paymoney AS decimal(20,4)) DESC, uid) AS rownum
               FROM wide_of_day)
         WHERE rownum < 4 ORDER BY memberlevel, rownum""")
     return out

@@ -89,7 +89,7 @@ def etl_tsv_fields(spark: SparkSession, sf: str) -> DataFrame:
 
 def scan_project_partition(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").withColumn("dt", F.date_format("o_orderdate", "yyyy"))
-    return plain(scan_table(orders, "o_orderkey>orderid o_custkey>uid o_totalprice>paymoney::decimal(10,4) dt", "1997"))
+    return plain(scan_table(orders, "o_orderkey>orderid o_custkey>uid o_totalprice>paymoney::decimal(20,4) dt", "1997"))
 
 
 def filter_score_range(spark: SparkSession, sf: str) -> DataFrame:
@@ -130,14 +130,14 @@ QUERIES = {
 
 SQL = {
     "etl_member": """
-        SELECT CAST(c_custkey AS INTEGER) AS uid, c_nationkey AS ad_id, substr(c_name, 1, 1) || 'xx' AS fullname,
+        SELECT CAST(c_custkey AS BIGINT) AS uid, CAST(c_nationkey AS BIGINT) AS ad_id, substr(c_name, 1, 1) || 'xx' AS fullname,
                '/icon/' || c_custkey AS iconurl, c_mktsegment AS memberlevel, '******' AS password,
                CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS paymoney,
                '138*****' || substr(lpad(CAST(c_custkey AS VARCHAR), 8, '0'), 5, 4) AS phone,
                CAST(NULL AS VARCHAR) AS qq, '20240101' AS dt, 'web' AS dn FROM customer""",
     "etl_drop_bad_json": "SELECT c_custkey AS uid, c_name AS fullname FROM customer",
     "etl_int_or_zero": """
-        SELECT p_partkey AS id, CASE WHEN p_partkey % 6 < 3 THEN p_size ELSE 0 END AS n FROM part""",
+        SELECT p_partkey AS id, CAST(CASE WHEN p_partkey % 6 < 3 THEN p_size ELSE 0 END AS BIGINT) AS n FROM part""",
     "etl_string_or_empty": """
         SELECT CAST(c_custkey AS VARCHAR) AS uid, '' AS app_id, '' AS device_id,
                CASE WHEN c_custkey % 3 = 0 THEN '10.0.0.1' ELSE '' END AS ip, '' AS last_page_id,
@@ -156,7 +156,7 @@ SQL = {
                CASE c_custkey % 6 WHEN 1 THEN 'a' WHEN 2 THEN 'b' ELSE 'e' END AS mark
         FROM customer WHERE c_custkey % 6 IN (1, 2, 4)""",
     "scan_project_partition": """
-        SELECT o_orderkey AS orderid, o_custkey AS uid, CAST(CAST(o_totalprice AS DECIMAL(10,4)) AS DOUBLE) AS paymoney,
+        SELECT o_orderkey AS orderid, o_custkey AS uid, CAST(CAST(o_totalprice AS DECIMAL(20,4)) AS DOUBLE) AS paymoney,
                strftime(o_orderdate, '%Y') AS dt FROM orders WHERE strftime(o_orderdate, '%Y') = '1997'""",
     "filter_score_range": """
         SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem

@@ -37,7 +37,7 @@ def text(c: str | Column) -> Column:
 
 
 def whole(c: str | Column) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("int")
+    return (F.col(c) if isinstance(c, str) else c).cast("bigint")
 
 
 def month_of(c: str) -> Column:
@@ -112,7 +112,7 @@ def orders_geo(spark: SparkSession, sf: str) -> DataFrame:
 
 def payment(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as payments; partly delivered ones carry no amount."""
-    money = F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice").cast("decimal(10,4)"))
+    money = F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice").cast("decimal(20,4)"))
     return orders_geo(spark, sf).select(
         whole("o_custkey").alias("uid"), money.alias("paymoney"),
         whole(F.substring("o_orderpriority", 1, 1)).alias("vip_id"),
@@ -206,7 +206,7 @@ CTE = {
     "geo": "SELECT * FROM nation JOIN region ON n_regionkey = r_regionkey",
     "customer_geo": "SELECT * FROM customer JOIN geo ON c_nationkey = n_nationkey",
     "member": """
-        SELECT CAST(c_custkey AS INTEGER) AS uid, c_nationkey AS ad_id, substr(c_name, 1, 1) || 'xx' AS fullname,
+        SELECT CAST(c_custkey AS BIGINT) AS uid, c_nationkey AS ad_id, substr(c_name, 1, 1) || 'xx' AS fullname,
                '/icon/' || c_custkey AS iconurl, '2023-02-' || lpad(CAST(c_custkey % 28 + 1 AS VARCHAR), 2, '0') AS lastlogin,
                'mail-' || c_custkey AS mailaddr, c_mktsegment AS memberlevel, '******' AS password,
                '138*****' || substr(lpad(CAST(c_custkey AS VARCHAR), 8, '0'), 5, 4) AS phone,
@@ -217,7 +217,7 @@ CTE = {
                '2023010' || (c_custkey % 3 + 1) AS dt, r_name AS dn
         FROM customer_geo""",
     "regtype": """
-        SELECT CAST(c_custkey AS INTEGER) AS uid, 'app' || k AS appkey, '/' || n_name || '/' || k AS appregurl,
+        SELECT CAST(c_custkey AS BIGINT) AS uid, 'app' || k AS appkey, '/' || n_name || '/' || k AS appregurl,
                'b' || c_custkey AS bdp_uuid, '2023-01-0' || k AS reg_createtime, '-' AS isranreg,
                CAST(c_nationkey % 6 AS VARCHAR) AS regsource,
                CASE c_nationkey % 6 WHEN 1 THEN 'PC' WHEN 2 THEN 'Mobile' WHEN 3 THEN 'App' WHEN 4 THEN 'WeChat'
@@ -230,24 +230,24 @@ CTE = {
                '2020-01-01' AS site_createtime, 'admin' AS site_creator, r_name AS dn FROM region""",
     "orders_geo": "SELECT * FROM orders JOIN customer_geo ON o_custkey = c_custkey",
     "payment": """
-        SELECT CAST(o_custkey AS INTEGER) AS uid,
-               CASE WHEN o_orderstatus <> 'P' THEN CAST(o_totalprice AS DECIMAL(10,4)) END AS paymoney,
-               CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS vip_id,
+        SELECT CAST(o_custkey AS BIGINT) AS uid,
+               CASE WHEN o_orderstatus <> 'P' THEN CAST(o_totalprice AS DECIMAL(20,4)) END AS paymoney,
+               CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS vip_id,
                strftime(o_orderdate, '%Y%m%d') AS dt, r_name AS dn FROM orders_geo""",
     "vip": """
-        SELECT CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS vip_id, min(o_orderpriority) AS vip_level,
+        SELECT CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS vip_id, min(o_orderpriority) AS vip_level,
                min(strftime(o_orderdate, '%Y-%m-%d')) AS vip_start_time,
                max(strftime(o_orderdate, '%Y-%m-%d')) AS vip_end_time,
                max(strftime(o_orderdate, '%Y-%m-%d')) AS vip_last_modify_time, '99' AS vip_max_free,
-               '1' AS vip_min_free, CAST(CAST(substr(o_orderpriority, 1, 1) AS INTEGER) + 1 AS VARCHAR) AS vip_next_level,
+               '1' AS vip_min_free, CAST(CAST(substr(o_orderpriority, 1, 1) AS BIGINT) + 1 AS VARCHAR) AS vip_next_level,
                'op' || substr(o_orderpriority, 1, 1) AS vip_operator, r_name AS dn
-        FROM orders_geo WHERE CAST(substr(o_orderpriority, 1, 1) AS INTEGER) < 5
+        FROM orders_geo WHERE CAST(substr(o_orderpriority, 1, 1) AS BIGINT) < 5
         GROUP BY substr(o_orderpriority, 1, 1), r_name""",
     "detail": """
-        SELECT CAST(l_orderkey AS INTEGER) AS userid, CAST(l_suppkey AS INTEGER) AS paperviewid,
+        SELECT CAST(l_orderkey AS BIGINT) AS userid, CAST(l_suppkey AS BIGINT) AS paperviewid,
                s_name AS paperviewname, 'c' || l_linenumber AS chaptername, 'p' || l_partkey AS pointname,
-               CAST(round(l_discount * 1000) AS INTEGER) AS score, CAST(l_quantity AS INTEGER) AS spendtime,
-               CAST(l_partkey AS INTEGER) AS questionid, CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS answer,
+               CAST(round(l_discount * 1000) AS INTEGER) AS score, CAST(l_quantity AS BIGINT) AS spendtime,
+               CAST(l_partkey AS BIGINT) AS questionid, CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS answer,
                strftime(l_shipdate, '%Y%m') AS dt, l_returnflag AS dn
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""",
     "learn": """

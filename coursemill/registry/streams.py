@@ -39,8 +39,7 @@ def _timed(events: DataFrame) -> DataFrame:
 def stream_sliding_window(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_dir(spark, "windows")
     _finish(jobs.run_window_counts(_timed(I.event_stream(spark, sf)), "ts", "event_type", f"{base}/out", f"{base}/cp"))
-    schema = jobs.window_counts(_timed(I.events(spark, sf)), "ts", "event_type").schema
-    rows = read_state(spark, f"{base}/out", ["window_start", "event_type"], schema)
+    rows = jobs.read_windows(spark, f"{base}/out", "event_type")
     at = [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("window_start", "window_end")]
     return rows.select(*at, "event_type", "num")
 

@@ -39,15 +39,15 @@ def _changes(spark: SparkSession, sf: str) -> DataFrame:
 def keyed_query(kind: str, spark: SparkSession, sf: str) -> DataFrame:
     base, rows, keys, parts = _accounts(spark, sf), _changes(spark, sf), ["id"], _parts(spark)
     path = scratch_dir(spark, kind)
-    K.keyed_create(spark, path, base.schema)
-    K.apply_insert(spark, path, base, keys, base.schema, parts)
+    K.keyed_create(spark, path, base.schema, parts)
+    K.apply_insert(spark, path, base, keys, base.schema)
     if kind == "keyed_add":
-        K.apply_add(spark, path, rows, keys, ["count"], base.schema, 1, parts)
-        K.apply_add(spark, path, rows, keys, ["count"], base.schema, 1, parts)  # repeated batch: no effect
+        K.apply_add(spark, path, rows, keys, ["count"], base.schema, 1)
+        K.apply_add(spark, path, rows, keys, ["count"], base.schema, 1)  # repeated batch: no effect
     else:
         change = {"keyed_insert": K.apply_insert, "keyed_update": K.apply_update, "keyed_delete": K.apply_delete,
                   "keyed_upsert": K.apply_upsert}[kind]
-        change(spark, path, rows, keys, base.schema, parts)
+        change(spark, path, rows, keys, base.schema)
     return K.read_keyed(spark, path, base.schema)
 
 

@@ -22,6 +22,7 @@ from coursemill.operators.sinks import replace_table
 from coursemill.streaming.sinks import append_commits, start
 
 WINDOW, SLIDE = "60 seconds", "6 seconds"  # fixed values
+PANES = 10  # slides in a window
 LATENESS = "10 minutes"
 EVERY_3_SECONDS = {"processingTime": "3 seconds"}
 AVAILABLE = {"availableNow": True}
@@ -29,7 +30,7 @@ AVAILABLE = {"availableNow": True}
 
 def window_counts(stream: DataFrame, ts: str, key: str, window: str = WINDOW, slide: str = SLIDE,
                   lateness: str = LATENESS) -> DataFrame:
-    """Rows per key in sliding windows of event time; rows later than ``lateness`` are not counted."""
+    """Rows per key in sliding windows of event time; on a stream, rows later than ``lateness`` are not counted."""
     return (stream.withWatermark(ts, lateness)
             .groupBy(F.window(ts, window, slide).alias("w"), key).agg(F.count(F.lit(1)).alias("num"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), key, "num"))
@@ -41,9 +42,26 @@ def running_counts(stream: DataFrame, key: str) -> DataFrame:
 
 
 def run_window_counts(stream: DataFrame, ts: str, key: str, out: str, checkpoint: str,
-                      trigger: dict | None = None, **kw) -> StreamingQuery:
-    """Counts of all windows as they grow, as commits."""
-    return start(window_counts(stream, ts, key, **kw), checkpoint, append_commits(out), trigger=trigger)
+                      trigger: dict | None = None, slide: str = SLIDE) -> StreamingQuery:
+    """Rows per slide of event time and key in each batch, as commits: however late a row is, it counts.
+
+    There is no state. A row is counted once, not once for each window it lies in; ``read_windows`` makes the windows.
+    """
+    write = append_commits(out)
+
+    def each(batch: DataFrame, number: int) -> None:
+        write(batch.groupBy(F.window(ts, slide)["start"].alias("pane"), key).agg(F.count(F.lit(1)).alias("num")), number)
+    return start(stream, checkpoint, each, mode="append", trigger=trigger)
+
+
+def read_windows(spark: SparkSession, path: str, key: str, slide: str = SLIDE, panes: int = PANES) -> DataFrame:
+    """Rows per key in sliding windows of ``panes`` slides, from the commits of ``run_window_counts``; keys are text."""
+    stored = spark.read.schema(f"pane timestamp, {key} string, num bigint").parquet(path)
+    counts = stored.groupBy("pane", key).agg(F.sum("num").alias("num"))
+    step = F.expr(f"INTERVAL {slide}")
+    begin = F.explode(F.sequence(F.col("pane") - step * (panes - 1), F.col("pane"), step))
+    return (counts.withColumn("window_start", begin).groupBy("window_start", key).agg(F.sum("num").alias("num"))
+            .select("window_start", (F.col("window_start") + step * panes).alias("window_end"), key, "num"))
 
 
 def run_closed_windows(stream: DataFrame, ts: str, key: str, out: str, checkpoint: str,
@@ -110,13 +128,13 @@ def run_keyed_counts(spark: SparkSession, apps: DataFrame, table: str, checkpoin
                      parts: int = 3, trigger: dict | None = None) -> StreamingQuery:
     """Rows per app (``servicetype``), each batch added to a keyed table exactly once."""
     if not keyed_exists(spark, table):
-        keyed_create(spark, table, KEYED_COUNTS)
+        keyed_create(spark, table, KEYED_COUNTS, parts)
     ids = F.create_map(*[F.lit(x) for pair in APP_IDS.items() for x in pair])
 
     def each(batch: DataFrame, number: int) -> None:
         counts = (batch.groupBy("servicetype").agg(F.count(F.lit(1)).alias("count"))
                   .select(F.try_element_at(ids, F.col("servicetype")).alias("id"), "servicetype", "count").persist())
-        apply_add(spark, table, counts, ["id"], ["count"], KEYED_COUNTS, number, parts)
+        apply_add(spark, table, counts, ["id"], ["count"], KEYED_COUNTS, number)
         counts.unpersist()
     return start(apps, checkpoint, each, mode="append", trigger=trigger)
 

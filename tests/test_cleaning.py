@@ -19,7 +19,7 @@ def one(spark, expr):
 
 
 @pytest.mark.parametrize("text,want", [("12", 12), ("-3", -3), ("12.7", 12), (" 5 ", 5), ("abc", 0), ("", 0),
-                                       (None, 0), ("99999999999", 0)])
+                                       (None, 0), ("99999999999", 99999999999), ("1" + "0" * 30, 0)])
 def test_int_or_zero(spark, text, want):
     assert one(spark, C.int_or_zero(F.lit(text).cast("string"))) == want
 

@@ -52,11 +52,11 @@ def test_a_batch_is_added_once(spark, frame, keyed):
 
 def test_untouched_slots_are_not_written(spark, frame, tmp_path):
     path, schema = str(tmp_path / "k"), frame(SCHEMA).schema
-    K.keyed_create(spark, path, schema)
-    K.apply_insert(spark, path, frame(SCHEMA, *[(i, "a", 1) for i in range(64)]), ["id"], schema, 8)
+    K.keyed_create(spark, path, schema, 8)
+    K.apply_insert(spark, path, frame(SCHEMA, *[(i, "a", 1) for i in range(64)]), ["id"], schema)
     files = lambda: {str(p) for p in tmp_path.rglob("*.parquet")}
     before = files()
-    K.apply_upsert(spark, path, frame(SCHEMA, (5, "z", 1)), ["id"], schema, 8)
+    K.apply_upsert(spark, path, frame(SCHEMA, (5, "z", 1)), ["id"], schema)
     changed = {f.split(K.SLOT + "=")[1].split("/")[0] for f in before ^ files()}
     assert len(changed) == 1
     assert K.read_keyed(spark, path, schema).count() == 64
@@ -196,3 +196,15 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
                 return default
     with pytest.raises(RuntimeError):
         scratch_dir(Session(), "x")
+
+
+def test_the_slot_count_stays_with_the_table(spark, frame):
+    """Changes need not know how many slots there are, so no key is stored twice or missed."""
+    path, schema = scratch_dir(spark, "slots"), frame(SCHEMA).schema
+    K.keyed_create(spark, path, schema, 7)
+    K.apply_insert(spark, path, frame(SCHEMA, *[(i, "a", 1) for i in range(20)]), ["id"], schema)
+    K.apply_upsert(spark, path, frame(SCHEMA, *[(i, "b", 2) for i in range(5)]), ["id"], schema)
+    K.apply_delete(spark, path, frame("id int", *[(i,) for i in range(15, 20)]), ["id"], schema)
+    want = [(i, "b", 2) if i < 5 else (i, "a", 1) for i in range(15)]
+    assert sorted(rows_of(K.read_keyed(spark, path, schema))) == want
+    assert len({r[0] for r in spark.read.parquet(path).select(K.SLOT).distinct().collect()}) > 1
