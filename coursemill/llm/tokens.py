@@ -38,7 +38,11 @@ class Encoder:
         self.marks = {m: self.whole(m) for m in ".,!?"}
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self._ids(text).tobytes()
+
+    def _ids(self, text: str) -> np.ndarray:
+        # The fast form gives the same ids without their places in the text.
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     @staticmethod
     def parts(text: str) -> list[str] | None:
@@ -52,11 +56,11 @@ class Encoder:
     def _learn(self, parts: list[str]) -> None:
         for at in range(0, len(parts), 2000):
             some = parts[at:at + 2000]
-            ids = np.array(self.tokenizer.encode("".join(p if p[0] == "\n" else " " + p for p in some), add_special_tokens=False).ids, "<u4")
+            ids = self._ids((" " + " ".join(some)).replace(" \n", "\n"))
             cuts = np.flatnonzero(self.starts[ids])
             if len(cuts) == len(some) and cuts[0] == 0:
                 raw, edges = ids.tobytes(), [*(4 * cuts).tolist(), 4 * len(ids)]
-                self.known.update((p, raw[a:b]) for p, a, b in zip(some, edges, edges[1:]))
+                self.known.update(zip(some, map(raw.__getitem__, map(slice, edges, edges[1:]))))
             else:
                 self.known.update((p, self.whole(p if p[0] == "\n" else " " + p)) for p in some)
 
@@ -79,7 +83,7 @@ class Encoder:
                 known[stem] = ids
             else:
                 new.add(stem)
-        self._learn(sorted(new))
+        self._learn(list(new))
         for p in marked:
             known[p] = known[p[:-1]] + self.marks[p[-1]]
 
