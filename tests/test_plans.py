@@ -163,5 +163,5 @@ def test_named_scan_prunes_columns_and_days(spark, warehouse):
     _, root = warehouse
     df = scan(spark, root, "member_regtype", DAYS[0]).select("uid", "siteid")
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<uid:int,websiteid:int>" in plan and "PartitionFilters: [isnotnull(dt" in plan
+    assert "ReadSchema: struct<uid:bigint,websiteid:bigint>" in plan and "PartitionFilters: [isnotnull(dt" in plan
     assert table_path(root, "dwd.x").endswith("/dwd/x")
