@@ -26,13 +26,3 @@ def spark(tmp_path_factory):
 def frame(spark):
     """``frame("a int, b string", (1, "x"), ...)``"""
     return lambda schema, *rows: spark.createDataFrame(list(rows), schema)
-
-
-def rows_of(df, *cols):
-    """Rows as sorted tuples."""
-    got = [tuple(r) for r in (df.select(*cols) if cols else df).collect()]
-    return sorted(got, key=lambda r: [(x is None, str(x)) for x in r])
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -3,7 +3,7 @@ from __future__ import annotations
 from decimal import Decimal
 
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 from pyspark.sql import functions as F
 
 from coursemill.functions import cleaning as C

@@ -4,7 +4,7 @@ import random
 from decimal import Decimal
 
 import pytest
-from conftest import plan_of, rows_of
+from helpers import plan_of, rows_of
 
 from coursemill.operators import history as H
 

@@ -6,7 +6,7 @@ import json
 from decimal import Decimal
 
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 from pyspark.sql import functions as F
 
 from coursemill.operators import joins as J

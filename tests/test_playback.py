@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 
 from coursemill.operators import mastery as K
 from coursemill.operators import playback as P
