@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ("html", "packing", "matrices", "language", "lines", "topk", "mixing", "simhash", "licenses", "quality")
+AREAS = ("html", "packing", "matrices", "language", "lines", "topk", "mixing", "simhash", "licenses", "quality", "lexical", "merkle", "bpe")
 
 QUERIES: dict = {}
 SQL: dict = {}
