@@ -31,6 +31,12 @@ def mastery_from_counts(counts: DataFrame, total: int = POINT_QUESTIONS) -> Data
         "mastery_rate", F.col("qz_count").cast("double") / F.lit(total) * F.col("correct_rate"))
 
 
+def questions_from_counts(counts: DataFrame) -> DataFrame:
+    """The different question ids of each point as sorted comma text, and when the first was answered."""
+    return counts.groupBy(*POINT).agg(ids_to_text(F.array_sort(F.collect_list("questionid"))).alias("questionids"),
+                                      F.min("createtime").alias("createtime"))
+
+
 def point_mastery(answers: DataFrame, total: int = POINT_QUESTIONS) -> DataFrame:
     """Different questions, attempts, right answers, correct rate and mastery per point.
 

@@ -31,3 +31,15 @@ def page_funnel(totals: DataFrame, pages: tuple[int, ...] = FUNNEL_PAGES) -> Dat
         rate = F.lit("100%") if i == 0 else percent_text(F.col(f"n{i}"), F.col(f"n{i - 1}"))
         steps.append(F.struct(F.lit(page).alias("page_id"), F.col(f"n{i}").alias("num"), rate.alias("jump_rate")))
     return row.select(F.inline(F.array(*steps)))
+
+
+def page_rates(transitions: DataFrame, pages: tuple[int, ...] = FUNNEL_PAGES) -> DataFrame:
+    """Share of each funnel page, (page_id, jump_rate)."""
+    return page_funnel(page_visit_total(transitions), pages).select("page_id", "jump_rate")
+
+
+def page_jump_rate(transitions: DataFrame, pages: tuple[int, ...] = FUNNEL_PAGES) -> DataFrame:
+    """Every transition with the share of its page; pages beside the funnel have none."""
+    rates = page_rates(transitions, pages).alias("r")
+    on = F.col("t.page_id").cast("int") == F.col("r.page_id")
+    return transitions.alias("t").join(rates, on, "left").select(*[f"t.{c}" for c in TRIPLE], "t.num", "r.jump_rate")

@@ -253,7 +253,8 @@ CTE = {
     "learn": """
         SELECT event_id, user_id AS userid, user_id % 5 AS cwareid, event_type AS videoid, event_id % 7 AS chapterid,
                event_id % 4 AS edutypeid, event_type AS "sourceType", event_id % 9 AS subjectid,
-               event_id % 90 + 1 AS secs, (event_id * 37) % 600 AS ps,
+               event_id % 90 + 1 AS secs, epoch_us(ts) // 1000 AS ts, epoch_us(ts) // 1000 + (event_id % 90 + 1) * 1000 + 500 AS te,
+               (event_id * 37) % 600 AS ps,
                (event_id * 37) % 600 + 1 + (event_id * 13) % 60 AS pe
         FROM events""",
     "answers": """

@@ -12,6 +12,8 @@ from coursemill.functions.scalars import ids_to_text, text_to_ids
 from coursemill.operators import mastery as K
 from coursemill.operators import playback as P
 from coursemill.registry import inputs as I
+from coursemill.sources.lines import json_lines_to_table
+from coursemill.sources.specs import spec
 
 
 def learn(spark: SparkSession, sf: str) -> DataFrame:
@@ -34,6 +36,27 @@ def play_durations(spark: SparkSession, sf: str) -> DataFrame:
     return P.play_durations(learn(spark, sf))
 
 
+def learn_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Plays read from JSON lines with the fields of the learning log, which has no event id; videos are numbers there."""
+    number = F.col("event_id")
+    plays = learn(spark, sf).withColumns({"videoid": number % 4, "speed": number % 3 + 1}).withColumnRenamed("userid", "uid").drop("event_id")
+    lines = plays.select(F.to_json(F.struct("*")).alias("value"))
+    return json_lines_to_table(lines, spec("learn_event")).withColumnRenamed("uid", "userid")
+
+
+def learn_log_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    return _wide(P.play_coverage(learn_log(spark, sf)))
+
+
+def learn_log_durations(spark: SparkSession, sf: str) -> DataFrame:
+    return _wide(P.play_durations(learn_log(spark, sf)))
+
+
+def _wide(df: DataFrame) -> DataFrame:
+    """Whole numbers as 64 bits, as SQL has them."""
+    return df.select(*[F.col(c).cast("bigint").alias(c) if t == "int" else F.col(c) for c, t in df.dtypes])
+
+
 def play_intervals_text(spark: SparkSession, sf: str) -> DataFrame:
     return P.play_intervals_text(learn(spark, sf))
 
@@ -60,13 +83,16 @@ def explode_groups(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     **{key: partial(play_time, by) for key, by in P.PLAY_TIMES.items()},
     "play_coverage": play_coverage, "play_durations": play_durations, "play_intervals_text": play_intervals_text,
-    "point_mastery": point_mastery, "id_set_union": id_set_union, "explode_groups": explode_groups,
+    "learn_log_coverage": learn_log_coverage, "learn_log_durations": learn_log_durations, "point_mastery": point_mastery, "id_set_union": id_set_union, "explode_groups": explode_groups,
 }
 
 _FRESH = """
     SELECT *, greatest(pe - greatest(ps, coalesce(max(pe) OVER (
                PARTITION BY userid, cwareid, videoid ORDER BY ps, pe, event_id
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), ps)), 0) AS fresh FROM learn"""
+#: The same in logs without an event id: plays of one range in order of their times.
+_LOG_FRESH = _FRESH.replace("event_id", "ts, te")
+_LOG = "SELECT * EXCLUDE (event_id) REPLACE (event_id % 4 AS videoid), event_id % 3 + 1 AS speed FROM learn"
 _ISLANDS = """
     SELECT userid, cwareid, videoid, min(ps) AS s, max(pe) AS e FROM (
         SELECT *, sum(CASE WHEN reached IS NULL OR ps > reached THEN 1 ELSE 0 END) OVER (
@@ -89,13 +115,20 @@ MASTERY_SQL = I.with_ctes(["answers"], """
     FROM (SELECT userid, courseid, pointid, count(*) AS qz_sum, count(DISTINCT questionid) AS qz_count,
                  count(*) FILTER (istrue = '1') AS qz_istrue, min(createtime) AS createtime
           FROM answers GROUP BY userid, courseid, pointid)""")
+_DURATIONS = """
+    SELECT userid, cwareid, videoid, CAST(sum(secs) AS BIGINT) AS totaltime,
+           CAST(sum(CAST(floor(CAST(secs AS DOUBLE) / (pe - ps) * fresh) AS BIGINT)) AS BIGINT) AS effecttime,
+           CAST(sum(fresh) AS BIGINT) AS completetime FROM ({fresh}) GROUP BY userid, cwareid, videoid"""
+LOG_DURATIONS_SQL = I.with_ctes(["learn"], _DURATIONS.format(fresh=_LOG_FRESH))
 SQL = {
     **{key: play_time_sql(by) for key, by in P.PLAY_TIMES.items()},
     "play_coverage": I.with_ctes(["learn"], f"SELECT event_id, userid, cwareid, videoid, ps, pe, fresh FROM ({_FRESH})"),
-    "play_durations": I.with_ctes(["learn"], f"""
-        SELECT userid, cwareid, videoid, CAST(sum(secs) AS BIGINT) AS totaltime,
-               CAST(sum(CAST(floor(CAST(secs AS DOUBLE) / (pe - ps) * fresh) AS BIGINT)) AS BIGINT) AS effecttime,
-               CAST(sum(fresh) AS BIGINT) AS completetime FROM ({_FRESH}) GROUP BY userid, cwareid, videoid"""),
+    "play_durations": I.with_ctes(["learn"], _DURATIONS.format(fresh=_FRESH)),
+    "learn_log_durations": I.with_ctes(["learn"], f"SELECT * FROM (WITH learn AS ({_LOG}) {_DURATIONS.format(fresh=_LOG_FRESH)})"),
+    "learn_log_coverage": I.with_ctes(["learn"], f"""
+        SELECT userid, cwareid, videoid, chapterid, edutypeid, subjectid, "sourceType", speed, ts, te, ps, pe,
+               count(*) AS plays, max(fresh) AS fresh
+        FROM (WITH learn AS ({_LOG}) {_LOG_FRESH}) GROUP BY ALL"""),
     "play_intervals_text": INTERVALS_SQL,
     "point_mastery": MASTERY_SQL,
     "id_set_union": I.with_ctes(["answers"], """

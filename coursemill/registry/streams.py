@@ -13,9 +13,9 @@ from coursemill.operators.keyed import read_keyed
 from coursemill.operators.playback import PLAY_TIMES
 from coursemill.registry import inputs as I
 from coursemill.registry.pages import FUNNEL_SQL, REGION_SQL
-from coursemill.registry.playback import INTERVALS_SQL, MASTERY_SQL
+from coursemill.registry.playback import INTERVALS_SQL, LOG_DURATIONS_SQL, MASTERY_SQL
 from coursemill.session import scratch_dir
-from coursemill.streaming import coverage, jobs
+from coursemill.streaming import jobs, learn
 from coursemill.streaming.sinks import read_state
 
 
@@ -26,10 +26,9 @@ def _finish(query: StreamingQuery) -> None:
 
 
 def stream_running_count(spark: SparkSession, sf: str) -> DataFrame:
-    base = scratch_dir(spark, "running")
-    _finish(jobs.run_running_counts(I.event_stream(spark, sf), "event_type", f"{base}/out", f"{base}/cp"))
-    schema = jobs.running_counts(I.events(spark, sf), "event_type").schema
-    return read_state(spark, f"{base}/out", ["event_type"], schema)
+    checkpoint = scratch_dir(spark, "running")
+    _finish(jobs.run_running_counts(I.event_stream(spark, sf), "event_type", checkpoint))
+    return jobs.read_running_counts(spark, checkpoint, "event_type")
 
 
 def _timed(events: DataFrame) -> DataFrame:
@@ -45,32 +44,57 @@ def stream_sliding_window(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_play_totals(spark: SparkSession, sf: str) -> DataFrame:
-    base = scratch_dir(spark, "totals")
-    _finish(jobs.run_play_totals(I.learn(I.event_stream(spark, sf)), f"{base}/out", f"{base}/cp"))
-    schema = jobs.play_time_all(I.learn(I.events(spark, sf))).schema
-    return read_state(spark, f"{base}/out", ["dimension", "id"], schema)
+    checkpoint = scratch_dir(spark, "totals")
+    _finish(jobs.run_play_totals(I.learn(I.event_stream(spark, sf)), checkpoint))
+    return jobs.read_play_totals(spark, checkpoint)
+
+
+def _learned(spark: SparkSession, sf: str, *names: str) -> list[DataFrame]:
+    """Tables that the learning job writes, out of plays without an event id, as the logs have them."""
+    base = scratch_dir(spark, "learn")
+    plays = I.learn(I.event_stream(spark, sf)).drop("event_id")
+    _finish(learn.run_learn(spark, plays, f"{base}/out", f"{base}/cp"))
+    return [read_state(spark, f"{base}/out/{n}", learn.TABLES[n][0], learn.table_schema(plays, n)) for n in names]
 
 
 def stream_play_coverage(spark: SparkSession, sf: str) -> DataFrame:
-    base = scratch_dir(spark, "coverage")
-    _finish(coverage.run_play_coverage(I.learn(I.event_stream(spark, sf)), f"{base}/out", f"{base}/cp"))
-    schema = StructType.fromDDL(coverage.OUT_SCHEMA)
-    return read_state(spark, f"{base}/out", coverage.VIDEO, schema).select(
-        *coverage.VIDEO, "play_interval", "totaltime", "completetime")
+    ranges, seconds = _learned(spark, sf, "video_interval", "video_learn_detail")
+    return ranges.join(seconds, learn.VIDEO)
 
 
-def stream_point_mastery(spark: SparkSession, sf: str) -> DataFrame:
+def stream_learn_totals(spark: SparkSession, sf: str) -> DataFrame:
+    return _learned(spark, sf, "play_time")[0]
+
+
+def _mastered(spark: SparkSession, sf: str, name: str, schema: str) -> DataFrame:
     base = scratch_dir(spark, "mastery")
-    _finish(jobs.run_point_mastery(I.answers(I.event_stream(spark, sf)), f"{base}/out", f"{base}/cp"))
-    schema = K.answer_counts(I.answers(I.events(spark, sf))).schema
-    return K.mastery_from_counts(read_state(spark, f"{base}/out", jobs.ANSWER_KEYS, schema))
+    at = F.lit("2030-01-01 00:00:00").cast("timestamp")
+    _finish(jobs.run_point_mastery(spark, I.answers(I.event_stream(spark, sf)), base, f"{base}/cp", at=at))
+    full = StructType.fromDDL(f"userid bigint, courseid bigint, pointid bigint, {schema}, createtime string, updatetime string")
+    return read_state(spark, f"{base}/{name}", K.POINT, full)
 
 
-def stream_page_funnel(spark: SparkSession, sf: str) -> DataFrame:
+def stream_point_mastery(spark: SparkSession, sf: str) -> DataFrame:
+    return _mastered(spark, sf, "qz_point_detail", "qz_sum bigint, qz_count bigint, qz_istrue bigint, correct_rate double, mastery_rate double")
+
+
+def stream_point_questions(spark: SparkSession, sf: str) -> DataFrame:
+    return _mastered(spark, sf, "qz_point_history", "questionids string")
+
+
+def _transitions(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_dir(spark, "funnel")
-    _finish(jobs.run_page_transitions(I.pages(I.event_stream(spark, sf)), f"{base}/out", f"{base}/cp"))
-    schema = P.page_transition_count(I.pages(I.events(spark, sf))).schema
-    return P.page_funnel(P.page_visit_total(read_state(spark, f"{base}/out", P.TRIPLE, schema)))
+    _finish(jobs.run_page_transitions(spark, I.pages(I.event_stream(spark, sf)), f"{base}/out", f"{base}/cp"))
+    return read_state(spark, f"{base}/out", P.TRIPLE, StructType.fromDDL(
+        "last_page_id string, page_id string, next_page_id string, num bigint, jump_rate string"))
+
+
+def stream_page_jump_rate(spark: SparkSession, sf: str) -> DataFrame:
+    return _transitions(spark, sf)
+
+
+def stream_page_funnel(spark: SparkSession, sf: str) -> DataFrame:
+    return P.page_funnel(P.page_visit_total(_transitions(spark, sf)))
 
 
 def stream_region_topk(spark: SparkSession, sf: str) -> DataFrame:
@@ -99,8 +123,8 @@ def stream_land_raw(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    stream_running_count, stream_sliding_window, stream_play_totals, stream_play_coverage, stream_point_mastery,
-    stream_page_funnel, stream_region_topk, stream_keyed_counts, stream_land_raw)}
+    stream_running_count, stream_sliding_window, stream_play_totals, stream_play_coverage, stream_learn_totals,
+    stream_point_mastery, stream_point_questions, stream_page_jump_rate, stream_page_funnel, stream_region_topk, stream_keyed_counts, stream_land_raw)}
 
 _TOTALS = " UNION ALL ".join(
     f"SELECT '{c}' AS dimension, CAST(\"{c}\" AS VARCHAR) AS id, CAST(sum(secs) AS BIGINT) AS totaltime FROM learn GROUP BY \"{c}\""
@@ -114,15 +138,20 @@ SQL = {
               FROM events, generate_series(0, 9) g(k))
         GROUP BY s, event_type""",
     "stream_play_totals": I.with_ctes(["learn"], _TOTALS),
-    "stream_play_coverage": I.with_ctes(["learn"], """
-        SELECT userid, cwareid, videoid, play_interval, totaltime, completetime
-        FROM (SELECT userid, cwareid, videoid, CAST(sum(secs) AS BIGINT) AS totaltime FROM learn
-              GROUP BY userid, cwareid, videoid)
-        JOIN (""" + INTERVALS_SQL + """) USING (userid, cwareid, videoid)
-        JOIN (SELECT userid, cwareid, videoid, CAST(count(DISTINCT s) AS BIGINT) AS completetime
-              FROM (SELECT userid, cwareid, videoid, unnest(range(ps, pe)) AS s FROM learn)
-              GROUP BY userid, cwareid, videoid) USING (userid, cwareid, videoid)"""),
-    "stream_point_mastery": MASTERY_SQL,
+    "stream_learn_totals": I.with_ctes(["learn"], _TOTALS),
+    "stream_play_coverage": I.with_ctes(["learn"], f"""
+        SELECT userid, cwareid, videoid, play_interval, totaltime, effecttime, completetime
+        FROM ({LOG_DURATIONS_SQL}) JOIN ({INTERVALS_SQL}) USING (userid, cwareid, videoid)"""),
+    "stream_point_mastery": f"SELECT *, '2030-01-01 00:00:00' AS updatetime FROM ({MASTERY_SQL})",
+    "stream_point_questions": I.with_ctes(["answers"], """
+        SELECT userid, courseid, pointid, string_agg(questionid, ',' ORDER BY questionid) AS questionids,
+               min(createtime) AS createtime, '2030-01-01 00:00:00' AS updatetime
+        FROM (SELECT userid, courseid, pointid, questionid, min(createtime) AS createtime FROM answers
+              GROUP BY userid, courseid, pointid, questionid) GROUP BY userid, courseid, pointid"""),
+    "stream_page_jump_rate": I.with_ctes(["pages"], f"""
+        SELECT last_page_id, pages.page_id, next_page_id, count(*) AS num, jump_rate
+        FROM pages LEFT JOIN ({FUNNEL_SQL}) f ON CAST(pages.page_id AS INTEGER) = f.page_id
+        GROUP BY ALL"""),
     "stream_page_funnel": FUNNEL_SQL,
     "stream_region_topk": I.with_ctes(["geo", "pages"],
                                       f"SELECT * FROM ({REGION_SQL}) ORDER BY num DESC, province LIMIT 3"),

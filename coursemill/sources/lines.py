@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,6 +10,8 @@ from coursemill.functions import cleaning as C
 from coursemill.sources.specs import FieldSpec, TableSpec
 
 CORRUPT = "_corrupt"
+#: Where the numbers of read and rejected lines go.
+Observed = Observation | str | None
 
 RECIPES = {
     "register_source": C.register_source_name,
@@ -43,9 +45,16 @@ def parse_json(lines: DataFrame, names: list[str], keep: tuple[str, ...] = ()) -
     return filled.select(*[F.col(k) for k in keep], F.inline(F.array(parsed)))
 
 
-def drop_bad_json(lines: DataFrame, names: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
-    """Rows of the lines that hold a JSON object; everything else is dropped."""
-    return parse_json(lines, names, keep).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+def drop_bad_json(lines: DataFrame, names: list[str], keep: tuple[str, ...] = (), observe: Observed = None) -> DataFrame:
+    """Rows of the lines that hold a JSON object; everything else is dropped.
+
+    ``observe`` counts ``lines`` and ``rejected`` lines while they are read, without a scan of their own: an
+    ``Observation`` for a batch; for a stream a name, under which each progress report has the two numbers.
+    """
+    rows = parse_json(lines, names, keep)
+    if observe is not None:
+        rows = rows.observe(observe, F.count(F.lit(1)).alias("lines"), F.count_if(F.col(CORRUPT).isNotNull()).alias("rejected"))
+    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def bad_json_lines(lines: DataFrame) -> DataFrame:
@@ -65,10 +74,10 @@ def _typed(f: FieldSpec) -> Column:
     return kind(raw).alias(f.name)
 
 
-def json_lines_to_table(lines: DataFrame, spec: TableSpec) -> DataFrame:
-    """Log lines to the table a spec describes: drop bad lines, type, derive."""
+def json_lines_to_table(lines: DataFrame, spec: TableSpec, observe: Observed = None) -> DataFrame:
+    """Log lines to the table a spec describes: drop bad lines, type, derive. ``observe`` as in ``drop_bad_json``."""
     names = [s for f in spec.fields for s in f.spellings]
-    rows = drop_bad_json(lines, names).select(*[_typed(f) for f in spec.fields])
+    rows = drop_bad_json(lines, names, observe=observe).select(*[_typed(f) for f in spec.fields])
     derived = {c: RECIPES[recipe](F.col(src) if src else None) for c, recipe, src in spec.derived}
     return rows.withColumns(derived).select(*spec.columns)
 
@@ -82,11 +91,14 @@ def bad_field_counts(lines: DataFrame, spec: TableSpec) -> DataFrame:
                       for f in ints])
 
 
-def tsv_fields(lines: DataFrame, names: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
-    """Tab-separated lines with exactly ``len(names)`` fields; others are dropped.
+def tsv_fields(lines: DataFrame, names: list[str], keep: tuple[str, ...] = (), observe: Observed = None) -> DataFrame:
+    """Tab-separated lines with exactly ``len(names)`` fields; others are dropped, and counted by ``observe`` as in ``drop_bad_json``.
 
     Blank fields at the end of a line do not count, as in the JVM's own split.
     """
     parts = F.split(F.regexp_replace("value", "\t+$", ""), "\t")
-    good = lines.where(F.size(parts) == len(names))
+    fits = F.coalesce(F.size(parts) == len(names), F.lit(False))
+    if observe is not None:
+        lines = lines.observe(observe, F.count(F.lit(1)).alias("lines"), F.count_if(~fits).alias("rejected"))
+    good = lines.where(fits)
     return good.select(*[F.col(k) for k in keep], *[F.get(parts, F.lit(i)).alias(n) for i, n in enumerate(names)])

@@ -6,26 +6,26 @@ what is there and ends.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from coursemill.functions.cleaning import APP_IDS
-from coursemill.functions.scalars import epoch_to_day
+from coursemill.functions.scalars import epoch_to_day, now_string
 from coursemill.operators.keyed import apply_add, keyed_create, keyed_exists, read_keyed
-from coursemill.operators.mastery import POINT, answer_counts
-from coursemill.operators.pages import page_transition_count
+from coursemill.operators.mastery import POINT, answer_counts, mastery_from_counts, questions_from_counts
+from coursemill.operators.pages import TRIPLE, page_jump_rate, page_rates, page_transition_count
 from coursemill.operators.playback import play_time_all
 from coursemill.operators.regions import ip_region_counts, topk_region
 from coursemill.operators.sinks import replace_table
-from coursemill.streaming.sinks import append_commits, start
+from coursemill.streaming.sinks import AVAILABLE, append_commits, start
+from coursemill.streaming.state import keep_state, same, state_rows, whole_groups
 
 WINDOW, SLIDE = "60 seconds", "6 seconds"  # fixed values
 PANES = 10  # slides in a window
 LATENESS = "10 minutes"
 EVERY_3_SECONDS = {"processingTime": "3 seconds"}
-AVAILABLE = {"availableNow": True}
 
 
 def window_counts(stream: DataFrame, ts: str, key: str, window: str = WINDOW, slide: str = SLIDE,
@@ -76,31 +76,73 @@ def run_closed_windows(stream: DataFrame, ts: str, key: str, out: str, checkpoin
             .option("checkpointLocation", checkpoint).partitionBy("dt").trigger(**(trigger or AVAILABLE)).start())
 
 
-def run_running_counts(stream: DataFrame, key: str, out: str, checkpoint: str,
-                       trigger: dict | None = None) -> StreamingQuery:
-    return start(running_counts(stream, key), checkpoint, append_commits(out), trigger=trigger)
+def run_running_counts(stream: DataFrame, key: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Rows per key since the stream began, in the state store: nothing is written besides."""
+    return keep_state(running_counts(stream, key), checkpoint, trigger)
 
 
-def run_play_totals(learn: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """The five play-time totals as one stateful aggregation over (dimension, id)."""
-    return start(play_time_all(learn), checkpoint, append_commits(out), trigger=trigger)
+def read_running_counts(spark: SparkSession, checkpoint: str, key: str) -> DataFrame:
+    return state_rows(spark, checkpoint, [key], ["num"])
 
 
-def run_point_mastery(answers: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Attempts per learner, point and question; mastery is summed up when it is read.
+def run_play_totals(learn: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """The five play-time totals as one stateful aggregation over (dimension, id), in the state store."""
+    return keep_state(play_time_all(learn), checkpoint, trigger)
 
-    State is one small row per question, where a set of ids per point would be
-    rewritten whole on each answer.
-    """
-    return start(answer_counts(answers), checkpoint, append_commits(out), trigger=trigger)
+
+def read_play_totals(spark: SparkSession, checkpoint: str) -> DataFrame:
+    return state_rows(spark, checkpoint, ["dimension", "id"], ["totaltime"])
 
 
-REGION_TOTALS = StructType().add("province", "string").add("num", "long")
 ANSWER_KEYS = [*POINT, "questionid"]
+ANSWER_VALUES = ["qz_sum", "qz_istrue", "createtime"]
+
+
+def run_point_mastery(spark: SparkSession, answers: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
+                      at: Column | None = None) -> StreamingQuery:
+    """``qz_point_detail`` and ``qz_point_history`` below ``out``, of each batch the points that were answered in it.
+
+    State is one small row per question, where a set of ids per point would be rewritten whole on each answer.
+    ``updatetime`` is the time of the batch, or ``at``.
+    """
+    detail, history = append_commits(f"{out}/qz_point_detail", POINT), append_commits(f"{out}/qz_point_history", POINT)
+
+    def each(batch: DataFrame, number: int) -> None:
+        changed = batch.persist()
+        before = state_rows(spark, checkpoint, ANSWER_KEYS, ANSWER_VALUES, number - 1) if number else None
+        points = whole_groups(changed, before, ANSWER_KEYS, POINT).persist()
+        when = now_string(at=at)
+        detail(mastery_from_counts(points).withColumn("updatetime", when), number)
+        history(questions_from_counts(points).withColumn("updatetime", when), number)
+        points.unpersist()
+        changed.unpersist()
+    return start(answer_counts(answers), checkpoint, each, trigger=trigger)
+
+
+def run_page_transitions(spark: SparkSession, pages: DataFrame, out: str, checkpoint: str,
+                         trigger: dict | None = None) -> StreamingQuery:
+    """``page_jump_rate`` below ``out``: of each batch the transitions it holds and those of pages whose rate has moved."""
+    write = append_commits(out, TRIPLE)
+
+    def each(batch: DataFrame, number: int) -> None:
+        changed = batch.persist()
+        if number:
+            before = state_rows(spark, checkpoint, TRIPLE, ["num"], number - 1)
+            now = whole_groups(changed, before, TRIPLE, []).persist()
+            moved = page_rates(now).exceptAll(page_rates(before)).select("page_id").alias("m")
+            after = page_jump_rate(now).alias("a")
+            new = changed.select(*TRIPLE).alias("c")
+            hit = after.join(new, same("a", "c", TRIPLE), "left_semi")
+            drawn = after.join(new, same("a", "c", TRIPLE), "left_anti").join(moved, F.col("a.page_id").cast("int") == F.col("m.page_id"), "left_semi")
+            write(hit.unionByName(drawn), number)
+            now.unpersist()
+        else:
+            write(page_jump_rate(changed), number)
+        changed.unpersist()
+    return start(page_transition_count(pages), checkpoint, each, trigger=trigger)
 
 
-def run_page_transitions(pages: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    return start(page_transition_count(pages), checkpoint, append_commits(out), trigger=trigger)
+REGION_TOTALS = StructType().add("province", "string").add("num", "long")
 
 
 def run_region_topk(spark: SparkSession, pages: DataFrame, ranges: DataFrame, totals: str, top: str,

@@ -3,7 +3,8 @@ from __future__ import annotations
 from decimal import Decimal
 
 import pytest
-from helpers import rows_of
+from helpers import plan_of, rows_of
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from coursemill.functions import cleaning as C
@@ -57,6 +58,14 @@ def test_drop_bad_json_keeps_objects_only(frame):
     assert rows_of(got) == [("1", "Li"), (None, None)]
 
 
+def test_rejected_lines_are_counted_while_they_are_read(spark, frame):
+    seen = Observation()
+    rows = drop_bad_json(lines_df(frame, LINES), ["a"], observe=seen)
+    kept, bad = rows.count(), bad_json_lines(lines_df(frame, LINES)).count()
+    assert seen.get == {"lines": kept + bad, "rejected": bad} and bad > 0
+    assert plan_of(drop_bad_json(lines_df(frame, LINES), ["a"], observe=Observation())).count("Scan") == 1
+
+
 def test_bad_json_lines_are_the_rest(frame):
     got = {r[0] for r in rows_of(bad_json_lines(lines_df(frame, LINES)))}
     assert got == {"[1,2]", '[{"uid": 9}]', '"x"', "null", "{bad", "7"}

@@ -7,7 +7,6 @@ from helpers import rows_of
 
 from coursemill.operators import mastery as K
 from coursemill.operators import playback as P
-from coursemill.streaming.coverage import add_range, fold_ranges
 
 LEARN = "event_id bigint, userid bigint, cwareid bigint, videoid string, ps bigint, pe bigint, ts bigint, te bigint"
 
@@ -65,26 +64,22 @@ def test_play_time_reports_agree_with_the_single_pass(frame):
     assert {(r.dimension, r.id): r.totaltime for r in P.play_time_all(df).collect()} == want
 
 
-def test_add_range_against_sets():
-    rng = random.Random(5)
-    for _ in range(300):
-        starts, ends, seen = [], [], set()
-        for _ in range(12):
-            s = rng.randint(0, 40)
-            e = s + rng.randint(0, 12)
-            starts, ends, fresh = add_range(starts, ends, s, e)
-            assert fresh == len(set(range(s, e)) - seen)
-            seen |= set(range(s, e))
-            assert union_seconds(zip(starts, ends)) == seen
-            assert all(a < b for a, b in zip(ends, starts[1:]))
-
-
-def test_fold_ranges_keeps_the_first_play():
-    import pandas as pd
-    pdf = pd.DataFrame({"userid": 1, "cwareid": 1, "videoid": "v", "ps": [0, 0, 5], "pe": [9, 9, 9], "secs_all": [4, 3, 2],
-                        "event_id": [7, 2, 3], "secs": [4, 3, 2]})
-    out = next(fold_ranges(iter([pdf]))).sort_values("ps")
-    assert out[["secs_all", "event_id", "secs"]].values.tolist() == [[7, 2, 3], [2, 3, 2]]
+LOG = "userid int, cwareid int, videoid int, chapterid int, ps int, pe int, ts bigint, te bigint"
+
+
+def test_plays_without_an_event_id_count_in_order_of_time_and_content(frame):
+    rows = [(1, 1, 1, 5, 0, 10, 2000, 9_000), (1, 1, 1, 4, 0, 10, 0, 5_000), (1, 1, 1, 4, 0, 10, 0, 5_000), (None, 1, 1, 4, 2, 4, 0, 1_000)]
+    for part in (rows, rows[::-1]):
+        got = rows_of(P.play_coverage(frame(LOG, *part)), "userid", "chapterid", "plays", "fresh")
+        assert got == [(1, 4, 2, 10), (1, 5, 1, 0), (None, 4, 1, 2)]
+        assert rows_of(P.play_durations(frame(LOG, *part)).where("userid = 1")) == [(1, 1, 1, 5 + 5 + 7, 5, 10)]
+
+
+def test_equal_times_are_put_in_order_by_content(frame):
+    rows = [(1, 1, 1, c, 0, 10, 0, 5_000) for c in range(5)]
+    first = [r for r in P.play_coverage(frame(LOG, *rows)).collect() if r.fresh]
+    again = [r for r in P.play_coverage(frame(LOG, *rows[::-1]).repartition(3)).collect() if r.fresh]
+    assert len(first) == 1 and first == again
 
 
 # --- mastery ----------------------------------------------------------------------------
