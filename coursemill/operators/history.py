@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from coursemill.functions.scalars import OPEN_END, dt_to_date
-from coursemill.operators.joins import rename_drop
+from coursemill.operators.joins import fit_to_broadcast, rename_drop
 from coursemill.operators.member import MONEY, payment_vip_join
 from coursemill.sources.tables import partition_filter
 
@@ -42,6 +42,20 @@ def union_history(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
 
+def split_by_delta(history: DataFrame, delta: DataFrame, day: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that the rows of ``day`` leave as they are, and those of members that they change.
+
+    Changed are members of the delta and those with a row of an earlier load of the day.
+    """
+    keys = ["uid", "dn"]
+    moved = fit_to_broadcast(delta.select(*keys).union(history.where(F.col("start_time") == day).select(*keys)))
+    on = [F.col(f"h.{c}").eqNullSafe(F.col(f"m.{c}")) for c in keys]
+    ended = history.where(F.col("end_time") < day).select(*HISTORY)
+    open_rows = history.where(F.coalesce(F.col("end_time") >= day, F.lit(True))).select(*HISTORY).alias("h")
+    return (union_history(open_rows.join(moved.alias("m"), on, "left_anti"), ended),
+            open_rows.join(moved.alias("m"), on, "left_semi"))
+
+
 def scd2_merge(history: DataFrame, delta: DataFrame, day: str) -> DataFrame:
     """History after the rows of ``day`` (``yyyy-MM-dd``) are applied.
 
@@ -50,11 +64,13 @@ def scd2_merge(history: DataFrame, delta: DataFrame, day: str) -> DataFrame:
     adding to them, and a day that arrives late is slotted in and its payment
     carried into the later rows, so the order of loading does not matter.
 
-    Rows that ended before ``day`` cannot change and pass through without a
-    shuffle. Of the others a member has at most one per day.
+    The merge is driven by its keys: members of the delta, and those whose rows
+    of an earlier load of the day have to go. Rows of other members and rows
+    that ended before ``day`` cannot change and pass through without a shuffle,
+    as long as the keys of one day are few enough to be sent to every executor.
     """
-    settled = history.where(F.col("end_time") < day).select(*HISTORY)
-    stored = history.where(F.coalesce(F.col("end_time") >= day, F.lit(True))).select(*HISTORY, F.lit(False).alias("_new"))
+    others, stored = split_by_delta(history, delta, day)
+    stored = stored.withColumn("_new", F.lit(False))
     fresh = delta.select(*HISTORY, F.lit(True).alias("_new"))
     rows = union_history(stored, fresh)
 
@@ -76,4 +92,4 @@ def scd2_merge(history: DataFrame, delta: DataFrame, day: str) -> DataFrame:
     end = F.coalesce(F.lead("start_time").over(key.orderBy("start_time")), F.lit(OPEN_END))
     changed = rows.select("uid", paid.cast(MONEY).alias("paymoney"), "vip_level", "start_time",
                           end.alias("end_time"), "dn")
-    return union_history(changed, settled.withColumn("paymoney", F.col("paymoney").cast(MONEY)))
+    return union_history(changed, others.withColumn("paymoney", F.col("paymoney").cast(MONEY)))

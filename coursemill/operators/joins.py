@@ -25,25 +25,49 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def _row_salt(df: DataFrame, n: int, cols: list[str] | None) -> F.Column:
-    # A hash, not a random number: a retried task must put each row where the
-    # first attempt put it.
-    return F.pmod(F.xxhash64(*[F.col(c) for c in (cols or df.columns)]), F.lit(n)).cast("int")
+TIMES = "_times"
+AT_ONCE = 4096  # copies of a row that one step of unfolding makes
+
+
+def fold_equal(df: DataFrame) -> DataFrame:
+    """Different rows with the number of times they occur (``_times``), combined inside each task before the shuffle."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(TIMES))
+
+
+def spread_folded(folded: DataFrame, n: int) -> DataFrame:
+    """Deal folded rows over ``n`` salts: different rows by hash, equal rows in up to ``n`` equal shares of their number.
+
+    A salt depends on a row and its number alone, so a retried task puts every share where the first attempt put it.
+    """
+    rows = [c for c in folded.columns if c != TIMES]
+    shares = folded.withColumn("_share", F.explode(F.sequence(F.lit(0), (F.least(F.col(TIMES), F.lit(n)) - 1).cast("int"))))
+    first = F.xxhash64(*[F.col(c) for c in rows])
+    times = F.floor(F.col(TIMES) / n) + F.when(F.col("_share") < F.col(TIMES) % n, 1).otherwise(0)
+    return (shares.withColumn(SALT, F.pmod(first + F.col("_share"), F.lit(n)).cast("int"))
+            .withColumn(TIMES, F.when(F.col(TIMES) <= n, F.lit(1)).otherwise(times).cast("bigint")).drop("_share"))
+
+
+def unfold(df: DataFrame) -> DataFrame:
+    """Each row as often as ``_times`` says (once, where it is null), in steps of bounded size."""
+    times = F.coalesce(F.col(TIMES), F.lit(1).cast("bigint"))
+    steps = df.withColumn("_step", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((times - 1) / AT_ONCE))))
+    left = F.least(times - F.col("_step") * AT_ONCE, F.lit(AT_ONCE))
+    return steps.withColumn("_copy", F.explode(F.sequence(F.lit(1), left.cast("int")))).drop(TIMES, "_step", "_copy")
 
 
 def salted_join(small: DataFrame, big: DataFrame, keys: list[str], how: str = "right",
-                n: int = SALT_COPIES, salt_on: list[str] | None = None) -> DataFrame:
+                n: int = SALT_COPIES) -> DataFrame:
     """``small`` joined to ``big`` with every key of ``big`` spread over ``n`` tasks.
 
-    Rows of ``big`` take a salt, rows of ``small`` are copied once per salt.
+    Rows of ``big`` take a salt, rows of ``small`` are copied once per salt. Equal rows of ``big`` are one row with a
+    number while they are shuffled and joined; the number is dealt over the salts as well.
     ``how`` is ``right`` (keep all of ``big``) or ``inner``: with any other kind
     the copies that find no partner would surface as extra rows.
     """
     if how not in ("right", "inner"):
         raise ValueError("a salted join keeps the salted side: use right or inner")
     copies = small.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    spread = big.withColumn(SALT, _row_salt(big, n, salt_on))
-    return copies.join(spread, [*keys, SALT], how).drop(SALT)
+    return unfold(copies.join(spread_folded(fold_equal(big), n), [*keys, SALT], how).drop(SALT))
 
 
 def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS) -> DataFrame:
@@ -57,20 +81,27 @@ def hot_left_join(left: DataFrame, right: DataFrame, keys: list[str], n: int = S
     """Left join that stays balanced when one key owns much of ``right``.
 
     Spark splits a skewed partition of the outer (left) side at run time but
-    never one of the right side, so hot right keys are salted here. Left rows
-    of a hot key are copied per salt; a hot key exists on the right by
-    definition, so a copy without a partner is only a leftover and is removed.
+    never one of the right side, so hot right keys are salted here, their equal
+    rows folded as in ``salted_join``. Left rows of a hot key are copied per
+    salt; a hot key exists on the right by definition, so a copy without a
+    partner is only a leftover and is removed.
     """
-    # At most one key in ``min_rows`` rows is hot, so the keys fit into every task and ``right`` is shuffled once.
+    # At most one key in ``min_rows`` rows is hot, so the keys fit into every task.
     hot = F.broadcast(hot_keys(right, keys, min_rows).withColumn("_hot", F.lit(True)))
-    spread = (right.join(hot, keys, "left")
-              .withColumn(SALT, F.when(F.col("_hot"), _row_salt(right, n, None)).otherwise(0))
-              .withColumn("_hit", F.lit(True)).drop("_hot"))
+    marked = right.join(hot, keys, "left")
+    rest = marked.where(F.col("_hot").isNull()).drop("_hot").withColumns({TIMES: F.lit(1).cast("bigint"), SALT: F.lit(0)})
+    salted = spread_folded(fold_equal(marked.where("_hot").drop("_hot")), n)
+    spread = rest.unionByName(salted).withColumn("_hit", F.lit(True))
     copies = (left.join(hot, keys, "left")
               .withColumn(SALT, F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(n - 1)))
                                           .otherwise(F.array(F.lit(0))))))
     joined = copies.join(spread, [*keys, SALT], "left")
-    return joined.where(F.col("_hot").isNull() | F.col("_hit").isNotNull()).drop(SALT, "_hot", "_hit")
+    return unfold(joined.where(F.col("_hot").isNull() | F.col("_hit").isNotNull())).drop(SALT, "_hot", "_hit")
+
+
+def fit_to_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """``df`` for every executor if the optimizer's estimate of its size allows it, else as it is."""
+    return F.broadcast(df) if estimated_bytes(df) <= limit else df
 
 
 def broadcast_join(small: DataFrame, big: DataFrame, keys: list[str], how: str = "right",

@@ -25,12 +25,13 @@ SLOTS = "_slots"  # folder of the slot count; no part of the table to a reader
 
 # --- what a change does --------------------------------------------------------
 
-def unique_by_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key; of several the largest, so that the choice does not depend on order."""
+def unique_by_key(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """One row per key: the newest by ``order``; of several, or without it, the largest, so that arrival does not matter."""
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()
-    return df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_r")).select(*keys, "_r.*").select(*df.columns)
+    newest = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order or [])], F.struct(*rest).alias("_r"))
+    return df.groupBy(*keys).agg(F.max(newest).alias("_n")).select(*keys, "_n._r.*").select(*df.columns)
 
 
 def keyed_insert(table: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -39,9 +40,9 @@ def keyed_insert(table: DataFrame, rows: DataFrame, keys: list[str]) -> DataFram
     return table.unionByName(fresh.join(table.select(*keys), keys, "left_anti"))
 
 
-def keyed_update(table: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Set the given columns of rows that exist; other keys are ignored."""
-    changes = unique_by_key(rows, keys).withColumn("_hit", F.lit(True)).alias("c")
+def keyed_update(table: DataFrame, rows: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """Set the given columns of rows that exist; other keys are ignored. Of a key's changes the newest by ``order`` holds."""
+    changes = unique_by_key(rows, keys, order).withColumn("_hit", F.lit(True)).alias("c")
     new = set(rows.columns) - set(keys)
     t = table.alias("t")
     on = [F.col(f"t.{k}") == F.col(f"c.{k}") for k in keys]
@@ -55,9 +56,9 @@ def keyed_delete(table: DataFrame, rows: DataFrame, keys: list[str]) -> DataFram
     return table.join(rows.select(*keys), keys, "left_anti").select(*table.columns)
 
 
-def keyed_upsert(table: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Replace rows that exist, add the others."""
-    fresh = unique_by_key(rows.select(*table.columns), keys)
+def keyed_upsert(table: DataFrame, rows: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """Replace rows that exist, add the others. ``order``: columns of ``rows`` by which the newest row of a key is found."""
+    fresh = unique_by_key(rows, keys, order).select(*table.columns)
     return keyed_delete(table, fresh, keys).unionByName(fresh)
 
 
@@ -118,17 +119,19 @@ def apply_insert(spark: SparkSession, path: str, rows: DataFrame, keys: list[str
            lambda t, r: keyed_insert(t, r, keys))
 
 
-def apply_update(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], schema: StructType) -> None:
-    _apply(spark, path, rows, keys, schema, lambda t, r: keyed_update(t, r, keys))
+def apply_update(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], schema: StructType,
+                 order: list[str] | None = None) -> None:
+    _apply(spark, path, rows, keys, schema, lambda t, r: keyed_update(t, r, keys, order))
 
 
 def apply_delete(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], schema: StructType) -> None:
     _apply(spark, path, rows, keys, schema, lambda t, r: keyed_delete(t, r, keys), may_empty=True)
 
 
-def apply_upsert(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], schema: StructType) -> None:
+def apply_upsert(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], schema: StructType,
+                 order: list[str] | None = None) -> None:
     _apply(spark, path, rows.withColumn(BATCH, F.lit(None).cast("bigint")), keys, schema,
-           lambda t, r: keyed_upsert(t, r, keys))
+           lambda t, r: keyed_upsert(t, r, keys, order))
 
 
 def apply_add(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], sums: list[str],

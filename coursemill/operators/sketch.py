@@ -1,48 +1,66 @@
-"""Approximate membership: a Bloom filter built and probed as a distributed table."""
+"""Approximate membership: a split-block Bloom filter built and probed as a distributed table.
+
+A block is eight words of 32 bits. A key belongs to one block and sets one bit in each of its words, so a probe meets 32
+bytes and tests bits of whole numbers.
+"""
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_BITS = 32_768  # bits in one bitmap of Spark's bitmap aggregates
+WORDS, WORD_BITS = 8, 32
 SIZE = 1_000_000  # fixed values: expected members and target share of false positives
 FPP = 0.01
 
 
-def bloom_shape(size: int = SIZE, fpp: float = FPP) -> tuple[int, int]:
-    """(blocks, hashes) for ``size`` members at a false-positive share of ``fpp``."""
-    bits = max(1, math.ceil(-size * math.log(fpp) / math.log(2) ** 2))
-    blocks = max(1, math.ceil(bits / BLOCK_BITS))
-    return blocks, max(1, round(-math.log(fpp) / math.log(2)))
+def expected_fpp(size: int, blocks: int) -> float:
+    """Share of others that pass: keys fall into blocks at random, so a block's number of keys is Poisson."""
+    mean = size / blocks
+    most = int(mean + 12 * math.sqrt(mean) + 20)
+    share, seen = 0.0, math.exp(-mean)
+    for keys in range(most):
+        share += seen * (1 - (1 - 1 / WORD_BITS) ** keys) ** WORDS
+        seen *= mean / (keys + 1)
+    return share
+
+
+def bloom_blocks(size: int = SIZE, fpp: float = FPP) -> int:
+    """The least number of blocks that keeps ``size`` members within a false-positive share of ``fpp``."""
+    # Between a block per key and the fewest that a mean of 400 keys to a block needs.
+    low, high = max(1, size // 400), max(1, size)
+    while expected_fpp(size, high) > fpp:
+        low, high = high, high * 2
+    while low < high:
+        middle = (low + high) // 2
+        low, high = (middle + 1, high) if expected_fpp(size, middle) > fpp else (low, middle)
+    return low
 
 
 def _block(key: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(key, F.lit(0)), F.lit(blocks)).cast("int")
+    return F.pmod(F.xxhash64(key, F.lit(0)), F.lit(blocks))
 
 
-def _bit(key: Column, i: int) -> Column:
-    return F.pmod(F.xxhash64(key, F.lit(i + 1)), F.lit(BLOCK_BITS))
+def _bits(key: Column) -> list[Column]:
+    """For each word the number that has the key's bit set: five bits of one hash say which."""
+    spot = F.xxhash64(key, F.lit(1))
+    spots = [F.shiftright(spot, 5 * i).bitwiseAND(F.lit(WORD_BITS - 1)).cast("int") for i in range(WORDS)]
+    return [F.call_function("shiftleft", F.lit(1), s) for s in spots]
 
 
 def bloom_build(members: DataFrame, key: str, size: int = SIZE, fpp: float = FPP) -> DataFrame:
-    """The filter as rows (block, bits): all bits of a key lie in one block.
+    """The filter as rows (block, w0 to w7).
 
     Bits are set inside each task and merged by block, so the shuffle carries
     blocks and not keys. Null is never a member.
     """
-    blocks, hashes = bloom_shape(size, fpp)
     c = F.col(key)
-    bits = members.where(c.isNotNull()).select(
-        _block(c, blocks).alias("block"), F.explode(F.array(*[_bit(c, i) for i in range(hashes)])).alias("bit"))
-    return bits.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
-
-
-def _has_bit(bits: Column, pos: Column) -> Column:
-    byte = F.conv(F.hex(F.substring(bits, F.floor(pos / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.getbit(byte, F.pmod(pos, F.lit(8)).cast("int")) == 1
+    set_bits = members.where(c.isNotNull()).select(
+        _block(c, bloom_blocks(size, fpp)).alias("block"), *[b.alias(f"w{i}") for i, b in enumerate(_bits(c))])
+    return set_bits.groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(WORDS)])
 
 
 def bloom_membership(probe: DataFrame, key: str, bloom: DataFrame, size: int = SIZE, fpp: float = FPP) -> DataFrame:
@@ -51,10 +69,8 @@ def bloom_membership(probe: DataFrame, key: str, bloom: DataFrame, size: int = S
     A probe row meets one block, so its row is not copied per hash. ``size``
     and ``fpp`` must be those the filter was built with.
     """
-    blocks, hashes = bloom_shape(size, fpp)
     c = F.col(key)
-    met = probe.withColumn("block", _block(c, blocks)).join(bloom, "block", "left")
-    hit = F.coalesce(F.col("bits").isNotNull() & c.isNotNull(), F.lit(False))
-    for i in range(hashes):
-        hit = hit & _has_bit(F.col("bits"), _bit(c, i))
-    return met.withColumn("maybe", F.coalesce(hit, F.lit(False))).drop("block", "bits")
+    names = {"block": "_block", **{f"w{i}": f"_w{i}" for i in range(WORDS)}}
+    met = probe.withColumn("_block", _block(c, bloom_blocks(size, fpp))).join(bloom.withColumnsRenamed(names), "_block", "left")
+    hit = reduce(lambda a, b: a & b, [F.col(f"_w{i}").bitwiseAND(bit) != 0 for i, bit in enumerate(_bits(c))])
+    return met.withColumn("maybe", F.coalesce(hit & c.isNotNull(), F.lit(False))).drop(*names.values())

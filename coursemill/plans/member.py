@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from coursemill.functions.scalars import dt_to_date
 from coursemill.operators.history import HISTORY, daily_payment_delta, scd2_merge
+from coursemill.operators.joins import BROADCAST_LIMIT, estimated_bytes
 from coursemill.operators.member import DWS_MEMBER, member_wide_agg
-from coursemill.operators.metrics import MEMBER_COUNTS, member_count, top3_payers
+from coursemill.operators.metrics import MEMBER_COUNTS, counts_of, member_counts, top3_payers
 from coursemill.operators.sinks import replace_touched, write_overwrite
-from coursemill.sources.tables import partition_filter, read_table, scan, table_exists, table_path
+from coursemill.sources.tables import read_table, scan, table_exists, table_path
 
 # fixed values: report tables
 COUNT_TABLES = {
@@ -23,12 +24,18 @@ COUNT_TABLES = {
 }
 TOP_TABLE = "ads_register_top3memberpay"
 INPUTS = ["member_regtype", "base_ad", "base_website", "member_payment", "vip_level"]
+OF_MEMBERS = ["member_regtype", "member_payment"]
 END_MONTH = "end_month"
 
 
 def build_member_wide(spark: SparkSession, root: str, dt: str) -> None:
-    """Members of a day with everything known about them."""
-    wide = member_wide_agg(scan(spark, root, "member", dt), *[scan(spark, root, n) for n in INPUTS])
+    """Members of a day with everything known about them; of tables by member, the rows of these members."""
+    members = scan(spark, root, "member", dt)
+    inputs = {n: scan(spark, root, n) for n in INPUTS}
+    uids = members.select("uid").distinct()
+    if estimated_bytes(uids) <= BROADCAST_LIMIT:
+        inputs |= {n: inputs[n].join(F.broadcast(uids), "uid", "left_semi") for n in OF_MEMBERS}
+    wide = member_wide_agg(members, *inputs.values())
     write_overwrite(wide.select(*DWS_MEMBER), table_path(root, "dws.dws_member"))
 
 
@@ -39,7 +46,7 @@ def build_member_history(spark: SparkSession, root: str, dt: str) -> None:
     their own. Rows that ended in earlier months are neither read nor written.
     """
     delta = daily_payment_delta(read_table(spark, root, "dwd.dwd_pcentermempaymoney"),
-                                read_table(spark, root, "dwd.dwd_vip_level"), dt)
+                                read_table(spark, root, "dwd.dwd_vip_level"), dt).persist()
     day = spark.range(1).select(dt_to_date(F.lit(dt))).first()[0]
     path = table_path(root, "dws.dws_member_zipper")
     if table_exists(spark, path):
@@ -50,6 +57,7 @@ def build_member_history(spark: SparkSession, root: str, dt: str) -> None:
         stored, touched = delta.limit(0), []
     merged = scd2_merge(stored.select(*HISTORY), delta, day).withColumn(END_MONTH, F.substring("end_time", 1, 7))
     replace_touched(spark, merged, path, END_MONTH, touched)
+    delta.unpersist()
 
 
 def read_member_history(spark: SparkSession, root: str) -> DataFrame:
@@ -57,23 +65,10 @@ def read_member_history(spark: SparkSession, root: str) -> DataFrame:
 
 
 def build_member_reports(spark: SparkSession, root: str, dt: str) -> None:
-    """Six counts and the best payers of a day."""
+    """Six counts, read from the wide table once, and the best payers of a day."""
     wide = scan(spark, root, "member_wide", dt)
-    for by in MEMBER_COUNTS.values():
-        write_overwrite(member_count(wide, by), table_path(root, f"ads.{COUNT_TABLES[by]}"))
+    counts = member_counts(wide).persist()
+    for report, by in MEMBER_COUNTS.items():
+        write_overwrite(counts_of(counts, report), table_path(root, f"ads.{COUNT_TABLES[by]}"))
+    counts.unpersist()
     write_overwrite(top3_payers(wide), table_path(root, f"ads.{TOP_TABLE}"))
-
-
-def member_reports_sql(spark: SparkSession, root: str, dt: str) -> dict[str, DataFrame]:
-    """The same reports as SQL over the stored wide table."""
-    partition_filter(read_table(spark, root, "dws.dws_member"), dt).createOrReplaceTempView("wide_of_day")
-    out = {by: spark.sql(f"SELECT {by}, count(uid) AS num, dt, dn FROM wide_of_day GROUP BY {by}, dn, dt")
-           for by in MEMBER_COUNTS.values()}
-    out["top3"] = spark.sql("""
-        SELECT uid, memberlevel, register, appregurl, regsourcename, adname, sitename, vip_level,
-               CAST(paymoney AS decimal(20,4)) AS paymoney, rownum, dt, dn
-        FROM (SELECT *, row_number() OVER (PARTITION BY dt, dn, memberlevel
-                                           ORDER BY CAST(paymoney AS decimal(20,4)) DESC, uid) AS rownum
-              FROM wide_of_day)
-        WHERE rownum < 4 ORDER BY memberlevel, rownum""")
-    return out

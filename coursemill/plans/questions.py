@@ -19,14 +19,16 @@ WIDE = {
 }
 ANSWER_INPUTS = ["answer", "answer_course", "answer_chapter", "answer_major", "answer_paper", "answer_question"]
 
-# fixed values: report table -> report
+# fixed values: report table -> report, of those read from one summary and of the others
+SUMMARY_REPORTS = {
+    "ads_paper_avgtimeandscore": M.avg_of,
+    "ads_paper_maxdetail": M.max_min_of,
+    "ads_user_paper_detail": M.pass_rate_of,
+}
 REPORTS = {
-    "ads_paper_avgtimeandscore": M.paper_avg,
-    "ads_paper_maxdetail": M.paper_max_min,
     "ads_top3_userdetail": M.paper_top3,
     "ads_low3_userdetail": M.paper_low3,
     "ads_paper_scoresegment_user": M.score_segment_users,
-    "ads_user_paper_detail": M.paper_pass_rate,
     "ads_user_question_detail": M.question_error_rate,
 }
 
@@ -46,38 +48,11 @@ def answer_detail(spark: SparkSession, root: str, dt: str) -> DataFrame:
 
 
 def build_question_reports(spark: SparkSession, root: str, dt: str) -> None:
+    """Seven reports of a day; averages, extremes and pass rates come from one pass over the answers."""
     detail = answer_detail(spark, root, dt)
+    summary = M.paper_summary(detail, dt).persist()
+    for table, report in SUMMARY_REPORTS.items():
+        write_overwrite(report(summary), table_path(root, f"ads.{table}"))
+    summary.unpersist()
     for table, report in REPORTS.items():
         write_overwrite(report(detail, dt), table_path(root, f"ads.{table}"))
-
-
-def question_reports_sql(spark: SparkSession, root: str, dt: str) -> dict[str, DataFrame]:
-    """The reports as SQL over the stored detail, one statement each."""
-    answer_detail(spark, root, dt).createOrReplaceTempView("answers_of_day")
-    paper = "paperviewid, paperviewname, dt, dn"
-    ranked = """SELECT userid, paperviewid, paperviewname, chaptername, pointname, sitecoursename, coursename, majorname,
-                       shortname, papername, score, rk, dt, dn
-                FROM (SELECT *, dense_rank() OVER (PARTITION BY paperviewid ORDER BY score {0}) AS rk FROM answers_of_day)
-                WHERE rk < 4"""
-    return {
-        "ads_paper_avgtimeandscore": spark.sql(f"""
-            SELECT paperviewid, paperviewname, CAST(avg(score) AS decimal(4,1)) AS avgscore,
-                   CAST(avg(spendtime) AS decimal(10,1)) AS avgspendtime, dt, dn
-            FROM answers_of_day GROUP BY {paper} ORDER BY avgscore DESC, avgspendtime DESC"""),
-        "ads_paper_maxdetail": spark.sql(f"""
-            SELECT paperviewid, paperviewname, CAST(max(score) AS decimal(4,1)) AS maxscore,
-                   CAST(min(score) AS decimal(4,1)) AS minscore, dt, dn FROM answers_of_day GROUP BY {paper}"""),
-        "ads_top3_userdetail": spark.sql(ranked.format("DESC")),
-        "ads_low3_userdetail": spark.sql(ranked.format("ASC")),
-        "ads_user_paper_detail": spark.sql(f"""
-            SELECT paperviewid, paperviewname, unpasscount, passcount,
-                   CAST(passcount / (passcount + unpasscount) AS decimal(4,2)) AS rate, dt, dn
-            FROM (SELECT {paper}, count_if(score BETWEEN 0 AND 60) AS unpasscount, count_if(score > 60) AS passcount
-                  FROM answers_of_day GROUP BY {paper}) WHERE unpasscount > 0 AND passcount > 0"""),
-        "ads_user_question_detail": spark.sql("""
-            SELECT questionid, errcount, rightcount, CAST(errcount / (errcount + rightcount) AS decimal(4,2)) AS rate, dt, dn
-            FROM (SELECT questionid, dt, dn, count_if(user_question_answer = 0) AS errcount,
-                         count_if(user_question_answer = 1) AS rightcount
-                  FROM answers_of_day GROUP BY questionid, dt, dn)
-            WHERE errcount > 0 AND rightcount > 0 ORDER BY errcount DESC"""),
-    }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coursemill.operators import member as M
+from coursemill.operators import metrics
 from coursemill.operators.metrics import MEMBER_COUNTS, member_count
 from coursemill.operators.metrics import top3_payers as _top3
 from coursemill.registry import inputs as I
@@ -44,6 +45,10 @@ def count_query(by: str, spark: SparkSession, sf: str) -> DataFrame:
     return member_count(member_wide(spark, sf), by)
 
 
+def member_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return metrics.member_counts(member_wide(spark, sf))
+
+
 def top3_payers(spark: SparkSession, sf: str) -> DataFrame:
     return I.plain(_top3(member_wide(spark, sf)))
 
@@ -52,7 +57,7 @@ QUERIES = {
     "member_wide_join": member_wide_join, "member_wide_agg": member_wide_agg,
     "member_wide_agg_zero": member_wide_agg_zero,
     **{key: partial(count_query, by) for key, by in MEMBER_COUNTS.items()},
-    "top3_payers": top3_payers,
+    "member_counts": member_counts, "top3_payers": top3_payers,
 }
 
 _JOINS = """
@@ -93,6 +98,9 @@ SQL = {
     "member_wide_agg": I.with_ctes(MEMBER_INPUTS, _wide_sql(False)),
     "member_wide_agg_zero": I.with_ctes(MEMBER_INPUTS, _wide_sql(True)),
     **{key: _count_sql(by) for key, by in MEMBER_COUNTS.items()},
+    "member_counts": I.with_ctes(MEMBER_INPUTS, f"SELECT * FROM (WITH wide AS ({_wide_sql(False)}) " + " UNION ALL ".join(
+        f"SELECT '{key}' AS report, CAST({by} AS VARCHAR) AS value, count(*) AS num, dt, dn FROM wide GROUP BY {by}, dt, dn"
+        for key, by in MEMBER_COUNTS.items()) + ")"),
     "top3_payers": I.with_ctes(MEMBER_INPUTS, f"""
         SELECT * FROM (
             SELECT uid, memberlevel, register, appregurl, regsourcename, adname, sitename, vip_level, paymoney,

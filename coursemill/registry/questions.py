@@ -121,6 +121,21 @@ def question_error_rate(spark: SparkSession, sf: str) -> DataFrame:
     return plain(M.question_error_rate(I.detail(spark, sf)))
 
 
+def paper_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Average, extremes and pass rate of each paper side by side, from one pass over the answers."""
+    one = M.paper_summary(I.detail(spark, sf))
+    return plain(one.select(*M.PAPER, F.col("_avgscore").alias("avgscore"), F.col("_max").alias("maxscore"), F.col("_min").alias("minscore"),
+                            "unpasscount", F.col("_pass").alias("passcount")))
+
+
+def rate_pair_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Wrong and right answers of each question, counted apart and put side by side."""
+    rows, keys = I.detail(spark, sf), ["questionid", "dt", "dn"]
+    counts = [rows.where(F.col("user_question_answer") == v).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+              for v, name in ((0, "errcount"), (1, "rightcount"))]
+    return plain(M.rate_pair_join(counts[0], counts[1], keys, "errcount", "rightcount"))
+
+
 def salted_count(spark: SparkSession, sf: str) -> DataFrame:
     return M.salted_count(I.events(spark, sf), "event_type")
 
@@ -128,7 +143,7 @@ def salted_count(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     join_inner_chain4, join_inner_chain3, join_major_star, join_mixed_left_inner, join_question_type,
     join_answer_detail, paper_avg, paper_max_min, paper_top3, paper_low3, score_segment_users, paper_pass_rate,
-    question_error_rate, salted_count)}
+    question_error_rate, paper_summary, rate_pair_join, salted_count)}
 
 
 def _detail(sql: str) -> str:
@@ -220,5 +235,11 @@ SQL = {
         FROM (SELECT questionid, dt, dn, count(*) AS errcount FROM detail WHERE answer = 0 GROUP BY questionid, dt, dn)
         JOIN (SELECT questionid, dt, dn, count(*) AS rightcount FROM detail WHERE answer = 1
               GROUP BY questionid, dt, dn) USING (questionid, dt, dn)"""),
+    "paper_summary": _detail(f"""
+        SELECT paperviewid, paperviewname, CAST({_half_up('sum(score)', 'count(score)', 5)} AS DOUBLE) / 100000 AS avgscore,
+               CAST(max(score) AS DOUBLE) AS maxscore, CAST(min(score) AS DOUBLE) AS minscore,
+               count(*) FILTER (score BETWEEN 0 AND 60) AS unpasscount, count(*) FILTER (score > 60) AS passcount, dt, dn
+        FROM detail GROUP BY paperviewid, paperviewname, dt, dn"""),
     "salted_count": "SELECT event_type, count(*) AS num FROM events GROUP BY event_type",
 }
+SQL["rate_pair_join"] = SQL["question_error_rate"]

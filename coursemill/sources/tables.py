@@ -80,8 +80,18 @@ def read_state_table(spark: SparkSession, path: str | None = None, jdbc: dict[st
 
 
 def register_table(spark: SparkSession, path: str, name: str) -> None:
-    """Publish a Parquet folder in the catalog, with its partitions."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
-    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-    if parts:
+    """Publish a Parquet folder in the catalog, with its partitions; ``dt`` and ``dn`` are text there too."""
+    found = read_folder(spark, path)
+    folders = [f.name for f in found.schema if f.name in _folder_columns(spark, path)]
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema)
+    parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in folders)})" if folders else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {parts} LOCATION '{path}'")
+    if folders:
         spark.sql(f"MSCK REPAIR TABLE {name}")
+
+
+def _folder_columns(spark: SparkSession, path: str) -> set[str]:
+    """Columns that are folder names: those that a file itself lacks."""
+    rows = spark.read.option("basePath", path).parquet(path)
+    own = spark.read.option("recursiveFileLookup", True).parquet(path)
+    return set(rows.columns) - set(own.columns)

@@ -64,6 +64,16 @@ def test_settled_rows_are_not_shuffled(spark, tmp_path, frame):
     assert "Exchange" not in settled
 
 
+def test_rows_of_members_without_payment_are_not_shuffled(spark, tmp_path, frame):
+    frame(SCHEMA, *[day_row(u, "2024-01-01", 1) for u in range(50)], day_row(7, "2024-01-05", 2)).write.parquet(str(tmp_path / "h"))
+    frame(SCHEMA, day_row(3, "2024-01-05", 1)).write.parquet(str(tmp_path / "d"))
+    history, delta = spark.read.parquet(str(tmp_path / "h")), spark.read.parquet(str(tmp_path / "d"))
+    others, stored = H.split_by_delta(history, delta, "2024-01-05")
+    assert {r.uid for r in stored.collect()} == {3, 7} and others.count() == 48
+    plan = plan_of(others)
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_daily_delta(frame):
     pay = frame("uid int, paymoney decimal(10,4), vip_id int, dt string, dn string",
                 (1, Decimal(2), 1, "20240101", "w"), (1, Decimal(3), 2, "20240101", "w"), (1, Decimal(9), 1, "20240102", "w"),

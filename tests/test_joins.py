@@ -81,6 +81,27 @@ def test_hot_left_join_equals_left_join(frame, min_rows):
     assert rows_of(J.hot_left_join(left, right, ["k", "dn"], 6, min_rows), "k", "dn", "a", "b") == want
 
 
+def test_equal_rows_are_dealt_over_the_salts(spark, frame):
+    big = frame("k int, v string", *[(1, "same")] * 1000, (1, "other"), (2, "x"), (None, "y"))
+    salted = J.spread_folded(J.fold_equal(big), 100)
+    share = {r[J.SALT]: r[J.TIMES] for r in salted.where("v = 'same'").collect()}
+    assert len(share) == 100 and set(share.values()) == {10}
+    few = J.spread_folded(J.fold_equal(frame("k int", *[(1,)] * 7)), 100).collect()
+    assert [r[J.TIMES] for r in few] == [1] * 7 and len({r[J.SALT] for r in few}) == 7
+    odd = J.spread_folded(J.fold_equal(frame("k int", *[(1,)] * 7)), 3).collect()
+    assert sorted(r[J.TIMES] for r in odd) == [2, 2, 3]
+    small = frame("k int, name string", (1, "a"), (3, "c"))
+    for how in ("right", "inner"):
+        assert rows_of(J.salted_join(small, big, ["k"], how, 100)) == rows_of(small.join(big, ["k"], how))
+    got = J.hot_left_join(small, big, ["k"], 100, 10)
+    assert rows_of(got) == rows_of(small.join(big, ["k"], "left"))
+
+
+def test_unfolding_goes_in_bounded_steps(frame):
+    got = J.unfold(frame("a int, _times bigint", (1, 2 * J.AT_ONCE + 1), (2, 1), (3, None), (4, J.AT_ONCE)))
+    assert rows_of(got.groupBy("a").count()) == [(1, 2 * J.AT_ONCE + 1), (2, 1), (3, 1), (4, J.AT_ONCE)]
+
+
 # --- member wide table ----------------------------------------------------------------
 
 @pytest.fixture
@@ -186,5 +207,5 @@ def test_rename_drop_ignores_absent_columns(frame):
 
 def test_salt_is_stable(frame):
     df = frame("a int", *[(i,) for i in range(50)])
-    salted = lambda: rows_of(df.withColumn("s", J._row_salt(df, 7, None)))
+    salted = lambda: rows_of(J.spread_folded(J.fold_equal(df), 7), "a", J.SALT)
     assert salted() == salted() and len({s for _, s in salted()}) > 1

@@ -106,6 +106,33 @@ def test_filter_on_a_column_not_shown(frame):
     assert rows_of(M.filter_after_project(df, ["a"], F.col("s").between(0, 60))) == [(1,), (2,)]
 
 
+def test_equal_rows_read_by_several_tasks_are_counted_apart_first(spark, frame):
+    df = spark.range(1000).repartition(8).select(F.lit("a").alias("k"))
+    assert rows_of(M.salted_count(df, "k", 4)) == [("a", 1000)]
+    assert df.groupBy("k", F.spark_partition_id() % 4).count().count() == 4
+
+
+def test_all_member_counts_come_from_one_scan(spark, frame, tmp_path):
+    cols = [*M.MEMBER_COUNTS.values(), "dt", "dn"]
+    rows = [(*[None if (i + j) % 5 == 0 else f"v{(i * j) % 3}" for j in range(6)], f"d{i % 2}", "w") for i in range(40)]
+    frame(", ".join(f"{c} string" for c in cols), *rows).write.parquet(str(tmp_path / "w"))
+    wide = spark.read.parquet(str(tmp_path / "w"))
+    counts = M.member_counts(wide)
+    assert plan_of(counts).count("FileScan") == 1
+    for report, by in M.MEMBER_COUNTS.items():
+        assert rows_of(M.counts_of(counts, report)) == rows_of(M.member_count(wide, by))
+
+
+def test_paper_reports_share_one_scan(spark, frame, tmp_path):
+    frame("paperviewid int, paperviewname string, score decimal(4,1), spendtime int, dt string, dn string",
+          *[(i % 3, f"p{i % 3}", Decimal(i * 7 % 101), i, "d", "w") for i in range(30)]).write.parquet(str(tmp_path / "d"))
+    detail = spark.read.parquet(str(tmp_path / "d"))
+    one = M.paper_summary(detail)
+    assert plan_of(one).count("FileScan") == 1
+    for of, report in ((M.avg_of, M.paper_avg), (M.max_min_of, M.paper_max_min), (M.pass_rate_of, M.paper_pass_rate)):
+        assert rows_of(of(one)) == rows_of(report(detail))
+
+
 def test_salted_count(frame):
     df = frame("k string, i int", *[("a", i) for i in range(50)], ("b", 1), (None, 1))
     assert rows_of(M.salted_count(df, "k")) == [("a", 50), ("b", 1), (None, 1)]
@@ -160,6 +187,21 @@ def test_bloom_null_and_text_keys(frame):
     assert rows_of(got, "k", "maybe") == [("a", True), (None, False)]
 
 
-def test_bloom_shape():
-    blocks, hashes = B.bloom_shape()
-    assert blocks * B.BLOCK_BITS >= 9_585_058 and hashes == 7
+def test_bloom_blocks_are_the_fewest_that_keep_the_bound(spark):
+    for size, fpp in ((1, 0.5), (10, 0.01), (1_000_000, 0.01), (50_000, 0.001)):
+        blocks = B.bloom_blocks(size, fpp)
+        assert B.expected_fpp(size, blocks) <= fpp and (blocks == 1 or B.expected_fpp(size, blocks - 1) > fpp)
+    assert 9 < 256 * B.bloom_blocks() / B.SIZE < 12  # bits to a member
+
+
+def test_bloom_probe_meets_eight_numbers_and_no_text(spark):
+    bloom = B.bloom_build(spark.range(100).withColumnRenamed("id", "k"), "k", 100)
+    assert [t for _, t in bloom.dtypes] == ["bigint", *["int"] * 8]
+    plan = plan_of(B.bloom_membership(spark.range(10).withColumnRenamed("id", "k"), "k", bloom, 100))
+    assert "conv(" not in plan and "hex(" not in plan
+
+
+def test_bloom_keeps_columns_that_share_its_names(frame):
+    bloom = B.bloom_build(frame("k int", (1,)), "k", 10)
+    got = B.bloom_membership(frame("k int, block string, w0 string", (1, "b", "w")), "k", bloom, 10)
+    assert rows_of(got) == [(1, "b", "w", True)]

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from coursemill.operators import joins as J
 from coursemill.operators.member import DWS_MEMBER
+from coursemill.operators.metrics import MEMBER_COUNTS
 from coursemill.operators.versioned import read_snapshot
 from coursemill.plans import detail, member, questions, sales
 from coursemill.sources.specs import spec
-from coursemill.sources.tables import read_table, scan, table_path
+from coursemill.sources.tables import partition_filter, read_table, scan, table_path
 
 N, DAYS = 6, ("20240101", "20240102")
 
@@ -58,6 +59,53 @@ def warehouse(spark, tmp_path_factory):
     return str(ods), root
 
 
+def member_reports_sql(spark, root, dt):
+    """The member reports as SQL over the stored wide table."""
+    partition_filter(read_table(spark, root, "dws.dws_member"), dt).createOrReplaceTempView("wide_of_day")
+    out = {by: spark.sql(f"SELECT {by}, count(uid) AS num, dt, dn FROM wide_of_day GROUP BY {by}, dn, dt")
+           for by in MEMBER_COUNTS.values()}
+    out["top3"] = spark.sql("""
+        SELECT uid, memberlevel, register, appregurl, regsourcename, adname, sitename, vip_level,
+               CAST(paymoney AS decimal(20,4)) AS paymoney, rownum, dt, dn
+        FROM (SELECT *, row_number() OVER (PARTITION BY dt, dn, memberlevel
+                                           ORDER BY CAST(paymoney AS decimal(20,4)) DESC, uid) AS rownum
+              FROM wide_of_day)
+        WHERE rownum < 4 ORDER BY memberlevel, rownum""")
+    return out
+
+
+def question_reports_sql(spark, root, dt):
+    """The question reports as SQL over the stored detail, one statement each."""
+    questions.answer_detail(spark, root, dt).createOrReplaceTempView("answers_of_day")
+    paper = "paperviewid, paperviewname, dt, dn"
+    ranked = """SELECT userid, paperviewid, paperviewname, chaptername, pointname, sitecoursename, coursename, majorname,
+                       shortname, papername, score, rk, dt, dn
+                FROM (SELECT *, dense_rank() OVER (PARTITION BY paperviewid ORDER BY score {0}) AS rk FROM answers_of_day)
+                WHERE rk < 4"""
+    return {
+        "ads_paper_avgtimeandscore": spark.sql(f"""
+            SELECT paperviewid, paperviewname, CAST(avg(score) AS decimal(4,1)) AS avgscore,
+                   CAST(avg(spendtime) AS decimal(10,1)) AS avgspendtime, dt, dn
+            FROM answers_of_day GROUP BY {paper} ORDER BY avgscore DESC, avgspendtime DESC"""),
+        "ads_paper_maxdetail": spark.sql(f"""
+            SELECT paperviewid, paperviewname, CAST(max(score) AS decimal(4,1)) AS maxscore,
+                   CAST(min(score) AS decimal(4,1)) AS minscore, dt, dn FROM answers_of_day GROUP BY {paper}"""),
+        "ads_top3_userdetail": spark.sql(ranked.format("DESC")),
+        "ads_low3_userdetail": spark.sql(ranked.format("ASC")),
+        "ads_user_paper_detail": spark.sql(f"""
+            SELECT paperviewid, paperviewname, unpasscount, passcount,
+                   CAST(passcount / (passcount + unpasscount) AS decimal(4,2)) AS rate, dt, dn
+            FROM (SELECT {paper}, count_if(score BETWEEN 0 AND 60) AS unpasscount, count_if(score > 60) AS passcount
+                  FROM answers_of_day GROUP BY {paper}) WHERE unpasscount > 0 AND passcount > 0"""),
+        "ads_user_question_detail": spark.sql("""
+            SELECT questionid, errcount, rightcount, CAST(errcount / (errcount + rightcount) AS decimal(4,2)) AS rate, dt, dn
+            FROM (SELECT questionid, dt, dn, count_if(user_question_answer = 0) AS errcount,
+                         count_if(user_question_answer = 1) AS rightcount
+                  FROM answers_of_day GROUP BY questionid, dt, dn)
+            WHERE errcount > 0 AND rightcount > 0 ORDER BY errcount DESC"""),
+    }
+
+
 def test_detail_tables_hold_the_good_lines(spark, warehouse):
     _, root = warehouse
     for table in detail.DETAIL_TABLES:
@@ -89,7 +137,7 @@ def test_member_area(spark, warehouse):
     assert one.paymoney == Decimal("181.0000") and one.fullname == "fxx" and one.password == "******"
     assert one.vip_level is not None and one.siteid == 3
 
-    sql = member.member_reports_sql(spark, root, DAYS[0])
+    sql = member_reports_sql(spark, root, DAYS[0])
     for by, table in member.COUNT_TABLES.items():
         stored = read_table(spark, root, f"ads.{table}").where(F.col("dt") == DAYS[0])
         assert rows_of(stored, by, "num", "dt", "dn") == rows_of(sql[by], by, "num", "dt", "dn")
@@ -130,7 +178,7 @@ def test_question_area(spark, warehouse):
     assert rows_of(rows.where("userid = 3"), "score", "user_question_answer", "spendtime") == [(Decimal("45.3"), 1, 3)]
 
     questions.build_question_reports(spark, root, dt)
-    for table, want in questions.question_reports_sql(spark, root, dt).items():
+    for table, want in question_reports_sql(spark, root, dt).items():
         got = read_table(spark, root, f"ads.{table}")
         assert rows_of(got, *want.columns) == rows_of(want), table
     bands = read_table(spark, root, "ads.ads_paper_scoresegment_user")

@@ -168,9 +168,28 @@ def test_partition_folder_names_match_spark(spark, tmp_path):
 
 def test_register_table(spark, frame):
     path = scratch_dir(spark, "reg")
-    W.write_append(frame("a int, dt string, dn string", (1, "20240101", "w")), path)
+    W.write_append(frame("a int, dt string, dn string", (1, "20240101", "007"), (2, "20240102", "w")), path)
     T.register_table(spark, path, "published")
-    assert spark.table("published").count() == 1
+    T.register_table(spark, path, "published")
+    table = spark.table("published")
+    assert dict(table.dtypes) == {"a": "int", "dt": "string", "dn": "string"}
+    assert rows_of(table) == [(1, "20240101", "007"), (2, "20240102", "w")]
+    assert rows_of(spark.sql("SELECT a FROM published WHERE dn = '007'")) == [(1,)]
+    assert {c.name for c in spark.catalog.listColumns("published") if c.isPartition} == {"dt", "dn"}
+    plain = scratch_dir(spark, "plain")
+    frame("a int", (5,)).write.parquet(plain)
+    T.register_table(spark, plain, "published_plain")
+    assert rows_of(spark.table("published_plain")) == [(5,)]
+
+
+def test_the_newest_row_of_a_key_by_an_order_column(frame):
+    table = frame("id int, name string, ts int", (1, "a", 0), (3, "c", 0))
+    rows = frame("id int, name string, ts int", (1, "z", 2), (1, "b", 9), (2, "y", 1), (2, "x", 1))
+    for part in (rows, rows.orderBy("name")):
+        assert rows_of(K.keyed_upsert(table, part, ["id"], ["ts"])) == [(1, "b", 9), (2, "y", 1), (3, "c", 0)]
+        assert rows_of(K.keyed_update(table, part, ["id"], ["ts"])) == [(1, "b", 9), (3, "c", 0)]
+    # The order column need not be one of the table.
+    assert rows_of(K.keyed_upsert(table.drop("ts"), rows, ["id"], ["ts"])) == [(1, "b"), (2, "y"), (3, "c")]
 
 
 def test_images(spark, tmp_path):
