@@ -1,26 +1,23 @@
-"""Tables with a primary key, as Parquet folders hashed by key.
+"""Tables with a primary key.
 
-The frame functions say what a change does to a table. The ``apply_*``
-functions do it on disk: rows live in a folder per hash slot, and only the
-slots a change touches are read and written again. The number of slots is
-stored with the table when it is created.
+The frame functions say what a change does to a table. The ``apply_*`` functions do it to a stored one, a table of numbered
+commits: a change is written as a commit of the rows it makes, a deleted key as a row that says so. Only rows that change
+are written, and a commit is there whole or not at all.
 """
 
 from __future__ import annotations
 
-from typing import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
-from coursemill.operators.sinks import replace_table, replace_touched
+from coursemill.operators.commits import current_rows, next_commit, write_commit
+from coursemill.operators.sinks import replace_table
+from coursemill.operators.versioned import COMMIT
 from coursemill.sources.tables import table_exists
 
-SLOT = "_slot"
 BATCH = "_batch"
-PARTS = 3  # fixed value: hash partitions of a keyed table
-SLOTS = "_slots"  # folder of the slot count; no part of the table to a reader
+DELETED = "_deleted"
 
 
 # --- what a change does --------------------------------------------------------
@@ -73,72 +70,66 @@ def keyed_add(table: DataFrame, rows: DataFrame, keys: list[str], sums: list[str
     return out.select(*keys, *sums, *[F.col(f"_r.{c}").alias(c) for c in other]).select(*table.columns)
 
 
-# --- doing it on disk ------------------------------------------------------------
+# --- doing it to a stored table ----------------------------------------------------
 
-def _slot(keys: list[str], parts: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(parts)).cast("int")
+def _full(schema: StructType) -> StructType:
+    return StructType(list(schema.fields)).add(BATCH, "long").add(DELETED, "boolean")
 
 
-def keyed_create(spark: SparkSession, path: str, schema: StructType, parts: int = PARTS) -> None:
-    """An empty keyed table of ``parts`` slots: its slot count and its first slot, without rows."""
-    replace_table(spark.range(1).select(F.lit(parts).alias("parts")), f"{path}/{SLOTS}")
-    empty = StructType(list(schema.fields) + [StructField(BATCH, LongType())])
-    replace_table(spark.createDataFrame([], empty), f"{path}/{SLOT}=0")
+def keyed_create(spark: SparkSession, path: str, schema: StructType) -> None:
+    """An empty keyed table: a commit without rows."""
+    replace_table(spark.createDataFrame([], _full(schema)), f"{path}/{COMMIT}=-1")
 
 
 def keyed_exists(spark: SparkSession, path: str) -> bool:
     return table_exists(spark, path)
 
 
-def _stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    full = StructType(list(schema.fields) + [StructField(BATCH, LongType()), StructField(SLOT, IntegerType())])
-    return spark.read.schema(full).parquet(path)
+def read_keyed(spark: SparkSession, path: str, keys: list[str], schema: StructType | None = None) -> DataFrame:
+    """The rows of the table; filters on keys reach the files."""
+    if schema is None:
+        schema = StructType([f for f in spark.read.parquet(path).schema if f.name not in (BATCH, DELETED, COMMIT)])
+    return _rows(spark, path, keys, schema).drop(BATCH)
+
+
+def _rows(spark: SparkSession, path: str, keys: list[str], schema: StructType) -> DataFrame:
+    return current_rows(spark, path, keys, _full(schema)).where(~F.col(DELETED)).drop(DELETED)
 
 
-def read_keyed(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """The table without its housekeeping columns; filters on it reach the files."""
-    df = spark.read.parquet(path) if schema is None else _stored(spark, path, schema)
-    return df.drop(SLOT, BATCH)
+def _touched(table: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    return table.join(rows.select(*keys), keys, "left_semi").select(*table.columns)
 
 
-def _apply(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], schema: StructType,
-           change: Callable[[DataFrame, DataFrame], DataFrame], may_empty: bool = False) -> None:
-    parts = spark.read.schema("parts int").parquet(f"{path}/{SLOTS}").first()[0]
-    rows = rows.withColumn(SLOT, _slot(keys, parts))
-    # At most ``parts`` numbers come to the driver.
-    touched = [r[0] for r in rows.select(SLOT).distinct().collect()]
-    if not touched:
-        return
-    old = _stored(spark, path, schema).where(F.col(SLOT).isin(touched))
-    new = change(old.drop(SLOT), rows.drop(SLOT)).withColumn(SLOT, _slot(keys, parts))
-    replace_touched(spark, new, path, SLOT, touched if may_empty else [])
+def _commit(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], deleted: bool = False) -> None:
+    if BATCH not in rows.columns:
+        rows = rows.withColumn(BATCH, F.lit(None).cast("bigint"))
+    write_commit(rows.withColumn(DELETED, F.lit(deleted)), path, next_commit(spark, path), keys)
 
 
 def apply_insert(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], schema: StructType) -> None:
-    _apply(spark, path, rows.withColumn(BATCH, F.lit(None).cast("bigint")), keys, schema,
-           lambda t, r: keyed_insert(t, r, keys))
+    old = read_keyed(spark, path, keys, schema)
+    _commit(spark, path, unique_by_key(rows.select(*schema.names), keys).join(old.select(*keys), keys, "left_anti"), keys)
 
 
 def apply_update(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], schema: StructType,
                  order: list[str] | None = None) -> None:
-    _apply(spark, path, rows, keys, schema, lambda t, r: keyed_update(t, r, keys, order))
+    old = _touched(_rows(spark, path, keys, schema), rows, keys)
+    _commit(spark, path, keyed_update(old, rows, keys, order), keys)
 
 
 def apply_delete(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], schema: StructType) -> None:
-    _apply(spark, path, rows, keys, schema, lambda t, r: keyed_delete(t, r, keys), may_empty=True)
+    _commit(spark, path, _touched(read_keyed(spark, path, keys, schema), rows, keys), keys, deleted=True)
 
 
 def apply_upsert(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], schema: StructType,
                  order: list[str] | None = None) -> None:
-    _apply(spark, path, rows.withColumn(BATCH, F.lit(None).cast("bigint")), keys, schema,
-           lambda t, r: keyed_upsert(t, r, keys, order))
+    _commit(spark, path, unique_by_key(rows, keys, order).select(*schema.names), keys)
 
 
 def apply_add(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], sums: list[str],
               schema: StructType, batch: int) -> None:
     """Add a numbered batch once: a key that already holds this batch, or a later one, is left as it is."""
-    def change(table: DataFrame, increments: DataFrame) -> DataFrame:
-        done = table.where(F.col(BATCH) >= F.lit(batch)).select(*keys)
-        todo = increments.join(done, keys, "left_anti")
-        return keyed_add(table, todo, keys, sums)
-    _apply(spark, path, rows.withColumn(BATCH, F.lit(batch).cast("bigint")), keys, schema, change)
+    old = _touched(_rows(spark, path, keys, schema), rows, keys)
+    done = old.where(F.col(BATCH) >= F.lit(batch)).select(*keys)
+    todo = rows.select(*schema.names).join(done, keys, "left_anti").withColumn(BATCH, F.lit(batch).cast("bigint"))
+    _commit(spark, path, keyed_add(_touched(old, todo, keys), todo, keys, sums), keys)

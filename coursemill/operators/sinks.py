@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from coursemill.sources.specs import BUCKETS
 
@@ -38,30 +37,23 @@ def replace_table(df: DataFrame, path: str) -> None:
     _writer(df, "overwrite", []).option("partitionOverwriteMode", "static").parquet(path)
 
 
-def partition_folder(column: str, value) -> str:
-    """The folder name Spark gives a partition value."""
-    if value is None or value == "":
-        return f"{column}=__HIVE_DEFAULT_PARTITION__"
-    special = set('"#%\'*/:=?\\{[]^') | {chr(i) for i in range(1, 32)} | {chr(127)}
-    return f"{column}=" + "".join(f"%{ord(c):02X}" if c in special else c for c in str(value))
+EMPTY = "_empty"  # true in the row that stands for a partition without rows
 
 
-def replace_touched(spark: SparkSession, rows: DataFrame, path: str, partition: str, touched: list) -> None:
-    """Replace partitions of a table by rows that were computed from it.
+def replace_partitions(rows: DataFrame, touched: DataFrame, path: str, partition: str) -> None:
+    """Replace the partitions of ``rows`` and those listed in ``touched``, in one write, by rows computed from the table.
 
-    Spark moves the new folders into place when all rows are written, so a
-    failure before that leaves the old ones as they are. Replacing several
-    partitions is not one atomic step. A partition that lost its last row has
-    nothing to be overwritten with and is emptied: ``touched`` names those it
-    may happen to. It holds partition values, never rows.
+    Spark replaces the partitions it has rows for, so each one listed gets a row that says it may be empty;
+    ``read_partitions`` leaves these out. All new folders are written before the first is moved into place.
     """
-    left = {partition_folder(partition, t) for t in touched}
-    if left:
-        left -= {partition_folder(partition, r[0]) for r in rows.select(partition).distinct().collect()}
-    write_overwrite(spread_for_partitions(rows, [partition]), path, [partition])
-    schema = StructType([f for f in rows.schema.fields if f.name != partition])
-    for folder in left:
-        replace_table(spark.createDataFrame([], schema), f"{path}/{folder}")
+    marks = touched.select(partition).distinct().withColumn(EMPTY, F.lit(True))
+    both = rows.withColumn(EMPTY, F.lit(False)).unionByName(marks, allowMissingColumns=True)
+    write_overwrite(spread_for_partitions(both, [partition]), path, [partition])
+
+
+def read_partitions(df: DataFrame) -> DataFrame:
+    """The rows of a table kept by ``replace_partitions``."""
+    return df.where(~F.col(EMPTY)).drop(EMPTY)
 
 
 def limit_files(df: DataFrame, n: int) -> DataFrame:

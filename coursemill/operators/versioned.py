@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from coursemill.functions.scalars import partition_path
-from coursemill.operators.sinks import _writer, replace_touched, write_overwrite
+from coursemill.operators.sinks import EMPTY, _writer, read_partitions, replace_partitions, write_overwrite
 from coursemill.sources.tables import table_exists
 
 COMMIT = "_commit_ts"
@@ -80,19 +81,22 @@ def cow_upsert(spark: SparkSession, df: DataFrame, path: str, keys: list[str], p
 
     Touched are the folders of the new rows and those that hold an older row of
     the same keys, since a key whose partition changed has to leave its old one.
+    They are written anew in one dynamic overwrite, the others not at all.
     """
     # An empty partition value is stored as the default folder and reads back as null.
     df = df.withColumn(partition, F.when(F.col(partition).cast("string") != "", F.col(partition)))
     rows = latest_by_key(df, keys, [precombine]).withColumn(COMMIT, F.lit(commit).cast("bigint"))
     if not table_exists(spark, path):
-        write_overwrite(rows, path, [partition])
+        replace_partitions(rows, rows, path, partition)
         return
-    stored = spark.read.schema(rows.schema).parquet(path)
-    old_homes = stored.join(rows.select(*keys), keys, "left_semi").select(partition)
-    touched = [r[0] for r in old_homes.union(rows.select(partition)).distinct().collect()]
-    home = F.col(partition).isin([t for t in touched if t is not None])
-    if None in touched:
-        home = home | F.col(partition).isNull()
-    kept = stored.where(home).select(*rows.columns)
-    merged = latest_by_key(kept.unionByName(rows), keys, [precombine, COMMIT])
-    replace_touched(spark, merged, path, partition, touched)
+    stored = read_cow(spark, path, rows.schema)
+    old = stored.join(rows.select(*keys), keys, "left_semi").select(partition)
+    touched = old.union(rows.select(partition)).distinct()
+    same = F.col(f"s.{partition}").eqNullSafe(F.col(f"t.{partition}"))
+    kept = stored.alias("s").join(touched.alias("t"), same, "left_semi").select(*rows.columns)
+    replace_partitions(latest_by_key(kept.unionByName(rows), keys, [precombine, COMMIT]), touched, path, partition)
+
+
+def read_cow(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows of a copy-on-write table; ``schema`` includes the commit."""
+    return read_partitions(spark.read.schema(StructType(list(schema.fields)).add(EMPTY, "boolean")).parquet(path)).select(*schema.names)

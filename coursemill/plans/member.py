@@ -10,7 +10,7 @@ from coursemill.operators.history import HISTORY, daily_payment_delta, scd2_merg
 from coursemill.operators.joins import BROADCAST_LIMIT, estimated_bytes
 from coursemill.operators.member import DWS_MEMBER, member_wide_agg
 from coursemill.operators.metrics import MEMBER_COUNTS, counts_of, member_counts, top3_payers
-from coursemill.operators.sinks import replace_touched, write_overwrite
+from coursemill.operators.sinks import read_partitions, replace_partitions, write_overwrite
 from coursemill.sources.tables import read_table, scan, table_exists, table_path
 
 # fixed values: report tables
@@ -50,18 +50,17 @@ def build_member_history(spark: SparkSession, root: str, dt: str) -> None:
     day = spark.range(1).select(dt_to_date(F.lit(dt))).first()[0]
     path = table_path(root, "dws.dws_member_zipper")
     if table_exists(spark, path):
-        stored = spark.read.parquet(path).withColumn(END_MONTH, F.col(END_MONTH).cast("string"))
+        stored = read_partitions(spark.read.parquet(path)).withColumn(END_MONTH, F.col(END_MONTH).cast("string"))
         stored = stored.where(F.col(END_MONTH).isNull() | (F.col(END_MONTH) >= day[:7]))
-        touched = [r[0] for r in stored.select(END_MONTH).distinct().collect()]
     else:
-        stored, touched = delta.limit(0), []
+        stored = delta.limit(0).withColumn(END_MONTH, F.lit(None).cast("string"))
     merged = scd2_merge(stored.select(*HISTORY), delta, day).withColumn(END_MONTH, F.substring("end_time", 1, 7))
-    replace_touched(spark, merged, path, END_MONTH, touched)
+    replace_partitions(merged, stored, path, END_MONTH)
     delta.unpersist()
 
 
 def read_member_history(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(table_path(root, "dws.dws_member_zipper")).select(*HISTORY)
+    return read_partitions(spark.read.parquet(table_path(root, "dws.dws_member_zipper"))).select(*HISTORY)
 
 
 def build_member_reports(spark: SparkSession, root: str, dt: str) -> None:

@@ -58,7 +58,7 @@ def register(spark: SparkSession, lines: DataFrame, root: str, checkpoint: str,
 
 
 def keyed(spark: SparkSession, lines: DataFrame, root: str, checkpoint: str, trigger: dict | None) -> list[StreamingQuery]:
-    return [jobs.run_keyed_counts(spark, registrations(lines), table_path(root, "rt.register_keyed"), f"{checkpoint}/register_keyed", trigger=trigger)]
+    return [jobs.run_keyed_counts(registrations(lines), table_path(root, "rt.register_keyed"), f"{checkpoint}/register_keyed", trigger)]
 
 
 def land(spark: SparkSession, lines: DataFrame, root: str, checkpoint: str, trigger: dict | None) -> list[StreamingQuery]:

@@ -9,7 +9,6 @@ from pyspark.sql.types import StructType
 
 from coursemill.operators import mastery as K
 from coursemill.operators import pages as P
-from coursemill.operators.keyed import read_keyed
 from coursemill.operators.playback import PLAY_TIMES
 from coursemill.registry import inputs as I
 from coursemill.registry.pages import FUNNEL_SQL, REGION_SQL
@@ -108,9 +107,8 @@ def stream_keyed_counts(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_dir(spark, "keyed-counts")
     kind = F.col("event_type")
     app = F.when(kind == "view", "PC").when(kind == "click", "APP").otherwise("Other")
-    _finish(jobs.run_keyed_counts(spark, I.event_stream(spark, sf).select(app.alias("servicetype")), f"{base}/table",
-                                  f"{base}/cp"))
-    return read_keyed(spark, f"{base}/table", jobs.KEYED_COUNTS)
+    _finish(jobs.run_keyed_counts(I.event_stream(spark, sf).select(app.alias("servicetype")), f"{base}/table", f"{base}/cp"))
+    return read_state(spark, f"{base}/table", ["id"], jobs.APP_COUNTS)
 
 
 def stream_land_raw(spark: SparkSession, sf: str) -> DataFrame:

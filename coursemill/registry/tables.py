@@ -16,10 +16,6 @@ from coursemill.session import scratch_dir
 NEW_IDS = 1_000_000_000_000
 
 
-def _parts(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 # --- keyed tables ---------------------------------------------------------------
 
 def _accounts(spark: SparkSession, sf: str) -> DataFrame:
@@ -37,9 +33,9 @@ def _changes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def keyed_query(kind: str, spark: SparkSession, sf: str) -> DataFrame:
-    base, rows, keys, parts = _accounts(spark, sf), _changes(spark, sf), ["id"], _parts(spark)
+    base, rows, keys = _accounts(spark, sf), _changes(spark, sf), ["id"]
     path = scratch_dir(spark, kind)
-    K.keyed_create(spark, path, base.schema, parts)
+    K.keyed_create(spark, path, base.schema)
     K.apply_insert(spark, path, base, keys, base.schema)
     if kind == "keyed_add":
         K.apply_add(spark, path, rows, keys, ["count"], base.schema, 1)
@@ -48,7 +44,7 @@ def keyed_query(kind: str, spark: SparkSession, sf: str) -> DataFrame:
         change = {"keyed_insert": K.apply_insert, "keyed_update": K.apply_update, "keyed_delete": K.apply_delete,
                   "keyed_upsert": K.apply_upsert}[kind]
         change(spark, path, rows, keys, base.schema)
-    return K.read_keyed(spark, path, base.schema)
+    return K.read_keyed(spark, path, keys, base.schema)
 
 
 # --- versioned tables -------------------------------------------------------------
@@ -101,8 +97,7 @@ def _cow(spark: SparkSession, sf: str) -> DataFrame:
     commits = _lake(spark, sf)
     for i, rows in enumerate(commits, 1):
         V.cow_upsert(spark, rows, path, KEY, PRE, "dn", i)
-    schema = commits[0].schema.add(V.COMMIT, "long")
-    return spark.read.schema(schema).parquet(path)
+    return V.read_cow(spark, path, commits[0].schema.add(V.COMMIT, "long"))
 
 
 def versioned_cow(spark: SparkSession, sf: str) -> DataFrame:

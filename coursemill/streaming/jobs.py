@@ -13,11 +13,10 @@ from pyspark.sql.types import StructType
 
 from coursemill.functions.cleaning import APP_IDS
 from coursemill.functions.scalars import epoch_to_day, now_string
-from coursemill.operators.keyed import apply_add, keyed_create, keyed_exists, read_keyed
 from coursemill.operators.mastery import POINT, answer_counts, mastery_from_counts, questions_from_counts
 from coursemill.operators.pages import TRIPLE, page_jump_rate, page_rates, page_transition_count
 from coursemill.operators.playback import play_time_all
-from coursemill.operators.regions import ip_region_counts, topk_region
+from coursemill.operators.regions import topk_region, with_province
 from coursemill.operators.sinks import replace_table
 from coursemill.streaming.sinks import AVAILABLE, append_commits, start
 from coursemill.streaming.state import keep_state, same, state_rows, whole_groups
@@ -142,43 +141,36 @@ def run_page_transitions(spark: SparkSession, pages: DataFrame, out: str, checkp
     return start(page_transition_count(pages), checkpoint, each, trigger=trigger)
 
 
-REGION_TOTALS = StructType().add("province", "string").add("num", "long")
-
-
 def run_region_topk(spark: SparkSession, pages: DataFrame, ranges: DataFrame, totals: str, top: str,
                     checkpoint: str, k: int = 3, trigger: dict | None = None) -> StreamingQuery:
     """Visits per province since the stream began, and the top ``k`` replaced on each batch.
 
-    A batch is counted per address before the addresses are looked up, which a
-    streaming aggregation could not do: it allows no second grouping.
+    The totals are state. Addresses are looked up row by row and counted inside each task before the shuffle.
     """
-    if not keyed_exists(spark, totals):
-        keyed_create(spark, totals, REGION_TOTALS)
+    write = append_commits(totals, ["province"])
+    counts = with_province(pages.select("ip"), ranges).groupBy("province").agg(F.count(F.lit(1)).alias("num"))
 
     def each(batch: DataFrame, number: int) -> None:
-        counts = ip_region_counts(batch, ranges).persist()  # a few rows, used more than once
-        apply_add(spark, totals, counts, ["province"], ["num"], REGION_TOTALS, number)
-        counts.unpersist()
-        replace_table(topk_region(read_keyed(spark, totals, REGION_TOTALS), k), top)
-    return start(pages, checkpoint, each, mode="append", trigger=trigger)
+        changed = batch.persist()
+        write(changed, number)
+        before = state_rows(spark, checkpoint, ["province"], ["num"], number - 1) if number else None
+        replace_table(topk_region(whole_groups(changed, before, ["province"], []), k), top)
+        changed.unpersist()
+    return start(counts, checkpoint, each, trigger=trigger)
 
 
-KEYED_COUNTS = StructType().add("id", "integer").add("servicetype", "string").add("count", "long")
+APP_COUNTS = StructType().add("id", "integer").add("servicetype", "string").add("count", "long")
 
 
-def run_keyed_counts(spark: SparkSession, apps: DataFrame, table: str, checkpoint: str,
-                     parts: int = 3, trigger: dict | None = None) -> StreamingQuery:
-    """Rows per app (``servicetype``), each batch added to a keyed table exactly once."""
-    if not keyed_exists(spark, table):
-        keyed_create(spark, table, KEYED_COUNTS, parts)
+def run_keyed_counts(apps: DataFrame, table: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Rows per app (``servicetype``) since the stream began, by its key in a keyed table."""
     ids = F.create_map(*[F.lit(x) for pair in APP_IDS.items() for x in pair])
+    counts = apps.groupBy("servicetype").agg(F.count(F.lit(1)).alias("count"))
+    write = append_commits(table, ["id"])
 
     def each(batch: DataFrame, number: int) -> None:
-        counts = (batch.groupBy("servicetype").agg(F.count(F.lit(1)).alias("count"))
-                  .select(F.try_element_at(ids, F.col("servicetype")).alias("id"), "servicetype", "count").persist())
-        apply_add(spark, table, counts, ["id"], ["count"], KEYED_COUNTS, number)
-        counts.unpersist()
-    return start(apps, checkpoint, each, mode="append", trigger=trigger)
+        write(batch.select(F.try_element_at(ids, F.col("servicetype")).alias("id"), "servicetype", "count"), number)
+    return start(counts, checkpoint, each, trigger=trigger)
 
 
 def run_land_raw(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:

@@ -1,9 +1,7 @@
 """Streaming sinks.
 
 Results are written as numbered commits of the rows that changed: a batch that is repeated after a failure overwrites its
-own commit, so results are exact however often a batch runs, also where one batch writes several tables. Every ``FOLD``
-batches a commit holds the newest row of every key, and commits older than the last such one are deleted, so a table has
-at most twice as many commits however long a stream runs.
+own commit, so results are exact however often a batch runs, also where one batch writes several tables.
 """
 
 from __future__ import annotations
@@ -12,15 +10,13 @@ import time
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from coursemill.operators.sinks import replace_table, spread_for_partitions, write_overwrite
-from coursemill.operators.versioned import COMMIT, latest_by_key
+from coursemill.operators.commits import FOLD, current_rows, write_commit
+from coursemill.operators.sinks import replace_table
 
 AVAILABLE = {"availableNow": True}
-FOLD = 50  # batches from one full commit to the next
 
 
 def start(df: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], mode: str = "update",
@@ -39,35 +35,12 @@ def stop_gracefully(query: StreamingQuery, poll: float = 0.1) -> None:
 
 def append_commits(path: str, keys: list[str] | None = None, fold: int = FOLD) -> Callable[[DataFrame, int], None]:
     """Write every batch as commit number ``batch`` below ``path``; with ``keys``, every ``fold`` batches all rows by key."""
-    def each(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.withColumn(COMMIT, F.lit(number).cast("bigint"))
-        full = keys is not None and number and number % fold == 0
-        if full:
-            # Folders that an earlier run of this batch has deleted are older than the full commit before.
-            stored = spark.read.schema(rows.schema).parquet(path).where(F.col(COMMIT) < number)
-            rows = latest_by_key(stored.unionByName(rows), keys, [COMMIT]).withColumn(COMMIT, F.lit(number).cast("bigint"))
-        # State lives in as many partitions as the query shuffles into; a commit gets few files all the same.
-        write_overwrite(spread_for_partitions(rows, [COMMIT]), path, [COMMIT])
-        if full:
-            drop_commits(spark, path, number - fold)
-    return each
-
-
-def drop_commits(spark: SparkSession, path: str, below: int) -> None:
-    """Delete the commits numbered under ``below``."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in files.listStatus(place):
-        name, _, number = status.getPath().getName().partition("=")
-        if name == COMMIT and int(number) < below:
-            files.delete(status.getPath(), True)
+    return lambda batch, number: write_commit(batch, path, number, keys, fold)
 
 
 def read_state(spark: SparkSession, path: str, keys: list[str], schema: StructType) -> DataFrame:
     """The newest row of each key over all commits of a stream."""
-    full = StructType(list(schema.fields)).add(COMMIT, "long")
-    return latest_by_key(spark.read.schema(full).parquet(path), keys, [COMMIT]).drop(COMMIT)
+    return current_rows(spark, path, keys, schema)
 
 
 def compact(spark: SparkSession, path: str, keys: list[str], schema: StructType, out: str) -> None:

@@ -10,7 +10,6 @@ from coursemill.functions import cleaning as C
 from coursemill.operators import mastery as K
 from coursemill.operators import pages as P
 from coursemill.operators import playback as PB
-from coursemill.operators.keyed import read_keyed
 from coursemill.session import scratch_dir
 from coursemill.plans import streams
 from coursemill.sources.lines import json_lines_to_table, tsv_fields
@@ -78,12 +77,12 @@ def test_commits_are_folded_and_old_ones_go(spark, frame):
 def test_restart_goes_on_from_the_checkpoint(spark):
     base = scratch_dir(spark, "restart")
     feed(spark, f"{base}/in", REGISTER[:10])
-    run = lambda: finish(jobs.run_keyed_counts(spark, apps(text_stream(spark, f"{base}/in")), f"{base}/t", f"{base}/cp"))
+    run = lambda: finish(jobs.run_keyed_counts(apps(text_stream(spark, f"{base}/in")), f"{base}/t", f"{base}/cp"))
     run()
     run()  # nothing new
     feed(spark, f"{base}/in", REGISTER[10:], 2)
     run()
-    got = read_keyed(spark, f"{base}/t", jobs.KEYED_COUNTS)
+    got = read_state(spark, f"{base}/t", ["id"], jobs.APP_COUNTS)
     assert rows_of(got) == [(1, "PC", 8), (2, "APP", 7), (3, "Other", 15)]
 
 
@@ -262,7 +261,7 @@ def test_page_stream_counts_and_regions(spark, frame):
 
     ranges = frame("lo bigint, hi bigint, region string", (0, 255, "c|0|p0|t|i"), (256, 767, "c|0|p1|t|i"), (768, 1023, "c|0|p3|t|i"))
     finish(jobs.run_region_topk(spark, page(text_stream(spark, f"{base}/in")), ranges, f"{base}/tot", f"{base}/top", f"{base}/cp2"))
-    assert rows_of(read_keyed(spark, f"{base}/tot", jobs.REGION_TOTALS)) == [("0", 8), ("p0", 8), ("p1", 16), ("p3", 8)]
+    assert rows_of(read_state(spark, f"{base}/tot", ["province"], StructType.fromDDL("province string, num bigint"))) == [("0", 8), ("p0", 8), ("p1", 16), ("p3", 8)]
     assert rows_of(spark.read.parquet(f"{base}/top")) == [("0", 8), ("p0", 8), ("p1", 16)]
 
 
@@ -349,7 +348,7 @@ def test_jobs_run_from_log_files_to_their_tables(spark, frame):
     assert spark.read.parquet(f"{base}/rt/page_jump_rate").first()["jump_rate"] == "100%"
     assert rows_of(spark.read.parquet(f"{base}/rt/top_city_num")) == [("p0", 1)]
     assert rows_of(jobs.read_running_counts(spark, f"{base}/_checkpoints/register_total", "servicetype")) == WANT
-    assert rows_of(read_keyed(spark, f"{base}/rt/register_keyed"), "servicetype", "count") == WANT
+    assert rows_of(read_state(spark, f"{base}/rt/register_keyed", ["id"], jobs.APP_COUNTS), "servicetype", "count") == WANT
 
 
 def test_a_stream_starts_with_a_rate_and_stops(spark):
