@@ -183,9 +183,12 @@ class Codec:
 
     def learn(self, part: str, known: Words) -> bytes:
         """Ids of a part: those of its words, one after the other."""
-        words = self.words.findall(part) if self.words is not None and PLAIN.fullmatch(part) else [part]
-        if words != [part]:
-            return b"".join(known.all(words))
+        if not part.isalpha() and self.words is not None:  # letters alone are one word
+            if part[-1] in ".,!?" and part[:-1].isalpha():
+                return known.one(part[:-1]) + known.one(part[-1])
+            words = self.words.findall(part) if PLAIN.fullmatch(part) else [part]
+            if words != [part]:
+                return b"".join(known.all(words))
         return self.vocabulary.encode(part.encode("utf-8", "surrogateescape"))
 
     def encode(self, text: str | None, known: Words) -> bytes:

@@ -10,10 +10,11 @@ from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from coursemill.llm.tokens import default_tokenizer, encoder
 
@@ -79,37 +80,39 @@ def pack_matrices(docs: DataFrame, size: int = 1024, tokenizer: str | None = Non
     path = tokenizer or default_tokenizer()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     end, ramp = np.array([end_id], "<u4").tobytes(), np.arange(size, dtype="<u4").tobytes()
-    kind = dict(rows.dtypes)["doc_id"]
+    id_type = rows.schema["doc_id"].dataType
+    kinds = {"sequence_id": pa.int64(), "n_tokens": pa.int32(), "doc_ids": pa.list_(to_arrow_type(id_type)), "starts": pa.list_(pa.int64()),
+             "cu_seqlens": pa.list_(pa.int32()), "ids": pa.binary(), "position_ids": pa.binary()}
 
-    def lay(items: list[tuple], first: int) -> pd.DataFrame:
+    def lay(items: list[tuple], first: int) -> pa.RecordBatch:
         bins = best_fit([len(i[2]) // 4 for i in items], size)
-        out = []
+        out = {name: [] for name in kinds}
         for row, own in enumerate(bins):
             segments = [items[i] for i in own]
             lengths = [len(s[2]) // 4 for s in segments]
             used = sum(lengths)
             all_lengths = [*lengths, size - used] if used < size else lengths
-            positions = b"".join(ramp[:4 * n] for n in all_lengths)
-            out.append((first + row, used, [s[0] for s in segments], [s[1] for s in segments], list(accumulate(lengths, initial=0)),
-                        b"".join(s[2] for s in segments) + end * (size - used), positions))
-        return pd.DataFrame(out, columns=["sequence_id", "n_tokens", "doc_ids", "starts", "cu_seqlens", "ids", "position_ids"])
+            values = (first + row, used, [s[0] for s in segments], [s[1] for s in segments], list(accumulate(lengths, initial=0)),
+                      b"".join([*(s[2] for s in segments), end * (size - used)]), b"".join([ramp[:4 * n] for n in all_lengths]))
+            for column, value in zip(out.values(), values):
+                column.append(value)
+        return pa.RecordBatch.from_arrays([pa.array(out[n], kind) for n, kind in kinds.items()], [*kinds])
 
-    def matrices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, following, items, n = encoder(path), TaskContext.get().partitionId() << 33, [], 0
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.iloc[at:at + 256]
-                for key, ids in zip(part["doc_id"].tolist(), code.encode([t if isinstance(t, str) else None for t in part["text"]])):
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                for key, ids in zip(part.column(0).to_pylist(), code.encode(part.column(1).to_pylist())):
                     ids += end
-                    key = None if key != key else int(key) if kind in ("bigint", "int") else key
                     items += [(key, a // 4, ids[a:a + 4 * size]) for a in range(0, len(ids), 4 * size)]
                     n += len(ids) // 4
                     if n >= CHUNK:
                         out = lay(items, following)
                         yield out
-                        following, items, n = following + len(out), [], 0
+                        following, items, n = following + out.num_rows, [], 0
         if items:
             yield lay(items, following)
 
-    return rows.mapInPandas(matrices, f"sequence_id bigint, n_tokens int, doc_ids array<{kind}>, starts array<bigint>, "
-                                      "cu_seqlens array<int>, ids binary, position_ids binary")
+    return rows.mapInArrow(matrices, f"sequence_id bigint, n_tokens int, doc_ids array<{id_type.simpleString()}>, starts array<bigint>, "
+                                     "cu_seqlens array<int>, ids binary, position_ids binary")

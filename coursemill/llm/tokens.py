@@ -1,18 +1,26 @@
 """Token ids of whole texts, from a tokenizer file, as little-endian unsigned 32-bit bytes.
 
-Words repeat, so each blank-separated part of a text is looked up in a bounded table of parts encoded before. That gives
-the ids of the whole text wherever parts are split by single blanks or line ends: the vocabulary's pre-tokenizer always
-starts a new piece there. Any other text is encoded as it is.
+Where a file is plain byte-level BPE with ids in the order of their merges, its vocabulary is handed to ``tiktoken``, which
+merges the same pairs in the same order and is several times faster. Texts with characters that the two libraries could
+class differently, or with the string of an added token, go to the tokenizers library itself. Nothing is remembered from
+one text to the next.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import sys
+from array import array
 
 import numpy as np
 
-#: Parts that a worker remembers before it lets go of those not seen since it last did.
-KNOWN = 300_000
+from coursemill.llm.bpe import byte_names
+
+#: Characters that every Unicode version classes alike: Latin, Greek, Cyrillic, general and CJK marks, kana, Han, Hangul.
+KNOWN = re.compile("[\t\n\r\x20-\x7e¡-ɏΑ-ΡΣ-ώЀ-ӿ‐-‧‰-⁞₠-₿、-〗ぁ-ゖァ-ヺ一-龥가-힣！-～]*")
+STOPS = (".", "!", "?", "\n", "。", "！", "？", "．", "｡")
 
 
 def default_tokenizer() -> str:
@@ -27,81 +35,55 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
         vocabulary = self.tokenizer.get_vocab()
-        self.starts = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that begin with a blank or a line end
-        self.ends = np.zeros_like(self.starts)  # ids that may end a sentence
+        names = byte_names()
+        stops = tuple("".join(names[b] for b in s.encode()) for s in STOPS)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that may end a sentence
         for token, i in vocabulary.items():
-            self.starts[i] = token.startswith(("Ġ", "Ċ"))
-            self.ends[i] = token.endswith((".", "!", "?", "Ċ"))
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.marks = {m: self.whole(m) for m in ".,!?"}
-
-    def whole(self, text: str) -> bytes:
-        return self._ids(text).tobytes()
-
-    def _ids(self, text: str) -> np.ndarray:
-        # The fast form gives the same ids without their places in the text.
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            self.ends[i] = token.endswith(stops)
+        self.added = [t["content"] for t in spec.get("added_tokens") or []]
+        self.quick = self._quick(spec, names)
 
     @staticmethod
-    def parts(text: str) -> list[str] | None:
-        """Blank-separated parts, line ends leading theirs, or None if white space comes otherwise than singly."""
-        marked = text.replace("\n", " \n")
-        if ("  " in marked or "\n " in marked or marked[:1] in " " or marked[-1:] in " \n" or "<|" in text
-                or not text.replace("\n", "").isprintable()):
+    def _quick(spec: dict, names: list[str]):
+        """The same vocabulary for the quicker library, or None if the file asks for more than it can."""
+        model, split = spec["model"], spec.get("pre_tokenizer") or {}
+        back = {c: b for b, c in enumerate(names)}
+        plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        if model["type"] != "BPE" or spec.get("normalizer") or any(split.get(k) != v for k, v in plain.items()):
+            return None
+        if model.get("dropout") or model.get("ignore_merges") or model.get("end_of_word_suffix") or model.get("continuing_subword_prefix"):
             return None
-        return marked.split(" ")
-
-    def _learn(self, parts: list[str]) -> None:
-        for at in range(0, len(parts), 2000):
-            some = parts[at:at + 2000]
-            ids = self._ids((" " + " ".join(some)).replace(" \n", "\n"))
-            cuts = np.flatnonzero(self.starts[ids])
-            if len(cuts) == len(some) and cuts[0] == 0:
-                raw, edges = ids.tobytes(), [*(4 * cuts).tolist(), 4 * len(ids)]
-                self.known.update(zip(some, map(raw.__getitem__, map(slice, edges, edges[1:]))))
-            else:
-                self.known.update((p, self.whole(p if p[0] == "\n" else " " + p)) for p in some)
-
-    def _recall(self, parts: set[str]) -> None:
-        """See to it that all of ``parts`` are known. A mark after a letter is a piece of its own, so words are learned without."""
-        if len(self.known) + len(parts) > KNOWN:
-            self.known, self.older = {}, self.known
-        known, older, new, marked = self.known, self.older, set(), []
-        for p in parts.difference(known):
-            ids = older.get(p)
-            if ids is not None:
-                known[p] = ids
-            elif p[-1] in self.marks and p[-2:-1].isalpha():
-                marked.append(p)
-            else:
-                new.add(p)
-        for stem in {p[:-1] for p in marked}.difference(known, new):
-            ids = older.get(stem)
-            if ids is not None:
-                known[stem] = ids
-            else:
-                new.add(stem)
-        self._learn(list(new))
-        for p in marked:
-            known[p] = known[p[:-1]] + self.marks[p[-1]]
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        made = [model["vocab"][a + b] for a, b in pairs]
+        if made != sorted(made) or len(model["vocab"]) - len(made) - len(names) > len(spec.get("added_tokens") or []):
+            return None
+        import public_tokenizers
+        import tiktoken
+
+        added = {t["content"] for t in spec.get("added_tokens") or []}
+        ranks = {bytes(back[c] for c in t): i for t, i in model["vocab"].items() if t not in added}
+        return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def whole(self, text: str) -> bytes:
+        # The fast form gives the same ids without their places in the text.
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
+
+    def one(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if self.quick is None or any(map(text.__contains__, self.added)) or not KNOWN.fullmatch(text):
+            return self.whole(text)
+        ids = array("I", self.quick.encode_ordinary(text))
+        if sys.byteorder != "little":
+            ids.byteswap()
+        return ids.tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; null and empty texts have none."""
-        split = [self.parts(t) if t else None for t in texts]
-        out = []
-        for at in range(0, len(texts), 64):
-            self._recall(set().union(*(p[1:] for p in split[at:at + 64] if p)))
-            for text, p in zip(texts[at:at + 64], split[at:at + 64]):
-                if not text:
-                    out.append(b"")
-                elif p is None:
-                    out.append(self.whole(text))
-                else:
-                    out.append(self.whole(p[0]) + b"".join(map(self.known.__getitem__, p[1:])))
-                split[at] = None
-        return out
+        return [*map(self.one, texts)]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -109,5 +91,6 @@ _encoders: dict[str, Encoder] = {}
 
 def encoder(path: str) -> Encoder:
     if path not in _encoders:
+        _encoders.clear()
         _encoders[path] = Encoder(path)
     return _encoders[path]

@@ -116,13 +116,66 @@ def test_packing_keeps_every_id_in_order(spark, hard):
         assert at <= 1024
 
 
+def cost_of_cuts(edges, price, size):
+    return sum(packing.padding(b - a, size) for a, b in zip(edges, edges[1:])) + sum(price[c] for c in edges[1:-1])
+
+
 def test_window_cuts_are_cheapest():
+    """Against a plain dynamic programme over all cuts."""
     r = random.Random(5)
-    for _ in range(40):
-        ends = np.cumsum([r.randint(1, 9) for _ in range(9)])
-        marks = np.array([r.random() < 0.4 for _ in ends])
-        edges = packing.window_cuts(ends, marks, 16)
-        assert edges[0] == 0 and edges[-1] == ends[-1] and all(0 < b - a <= 16 for a, b in zip(edges, edges[1:]))
+    for _ in range(80):
+        size, total = r.choice([8, 12, 16, 32]), r.randint(1, 200)
+        ends = np.array(sorted({total, *(r.randint(1, total) for _ in range(r.choice([0, 3, 20, 60])))}))
+        price = np.full((total + 1, 1), packing.INNER_CUT, np.float32)
+        price[ends, 0] = [r.choice([0.0, packing.SENTENCE_CUT]) for _ in ends]
+        best = [0.0]
+        for p in range(1, total + 1):
+            best.append(min(best[p - n] + packing.padding(n, size) for n in range(1, min(size, p) + 1)) + price[p, 0])
+        (edges,), cost = packing.lane_cuts(price, np.array([total]), size)
+        assert edges[0] == 0 and edges[-1] == total and all(0 < b - a <= size for a, b in zip(edges, edges[1:]))
+        assert cost[0] == best[total] - price[total, 0] == cost_of_cuts(edges, price[:, 0], size)
+
+
+def test_documents_without_sentence_ends_are_packed_without_padding():
+    for length in (1500, 2500, 3000):
+        ends = np.arange(length, 400 * length, length)
+        edges = packing.window_cuts(ends, np.ones(len(ends), bool))
+        assert edges[0] == 0 and edges[-1] == ends[-1] and all(0 < b - a <= 1024 for a, b in zip(edges, edges[1:]))
+        padded = sum(0 if (b - a) & (b - a - 1) == 0 else 1024 - b + a for a, b in zip(edges, edges[1:]))
+        assert padded < 0.02 * ends[-1] and len(edges) < 1.05 * ends[-1] / 1024 + 12
+
+
+def test_large_ids_beside_null_stay(spark):
+    big = 9007199254740993
+    docs = spark.createDataFrame([(big, "one two"), (None, "three"), (big + 2, None)], "doc_id bigint, text string").coalesce(1)
+    assert [r["doc_id"] for r in packing.pack_in_order(docs).select("doc_id").distinct().collect()].count(big) == 1
+    assert {r["doc_id"] for r in packing.pack_in_order(docs).collect()} == {big, None, big + 2}
+    assert {i for r in matrices.pack_matrices(docs).collect() for i in r["doc_ids"]} == {big, None, big + 2}
+    named = docs.select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("doc_id"), "text")
+    assert {r["doc_id"] for r in packing.pack_in_order(named).collect()} == {f"d{big}", None, f"d{big + 2}"}
+
+
+def test_matrices_hold_the_ids_segments_and_positions(spark):
+    code = tokens.encoder(tokens.default_tokenizer())
+    docs = spark.createDataFrame(list(enumerate([*texts(90), None, "word " * 3000])), "doc_id bigint, text string")
+    want = {r["doc_id"]: np.frombuffer(code.encode([r["text"]])[0] + bytes(4), "<u4").tolist() for r in docs.collect()}
+    found = defaultdict(dict)
+    for r in matrices.pack_matrices(docs, end_id=0).collect():
+        ids, positions, edges = np.frombuffer(r["ids"], "<u4").tolist(), np.frombuffer(r["position_ids"], "<u4").tolist(), r["cu_seqlens"]
+        assert len(ids) == len(positions) == 1024 and edges[0] == 0 and edges[-1] == r["n_tokens"] <= 1024
+        for doc, start, a, b in zip(r["doc_ids"], r["starts"], edges, edges[1:]):
+            found[doc][start] = ids[a:b]
+            assert positions[a:b] == list(range(b - a))
+        assert set(ids[edges[-1]:]) <= {0} and positions[edges[-1]:] == list(range(1024 - edges[-1]))
+    assert {d: [i for _, part in sorted(own.items()) for i in part] for d, own in found.items()} == want
+
+
+def test_quick_ids_are_those_of_the_library_for_any_characters():
+    code, r = tokens.encoder(tokens.default_tokenizer()), random.Random(7)
+    spans = [(32, 0x250), (0x370, 0x500), (0x2010, 0x20C0), (0x3000, 0x3100), (0x4E00, 0x9FA6), (0xAC00, 0xD7A4), (0xFF01, 0xFF5F), (1, 33), (0x1F300, 0x1F700)]
+    cases = ["".join(chr(r.randrange(*r.choice(spans))) if r.random() < .8 else r.choice([" ", "\n", "'s", "  "]) for _ in range(r.randint(0, 40))) for _ in range(800)]
+    want = [np.array(code.tokenizer.encode(c, add_special_tokens=False).ids, "<u4").tobytes() for c in cases]
+    assert code.encode(cases) == want and sum(bool(tokens.KNOWN.fullmatch(c)) for c in cases) > 50
 
 
 def test_matrices_are_lossless_and_best_fit():
