@@ -31,6 +31,19 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def shield(docs: DataFrame, own: list[str], added: tuple[str, ...] = ()) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Columns other than ``own`` under names that no operator uses, and what gives them their names back.
+
+    Input columns named like ``added`` ones are dropped.
+    """
+    prefix = "_beside"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    names = {c: f"{prefix}{i}" for i, c in enumerate(docs.columns) if c not in own and c not in added}
+    return (docs.drop(*[c for c in added if c not in own]).withColumnsRenamed(names),
+            lambda out: out.withColumnsRenamed({v: k for k, v in names.items()}))
+
+
 def running_sums(df: DataFrame, order: list[str], sums: dict[str, str]) -> DataFrame:
     """Add for each ``name: column`` the sum of that column over all rows before this one in ``order``.
 

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from coursemill.llm.common import shield
 DIMENSIONS, SEED = 1024, 20
 #: Texts whose trigrams are counted together.
 GROUP = 128
@@ -119,5 +120,6 @@ def identify(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", te
     texts agree. An empty table stays empty.
     """
     prototypes = learn(docs.where(~held_out(id_col)), lang_col, text_col)
-    rows = docs.drop("held_out", "lang_pred", "score").withColumn("held_out", held_out(id_col))
-    return rows.withColumn("_p", predict(F.col(text_col), prototypes)).select("*", "_p.lang_pred", "_p.score").drop("_p")
+    docs, back = shield(docs, [id_col, lang_col, text_col], ("held_out", "lang_pred", "score"))
+    rows = docs.withColumn("held_out", held_out(id_col)).withColumn("_p", predict(F.col(text_col), prototypes))
+    return back(rows.select("*", "_p.lang_pred", "_p.score").drop("_p"))

@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from coursemill.llm.common import shield
+
 # Label, wording, and the key phrase that must be there in full.
 TEMPLATES = (
     ("mit", "released under the mit license", "mit license"),
@@ -120,4 +122,5 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", enough: float = 0.5)
     """
     idf = rarity(docs, text_col)
     found = scan_column(F.col(text_col), idf, enough)
-    return docs.drop(*ADDED).withColumn("_found", found).select("*", "_found.*").drop("_found")
+    docs, back = shield(docs, [text_col], ADDED)
+    return back(docs.withColumn("_found", found).select("*", "_found.*").drop("_found"))

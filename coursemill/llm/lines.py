@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coursemill.llm.common import let
+from coursemill.llm.common import let, shield
 
 ADDED = ("n_lines", "n_removed")
 
@@ -36,6 +36,7 @@ def dedup_lines(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_co
     count. Texts under ``width`` lines have no window and stay, as do null (0 lines) and empty texts. Rows equal in id
     and text are one document and are cut alike.
     """
+    docs, back = shield(docs, [id_col, text_col], ADDED)
     windows = line_windows(docs, width, id_col, text_col)
     place = F.struct("_id", "_text", "_pos")
     repeated = windows.groupBy("_h1", "_h2").agg(F.min(place).alias("_first"), F.count("*").alias("_n")).where("_n > 1")
@@ -44,7 +45,7 @@ def dedup_lines(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_co
             .withColumn("_from", F.expr(f"filter(_at, (x, i) -> i = 0 or x - get(_at, i - 1) > {width})"))
             .withColumn("_to", F.expr(f"transform(filter(_at, (x, i) -> i = size(_at) - 1 or get(_at, i + 1) - x > {width}), x -> x + {width})"))
             .drop("_at"))
-    rows = docs.drop(*ADDED).withColumn("_row", F.xxhash64(text_col))
+    rows = docs.withColumn("_row", F.xxhash64(text_col))
     joined = rows.join(cuts, F.col(id_col).eqNullSafe(F.col("_id")) & F.col("_row").eqNullSafe(F.col("_text")), "left").drop("_id", "_text", "_row")
     kept = let(F.split(F.col(text_col), "\n"), lambda lines: F.flatten(F.transform(
         F.sequence(F.lit(0), F.size("_from")),
@@ -54,4 +55,4 @@ def dedup_lines(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_co
     out = (joined.withColumn("n_lines", F.coalesce(F.size(F.split(F.col(text_col), "\n")), F.lit(0)).cast("bigint"))
            .withColumn("n_removed", F.coalesce(removed, F.lit(0)).cast("bigint"))
            .withColumn(text_col, F.when(F.col("_from").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))))
-    return out.drop("_from", "_to")
+    return back(out.drop("_from", "_to"))

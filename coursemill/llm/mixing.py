@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from coursemill.llm.common import SPACE, WORD, running_sums, saved
+from coursemill.llm.common import SPACE, WORD, running_sums, saved, shield
 
 #: Columns that ``mix`` adds; columns of these names in the input are replaced.
 ADDED = ("size", "source_size", "target", "taken")
@@ -44,11 +44,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
     exact word, so only one document of a source is taken in part. Null text has size 0 and takes nothing; a null
     source is a source of its own; rows that repeat an id are ordered by their text. An empty table stays empty.
     """
+    docs, back = shield(docs, [id_col, source_col, text_col], ADDED)
     words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("bigint")
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(id_col).cast("string")))
     ranges = max(1, int(docs.count() ** 0.5))
-    keyed = (docs.drop(*ADDED)
-             .withColumn("_source", F.coalesce(F.concat(F.lit("s"), source_col), F.lit("n")))
+    keyed = (docs.withColumn("_source", F.coalesce(F.concat(F.lit("s"), source_col), F.lit("n")))
              .withColumn("size", words).withColumn("_text_hash", F.xxhash64(text_col))
              .withColumn("_key", F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint"))
              .withColumn("_range", F.shiftright(F.shiftright("_key", 29) * F.lit(ranges), 31)))
@@ -65,8 +65,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
     budget = F.floor("target")
     epochs = F.coalesce(F.expr("floor(target) div nullif(source_size, 0)"), F.lit(0))
     last = F.greatest(F.lit(0), F.least(F.col("size"), budget - epochs * F.col("source_size") - before))
-    return (keyed.join(offsets, ["_source", "_range"]).withColumn("taken", (epochs * F.col("size") + last).cast("bigint"))
-            .drop("_source", "_key", "_range", "_before", "_text_hash"))
+    return back(keyed.join(offsets, ["_source", "_range"]).withColumn("taken", (epochs * F.col("size") + last).cast("bigint"))
+                .drop("_source", "_key", "_range", "_before", "_text_hash"))
 
 
 def mixed_documents(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
@@ -75,6 +75,9 @@ def mixed_documents(docs: DataFrame, text_col: str = "text", **options) -> DataF
     A document taken in part keeps its first words. Documents of no words are in no reading. ``n_chars``, if there is
     such a column, is the length of the text that is left.
     """
+    own = [options.get("id_col", "doc_id"), options.get("source_col", "source"), text_col, "n_chars"]
+    columns = docs.columns
+    docs, back = shield(docs, own)
     mixed = mix(docs, text_col=text_col, **options).where("taken > 0")
     reads = mixed.withColumn("_copy", F.explode(F.expr("sequence(1, cast(ceil(taken / size) as int))")))
     words = reads.withColumn("_words", F.least("size", F.expr("taken - (_copy - 1) * size")))
@@ -84,4 +87,4 @@ def mixed_documents(docs: DataFrame, text_col: str = "text", **options) -> DataF
            .withColumn(text_col, F.when(F.col("_rest").isNull(), F.col(text_col)).otherwise(kept)))
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
-    return cut.select(*[c for c in docs.columns if c not in ADDED])
+    return back(cut.select(*docs.columns)).select(*[F.col(f"`{c}`") for c in columns])

@@ -11,9 +11,10 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coursemill.llm.common import SPACE, let, saved
+from coursemill.llm.common import SPACE, let, saved, shield
 
-FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_ended", "n_upper")
+FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_ended", "n_symbol_lines", "n_upper",
+            "n_letters")
 BASE = ("base_failed", "posterior", "kept")
 
 
@@ -43,16 +44,19 @@ def quality_features(docs: DataFrame, text_col: str = "text") -> DataFrame:
     by_word = let(words, lambda w: F.struct(F.size(w).alias("n_words"), _repeats(w).alias("n_repeat_words")))
     by_line = let(lines, lambda s: F.struct(
         F.size(s).alias("n_lines"), (F.size(s) - F.size(F.array_distinct(s))).alias("n_dup_lines"),
-        F.size(F.filter(s, lambda x: x.rlike(r"[.!?…。！？\"”»)][\x20\x09-\x0D]*$"))).alias("n_ended")))
+        F.size(F.filter(s, lambda x: x.rlike(r"[.!?…。！？\"”»)][\x20\x09-\x0D]*$"))).alias("n_ended"),
+        F.size(F.filter(s, lambda x: x.rlike(r"[#*$%&|<>]"))).alias("n_symbol_lines")))
     length = F.length(text)
+    docs, back = shield(docs, [text_col], FEATURES + BASE)
     out = docs.select(
-        *[c for c in docs.columns if c != text_col and c not in FEATURES + BASE], by_word.alias("_w"), by_line.alias("_l"),
+        *[c for c in docs.columns if c != text_col], by_word.alias("_w"), by_line.alias("_l"),
         F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).alias("word_chars"),
         (length - F.length(F.translate(text, "#*$%&|<>", ""))).alias("n_symbols"),
-        (length - F.length(F.regexp_replace(text, r"\p{Lu}", ""))).alias("n_upper"))
-    found = {"n_words": "_w", "n_repeat_words": "_w", "n_lines": "_l", "n_dup_lines": "_l", "n_ended": "_l"}
-    return out.select(*[c for c in out.columns if c[0] != "_"], *[F.col(f"{s}.{c}").alias(c) for c, s in found.items()]).withColumns(
-        {c: F.col(c).cast("bigint") for c in FEATURES})
+        (length - F.length(F.regexp_replace(text, r"\p{Lu}+", ""))).alias("n_upper"),
+        (length - F.length(F.regexp_replace(text, r"\p{L}+", ""))).alias("n_letters"))
+    found = {"n_words": "_w", "n_repeat_words": "_w", "n_lines": "_l", "n_dup_lines": "_l", "n_ended": "_l", "n_symbol_lines": "_l"}
+    return back(out.select(*[c for c in out.columns if c not in ("_w", "_l")], *[F.col(f"{s}.{c}").alias(c) for c, s in found.items()])
+                .withColumns({c: F.col(c).cast("bigint") for c in FEATURES}))
 
 
 def votes() -> dict[str, Column]:
@@ -65,6 +69,8 @@ def votes() -> dict[str, Column]:
 
     return {
         "symbols": rule(ratio("n_symbols"), lambda v: v > 0.1, lambda v: v < 0.02),
+        "symbol_lines": rule(ratio("n_symbol_lines", F.expr("nullif(n_lines, 0)")), lambda v: v > 0.25, lambda v: v < 0.1),
+        "letters": rule(F.col("n_letters") / F.expr("nullif(word_chars, 0)"), lambda v: v < 0.75, lambda v: v > 0.9),
         "dup_lines": rule(ratio("n_dup_lines", F.expr("nullif(n_lines, 0)")), lambda v: v > 0.35, lambda v: v < 0.15),
         "repeats": rule(ratio("n_repeat_words"), lambda v: v > 0.35, lambda v: v < 0.15),
         "word_length": rule(ratio("word_chars"), lambda v: (v < 2.5) | (v > 12), lambda v: (v >= 3.5) & (v <= 9)),
@@ -74,17 +80,21 @@ def votes() -> dict[str, Column]:
     }
 
 
+#: What is taken to be known before any document is read, in documents: (right votes, of) on good ones, (caught, of) on bad
+#: ones, and (good, of) all. They only start the estimate; a few hundred documents outweigh them.
+RIGHT, CAUGHT, SHARE = (49.0, 50.0), (3.0, 10.0), (8.0, 10.0)
+
+
 def fit_rules(patterns: list[tuple[tuple[int | None, ...], int]], rounds: int = 50) -> tuple[float, list[tuple[float, float]]]:
     """Share of good documents and, per rule, the chance of a right vote on good and on bad ones.
 
-    Abstentions say nothing. The start says that junk comes in many kinds: a rule sees a quarter of it and is hardly ever
-    wrong about good documents. Pseudo-counts keep a rule that never votes there. The bounds keep the classes from trading
-    places, and one kind of junk from owning the bad class: no rule may claim over 40 % of it.
+    Abstentions say nothing. What decides are the votes that come together: rules that see the same documents as bad gain
+    weight against good votes, a rule that votes bad here and there without any other loses its own.
     """
-    good, rates = 0.8, [(0.9995, 0.25)] * (len(patterns[0][0]) if patterns else 0)
+    good, rates = SHARE[0] / SHARE[1], [(RIGHT[0] / RIGHT[1], CAUGHT[0] / CAUGHT[1])] * (len(patterns[0][0]) if patterns else 0)
     for _ in range(rounds):
-        sums = [[1999.0, 2000.0, 10.0, 40.0] for _ in rates]
-        total, share = 10.0, 8.0
+        sums = [[*RIGHT, *CAUGHT] for _ in rates]
+        share, total = SHARE
         for pattern, n in patterns:
             p = posterior(pattern, good, rates)
             total, share = total + n, share + n * p
@@ -92,11 +102,9 @@ def fit_rules(patterns: list[tuple[tuple[int | None, ...], int]], rounds: int =
                 if v is not None:
                     s[0], s[1] = s[0] + n * p * v, s[1] + n * p
                     s[2], s[3] = s[2] + n * (1 - p) * (1 - v), s[3] + n * (1 - p)
-        good = min(max(share / total, 0.5), 0.99)
-        rates = []
-        for s in sums:
-            right = min(max(s[0] / s[1], 0.9), 0.9999)
-            rates.append((right, min(max(s[2] / s[3], 2 * (1 - right)), 0.4)))
+        good = share / total
+        # The rates are shares of sums that begin above 0 and under 1, so that only rounding could reach either end.
+        rates = [tuple(min(max(x, 1e-9), 1 - 1e-9) for x in (s[0] / s[1], s[2] / s[3])) for s in sums]
     return good, rates
 
 
@@ -111,15 +119,15 @@ def posterior(pattern, good: float, rates) -> float:
 def judge_quality(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """Input rows without the text, with ``FEATURES``, ``base_failed``, ``posterior`` (good, 0 to 1) and ``kept``.
 
-    Base: under 50 words, or over half of the words in repeated windows. The rates are estimated on what passes, and that is kept if the posterior reaches
-    ``threshold``. Null and empty texts fail the base. Input columns named like added ones are replaced. Columns of
+    Base: under 50 words, or over half of the words in repeated windows. The rates are estimated on all documents with a
+    word, and what passes the base is kept if its posterior reaches ``threshold``. Null and empty texts fail the base. Input columns named like added ones are replaced. Columns of
     all kinds and repeated rows pass through; an empty table stays empty.
     """
     features = saved(quality_features(docs, text_col))
     rules = votes()
     names = list(rules)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    counted = features.where(~failed).select(*[c.alias(n) for n, c in rules.items()]).groupBy(*names).count().collect()  # at most 3 ** 7 rows
+    counted = features.where("n_words > 0").select(*[c.alias(n) for n, c in rules.items()]).groupBy(*names).count().collect()  # at most 2 * 3 ** 8 rows
     good, rates = fit_rules(sorted(((tuple(r[n] for n in names), r["count"]) for r in counted), key=str))
     odds = F.lit(math.log(good / (1 - good)))
     for (a, b), vote in zip(rates, rules.values()):

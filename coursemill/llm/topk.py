@@ -1,12 +1,14 @@
 """Exact top-k by inner product with no-random-access aggregation over sorted lists.
 
 Each dimension is a list of the candidates' components in order; a query reads lists with a positive weight from the
-top and lists with a negative weight from the bottom. What is read gives each candidate a lower and an upper bound of
-its score, the unread part lying between the list's reading point and its end. Candidates whose upper bound is below
-the k-th best lower bound are out; the rest is read on, and what is left at last is scored in full.
+top and lists with a negative weight from the bottom, one range of all lists after the other. What is read so far gives each
+candidate a lower and an upper bound of its score: an unread part lies between the list's reading point and its end. A
+query stops when the candidates whose upper bound reaches its k-th best lower bound are few; their scores are then
+resolved. A query whose outsiders can qualify to the end has read all lists, and its lower bounds are the scores.
 
 Candidates are dealt into shards and queries into blocks of fixed size; each pair of shard and block is one task, in
-which the bounds of all its queries are two matrix products per depth. Only k rows per query and shard leave a task.
+which the bounds of all queries that still read are two matrix products per range. Only k rows per query and shard leave a
+task.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from pyspark.sql import functions as F
 
 #: Rows of a shard and of a block of queries: memory of a task, whatever the size of the table.
 SHARD, BLOCK = 4096, 1024
+#: A query stops reading at this many times k candidates.
+FEW = 4
 
 
 def _kind(q: np.ndarray, x: np.ndarray):
@@ -28,34 +32,53 @@ def _kind(q: np.ndarray, x: np.ndarray):
     return np.float32 if most < 1 << 24 else np.float64 if most < 1 << 53 else object
 
 
-def nra(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """``(query row, candidate row, score)``: for each query its k best candidates with another id, and all ties of the k-th."""
+def nra(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.ndarray, k: int) -> tuple[list[tuple[int, int, int]], np.ndarray]:
+    """``(query row, candidate row, score)``: for each query its k best candidates with another id, and all ties of the k-th.
+
+    Second: of each query, the share of the lists that it read.
+    """
     kind, n = _kind(q, x), len(x)
     lists = np.sort(x, axis=0)
     low, high = lists[:1], lists[-1:]
     both = np.concatenate([np.maximum(q, 0), np.minimum(q, 0)], axis=1).astype(kind)
-    rows, depth = np.arange(n), min(n, max(k + 1, n // 8))
+    rows, reading, read = np.arange(n), np.arange(len(q)), np.ones(len(q))
     worst = np.iinfo(np.int64).min if kind is object else -np.inf
+    out: list[tuple[int, int, int]] = []
 
     def scores(up: np.ndarray, down: np.ndarray) -> np.ndarray:
-        out = both @ np.concatenate([up, down], axis=1).astype(kind).T
-        out[q_ids[:, None] == x_ids[rows][None, :]] = worst
-        return out
+        got = both[reading] @ np.concatenate([up, down], axis=1).astype(kind).T
+        got[q_ids[reading][:, None] == x_ids[rows][None, :]] = worst
+        return got
+
+    def kth(values: np.ndarray) -> np.ndarray:
+        last = max(0, values.shape[1] - k)
+        return (np.sort(values, axis=1) if kind is object else np.partition(values, last, axis=1))[:, last]
 
-    while depth < n and len(rows) > 8 * k:
+    depth = min(n, max(k + 1, n // 16))
+    while len(reading):
         top, bottom, own = lists[n - depth][None, :], lists[depth - 1][None, :], x[rows]
         read_up, read_down = own >= top, own <= bottom  # a run of equal values is read as one
         lower = scores(np.where(read_up, own, low), np.where(read_down, own, high))
-        upper = scores(np.where(read_up, own, top), np.where(read_down, own, bottom))
-        kth = np.sort(lower, axis=1)[:, -k] if kind is object else np.partition(lower, len(rows) - k, axis=1)[:, len(rows) - k]
-        rows = rows[(upper >= kth[:, None]).any(axis=0)]
+        least = kth(lower)
+        if depth == n:
+            for i, values, bound in zip(reading.tolist(), lower, least):
+                at = np.flatnonzero((values >= bound) & (values != worst))
+                out.extend((i, int(rows[j]), int(values[j])) for j in at.tolist())
+            break
+        able = scores(np.where(read_up, own, top), np.where(read_down, own, bottom)) >= least[:, None]
+        done = able.sum(axis=1) <= FEW * k
+        for j in np.flatnonzero(done).tolist():
+            i, some = int(reading[j]), rows[able[j]]
+            some = some[x_ids[some] != q_ids[i]]
+            exact = x[some].astype(object if kind is object else np.int64) @ q[i].astype(object if kind is object else np.int64)
+            if len(some):
+                bound = sorted(exact.tolist(), reverse=True)[min(k, len(some)) - 1]
+                out.extend((i, int(r), int(v)) for r, v in zip(some.tolist(), exact.tolist()) if v >= bound)
+            read[i] = depth / n
+        able, reading = able[~done], reading[~done]
+        rows = rows[able.any(axis=0)]
         depth = min(n, depth * 2)
-    exact, out = scores(x[rows], x[rows]), []
-    last = max(0, len(rows) - k)
-    kth = (np.sort(exact, axis=1) if kind is object else np.partition(exact, last, axis=1))[:, last]
-    own = q_ids[:, None] == x_ids[rows][None, :]
-    at, to = np.nonzero((exact >= kth[:, None]) & ~own)
-    return [(i, int(rows[j]), int(exact[i, j])) for i, j in zip(at.tolist(), to.tolist(), strict=True)]
+    return out, read
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_col: str = "vec_id",
@@ -82,7 +105,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id
         if len(left) and len(right):
             right = right.sort_values("id", kind="stable").reset_index(drop=True)
             q, x = np.stack(left["v"].to_numpy()), np.stack(right["v"].to_numpy())
-            hits = nra(q, left["id"].to_numpy(), x, right["id"].to_numpy(), k)
+            hits, _ = nra(q, left["id"].to_numpy(), x, right["id"].to_numpy(), k)
             frame = pd.DataFrame(hits, columns=["q", "x", "score"])
             frame = frame.sort_values(["q", "score", "x"], ascending=[True, False, True], kind="stable").groupby("q").head(k)
             ids, vecs = left["id"].to_numpy(), left["mark"].to_numpy()

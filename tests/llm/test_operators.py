@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), ".."
 
 import corpus_pipeline  # noqa: E402
 from check import connect, difference  # noqa: E402
-from coursemill.llm import html, language, licenses, lines, matrices, mixing, packing, quality, simhash, tokens, topk
+from coursemill.llm import html, language, licenses, lines, matrices, mixing, near, packing, quality, simhash, tokens, topk
 from coursemill.llm.components import components
 from coursemill.llm.queries.packing import digest
 from coursemill.llm.registry import QUERIES, SQL
@@ -228,11 +228,22 @@ def test_top_k_equals_brute_force(spark):
     assert topk.top_k(spark.createDataFrame([], "vec_id bigint, embedding array<float>"), F.col("vec_id") % 50 == 0).collect() == []
 
 
+def test_skewed_lists_are_read_in_part():
+    r = np.random.default_rng(2)
+    x = np.floor(r.pareto(1.2, (3000, 1)) * r.random((3000, 16)) * 100).astype(np.int64)
+    found, read = topk.nra(x[:40], np.arange(40), x, np.arange(3000), 5)
+    exact = x[:40] @ x.T
+    exact[np.arange(40), np.arange(40)] = -1
+    least = np.sort(exact, axis=1)[:, -5]
+    assert sorted(found) == [(i, int(j), int(exact[i, j])) for i in range(40) for j in np.flatnonzero(exact[i] >= least[i])]
+    assert np.mean(read < 0.2) > 0.9
+
+
 @pytest.mark.parametrize("scale", [1, 10 ** 5, 10 ** 8])
 def test_nra_with_ties_and_large_numbers(scale):
     r = np.random.default_rng(scale)
     x = r.integers(-3, 4, (500, 6)) * scale
-    found = topk.nra(x[:20], np.arange(20), x, np.arange(500), 5)
+    found, _ = topk.nra(x[:20], np.arange(20), x, np.arange(500), 5)
     for i in range(20):
         own = sorted((-(int(s)), j) for a, j, s in found if a == i)[:5]
         assert own == sorted((-sum(int(a) * int(b) for a, b in zip(x[i], x[j])), j) for j in range(500) if j != i)[:5]
@@ -316,6 +327,49 @@ def test_quality_counts_and_verdicts(spark):
     assert sum(r["kept"] == bool(r["quality"]) for r in passed) / len(passed) > 0.99
 
 
+def voted(seed, rules=6, noisy=0.12):
+    """Patterns of rules that see junk together, but for the last, which votes bad on any document alike; and which are junk."""
+    r, rows = random.Random(seed), []
+    for _ in range(20000):
+        bad = r.random() < 0.15
+        rows.append((tuple([0 if r.random() < (0.75 if bad else 0.01) else 1 for _ in range(rules - 1)] + [0 if r.random() < noisy else 1]), bad))
+    return rows
+
+
+def test_good_votes_outweigh_a_rule_that_votes_at_random():
+    rows = voted(1)
+    patterns = sorted(Counter(v for v, _ in rows).items())
+    right = {}
+    for rounds in (0, 50):
+        good, rates = quality.fit_rules(patterns, rounds)
+        kept = {v: quality.posterior(v, good, rates) >= 0.5 for v, _ in patterns}
+        right[rounds] = sum(kept[v] != bad for v, bad in rows) / len(rows)
+    must_pass = sum((0 not in v) != bad for v, bad in rows) / len(rows)
+    assert must_pass < 0.87 and right[0] < 0.993 and right[50] > 0.996
+    assert kept[(1, 1, 1, 1, 1, 0)] and not kept[(0, 0, 0, 1, 1, 1)]
+    assert abs(good - 0.85) < 0.02 and abs(rates[-1][0] - 0.88) < 0.02 and abs(rates[-1][1] - 0.12) < 0.03 and abs(rates[0][1] - 0.75) < 0.05
+
+
+def test_verdict_on_documents_is_not_that_of_all_rules(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    judged = quality.judge_quality(docs.select("doc_id", "text"))
+    any_bad = F.greatest(*[F.coalesce(1 - v, F.lit(0)) for v in quality.votes().values()]) == 1
+    rows = judged.select("posterior", any_bad.alias("bad")).collect()
+    assert any(r["bad"] and r["posterior"] > 0.5 for r in rows) and any(r["bad"] and r["posterior"] < 0.5 for r in rows)
+
+
+NAMES = ("_id", "_text", "_from", "_to", "_at", "_row", "_key", "_range", "_source", "_p", "_found", "_w", "_l", "_hash", "_words", "_beside0", "_size")
+
+
+@pytest.mark.parametrize("name", ["language", "lines", "mix", "mixed", "licenses", "quality", "dropped"])
+def test_columns_of_any_name_come_through(spark, docs, name):
+    operator = {**OPERATORS, "dropped": near.drop_near_copies}[name]
+    rows = docs(*[(i, f"one two three {i}\nfour five\nsix seven eight nine {i}", "en", "a") for i in range(6)])
+    named = rows.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in NAMES})
+    got = operator(named).collect()
+    assert got and all(r[c] == f"{c}{r['doc_id']}" for r in got for c in NAMES)
+
+
 # pipeline
 def test_pipeline_stages(spark, docs):
     r = random.Random(9)
