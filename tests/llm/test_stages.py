@@ -7,6 +7,9 @@ import random
 from collections import Counter, defaultdict
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
+from coursemill.llm import language
 
 
 def plain_mix(rows, weights=(5, 2, 1), share=1.5, most=2.0, seed=7):
@@ -41,3 +44,28 @@ def test_mixing_takes_the_exact_words_of_each_document(spark, docs):
         assert own == [f"w{k}" for k in range(len(own))] and x["n_chars"] == len(x["text"])
         got[x["doc_id"]] += len(own)
     assert dict(got) == plain_mix(rows)
+
+
+FINNISH = ("Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, "
+           "ja heidän on toimittava toisiaan kohtaan veljeyden hengessä. ")
+POLISH = ("Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i "
+          "powinni postępować wobec innych w duchu braterstwa. ")
+
+
+def test_language_bound_rises_smoothly_with_the_length(spark):
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    cut = [given.where(F.length("text") >= n).select((F.col("doc_id") + n * 10 ** 6).alias("doc_id"), F.substring("text", 1, n).alias("text"),
+                                                     F.lit(None).cast("string").alias("lang"), "source", "n_chars") for n in (20, 80, 199, 200, 600)]
+    foreign = spark.createDataFrame([(-n - k * 10 ** 4, (t * 9)[:n], None, "s", n) for k, t in enumerate((FINNISH, POLISH)) for n in (20, 120, 199, 600, 1200)],
+                                    given.schema)
+    docs = given.unionByName(foreign)
+    for part in cut:
+        docs = docs.unionByName(part)
+    kept = {r["doc_id"] for r in corpus_pipeline.language_id(spark, docs, "").select("doc_id").collect()}
+    for part in cut:
+        ids = [r["doc_id"] for r in part.select("doc_id").collect()]
+        assert sum(i in kept for i in ids) > 0.98 * len(ids)
+    assert not {-600, -1200, -10199, -10600, -11200, -10120} & kept
+    steps = spark.range(0, 3000).select(F.rpad(F.lit("x"), F.col("id").cast("int"), F.lit("x")).alias("t"), (F.col("id") * 0 + 0.15).alias("s"))
+    flips = [r[0] for r in steps.select(language.unlike_any(F.col("t"), F.col("s")).cast("int")).collect()]
+    assert flips == sorted(flips) and language.MOST * 199 / (199 + language.HALF) - language.MOST * 200 / (200 + language.HALF) > -0.001
