@@ -1,8 +1,10 @@
-"""Licence scan: a positional index of licence templates, looked up by the rarest licence words of each file.
+"""Licence scan: a positional index of rare licence words, looked up by the rarest licence words of each file.
 
-How rare a word is comes from all files (inverse document frequency). A template is tried where the two rarest words of
-one of its key phrases stand at the right distance; the phrase must then match in full, and the score is the share of
-the template, weighed by rarity, that stands around it.
+How rare a word is comes from all files (inverse document frequency). Each key phrase is posted in the index under its
+rarest word, with the place of that word and of the next rarest one. A file looks up those of its words that are in the
+index, rarest first: a posting is met where the two words stand at the right distance, and the phrase must then match in
+full. So a file meets the templates whose rarest word it holds, however many there are. A template's score is the share of
+its wording, weighed by rarity, that stands around the phrase.
 """
 
 from __future__ import annotations
@@ -71,43 +73,62 @@ def rarity(docs: DataFrame, text_col: str = "text") -> dict[bytes, float]:
     return {w: math.log((total + 1) / (got.get(w.decode(), 0) + 1)) + 1 for w in VOCABULARY}
 
 
-def _phrase_starts(phrase: list[bytes], at: dict[bytes, list[int]], words: list[bytes], idf: dict[bytes, float]) -> list[int]:
-    """Places of a phrase: meet the postings of its two rarest words by relative position, then check all of it."""
-    if any(w not in at for w in phrase):
-        return []
-    rarest = sorted(range(len(phrase)), key=lambda i: (-idf[phrase[i]], i))[:2]
-    starts = set.intersection(*({p - i for p in at[phrase[i]]} for i in rarest))
-    return sorted(s for s in starts if s >= 0 and words[s:s + len(phrase)] == phrase)
-
-
-def scan_text(text: str | None, idf: dict[bytes, float], enough: float = 0.5) -> tuple:
-    """``ADDED`` for one text."""
-    words = words_of(text)
-    at: dict[bytes, list[int]] = {}
-    for i, w in enumerate(words):
-        if w in VOCABULARY:
-            at.setdefault(w, []).append(i)
-    base = {p: _phrase_starts(p.encode().split(), at, words, idf) for p in BASE} if at else {}
-    places = [s for starts in base.values() for s in starts]
-    own = {BASE[p] for p, starts in base.items() if starts}
-    labels, score = set(own), 1.0 if own else 0.0
-    for label, wording, key in TEMPLATES if at else ():
-        template, phrase = wording.encode().split(), key.encode().split()
-        shift = next(i for i in range(len(template)) if template[i:i + len(phrase)] == phrase)
-        weight = sum(idf[w] for w in template)
-        for start in _phrase_starts(phrase, at, words, idf):
-            there = sum(idf[w] for i, w in enumerate(template, start - shift) if 0 <= i < len(words) and words[i] == w) / weight
-            if there >= enough:
-                labels.add(label)
-                score = max(score, min(1.0, there))
-    return (len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(own)),
-            ",".join(sorted(labels)), score)
+class TemplateIndex:
+    """Key phrases by their rarest word, and the templates of each."""
+
+    def __init__(self, idf: dict[bytes, float]) -> None:
+        self.idf = idf
+        keys = {key: [w.encode() for w in key.split()] for key in [*BASE, *(key for _, _, key in TEMPLATES)]}
+        self.templates: dict[str, list[tuple[str, list[bytes], int]]] = {}  # label, wording, place of the phrase in it
+        for label, wording, key in TEMPLATES:
+            template, phrase = [w.encode() for w in wording.split()], keys[key]
+            shift = next(i for i in range(len(template)) if template[i:i + len(phrase)] == phrase)
+            self.templates.setdefault(key, []).append((label, template, shift))
+        self.postings: dict[bytes, list[tuple[str, list[bytes], int, int]]] = {}
+        for key, phrase in keys.items():
+            first, second = (sorted(range(len(phrase)), key=lambda i: (-idf[phrase[i]], i)) * 2)[:2]
+            self.postings.setdefault(phrase[first], []).append((key, phrase, first, second))
+
+    def phrases(self, words: list[bytes]) -> dict[str, list[int]]:
+        """Where each key phrase stands among the words of a file."""
+        at: dict[bytes, list[int]] = {}
+        for i, w in enumerate(words):
+            if w in VOCABULARY:
+                at.setdefault(w, []).append(i)
+        found = {}
+        for word in sorted(self.postings.keys() & at.keys(), key=lambda w: (-self.idf[w], w)):
+            for key, phrase, first, second in self.postings[word]:
+                starts = {p - first for p in at[word]}.intersection([p - second for p in at.get(phrase[second], ())])
+                starts = sorted(s for s in starts if s >= 0 and words[s:s + len(phrase)] == phrase)
+                if starts:
+                    found[key] = starts
+        return found
+
+    def scan(self, text: str | None, enough: float = 0.5) -> tuple:
+        """``ADDED`` for one text."""
+        words = words_of(text)
+        found = self.phrases(words)
+        places = [s for p in BASE for s in found.get(p, ())]
+        own = {label for p, label in BASE.items() if p in found}
+        labels, score = set(own), 1.0 if own else 0.0
+        for key, starts in found.items():
+            for label, template, shift in self.templates.get(key, ()):
+                weight = sum(self.idf[w] for w in template)
+                for start in starts:
+                    there = sum(self.idf[w] for i, w in enumerate(template, start - shift) if 0 <= i < len(words) and words[i] == w) / weight
+                    if there >= enough:
+                        labels.add(label)
+                        score = max(score, min(1.0, there))
+        return (len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(own)),
+                ",".join(sorted(labels)), score)
 
 
 def scan_column(text: Column, idf: dict[bytes, float], enough: float = 0.5) -> Column:
+    index = TemplateIndex(idf)
+
     @F.pandas_udf("struct<n_words:bigint,n_base:bigint,first_word:bigint,last_word:bigint,base_labels:string,labels:string,score:double>")
     def scan(texts: pd.Series) -> pd.DataFrame:
-        out = pd.DataFrame([scan_text(t, idf, enough) for t in texts], columns=list(ADDED))
+        out = pd.DataFrame([index.scan(t, enough) for t in texts], columns=list(ADDED))
         return out.astype({"first_word": "Int64", "last_word": "Int64"})
 
     return scan(text)

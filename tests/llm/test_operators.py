@@ -312,6 +312,35 @@ def test_license_places_and_labels(docs):
         (7, 2, 3, 5, "mit", "mit"), (7, 0, None, None, "", "cc-by-nc"), (4, 0, None, None, "", ""), (0, 0, None, None, "", "")]
 
 
+def test_license_places_equal_brute_force(spark):
+    r = random.Random(11)
+    pool = "mit license apache general public lesser the software cc by sa 4 0 bsd Licence MIT-License é".split()
+    texts_ = ["".join(r.choice(pool) + r.choice([" ", "\n", ", ", "-", "__", "é", " "]) for _ in range(r.randint(0, 60))) for _ in range(300)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts_)), "doc_id bigint, text string")
+    word = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+    for x in licenses.scan_licenses(docs).collect():
+        words = word.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in x["text"] or ""))
+        starts = {p: [i for i in range(len(words)) if words[i:i + len(p.split())] == p.split()] for p in licenses.BASE}
+        places = sorted(i for own in starts.values() for i in own)
+        base = ",".join(sorted({licenses.BASE[p] for p, own in starts.items() if own}))
+        assert (x["n_words"], x["n_base"], x["base_labels"]) == (len(words), len(places), base)
+        assert (x["first_word"], x["last_word"]) == ((places[0], places[-1]) if places else (None, None))
+        assert {*base.split(",")} <= {*x["labels"].split(","), ""} and 0 <= x["score"] <= 1
+        # Every label of a template: its key phrase stands there in full.
+        keys = {label: [key for name, _, key in licenses.TEMPLATES if name == label] for label, _, _ in licenses.TEMPLATES}
+        joined = " ".join(words)
+        assert all(any(k in joined for k in keys[label]) or label in base for label in x["labels"].split(",") if label)
+
+
+def test_a_file_meets_only_templates_of_its_rare_words():
+    idf = {w: float(len(w)) for w in licenses.VOCABULARY}
+    index = licenses.TemplateIndex(idf)
+    assert sum(map(len, index.postings.values())) == len({*licenses.BASE, *(k for _, _, k in licenses.TEMPLATES)})
+    met = {key for w in (b"cc", b"by", b"4") for key, *_ in index.postings.get(w, ())}
+    assert met and all(key.startswith("cc") for key in met)
+    assert index.phrases(licenses.words_of("x cc by 4 cc by sa by 4")) == {"cc by 4": [1], "cc by sa": [4]}
+
+
 # 10
 def test_quality_counts_and_verdicts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
