@@ -35,9 +35,12 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 UNSEEN = frozenset(("script", "style", "template"))
 CLOSES_P = BLOCKS - frozenset("button iframe label object script style svg video audio canvas noscript template select option".split())
 #: Words of class, id and role that say something; longer words count if they begin with one of four letters or more.
-HINTS = ("ad", "ads", "advert", "alert", "article", "banner", "body", "breadcrumb", "comment", "content", "cookie", "consent", "entry",
-         "footer", "header", "main", "menu", "modal", "nav", "newsletter", "notice", "pagination", "popup", "post", "promo",
-         "recommend", "related", "share", "sidebar", "social", "sponsor", "story", "subscribe", "text", "widget")
+HINTS = ("ad", "ads", "advert", "alert", "article", "banner", "body", "breadcrumb", "comment", "content", "cookie", "consent", "discuss",
+         "disqus", "entry", "feedback", "footer", "gdpr", "header", "main", "menu", "modal", "nav", "newsletter", "notice", "notification",
+         "pagination", "popup", "post", "promo", "recommend", "related", "remark", "repl", "respon", "share", "sidebar", "signup", "social",
+         "sponsor", "story", "subscribe", "talkback", "text", "toolbar", "warning", "widget")
+#: Hints of content; any other says that an element is about the page or other pages.
+OWN = frozenset(("article", "body", "content", "entry", "main", "post", "story", "text"))
 NEVER = re.compile(r"(?<![a-z])(?:nav|aside|footer|form)(?![a-z])")
 
 
@@ -143,11 +146,15 @@ def _features(tree: _Tree, texts: list[tuple[int, str, int]]) -> list[list[str]]
     out = []
     for i, tag in enumerate(tree.tags):
         share = below_linked[i] / below[i] if below[i] else 0
-        names = [f"tag {tag}", f"linked {0 if share < .05 else 1 if share < .5 else 2}"]
+        links = 0 if share < .05 else 1 if share < .5 else 2
+        names = [f"tag {tag}", f"linked {links}", f"tag {tag} linked {links}"]
         if tag not in BOXES or own[i]:
             names += [f"length {_bin(own[i])}", f"closed {closed[i]}"]
         if tree.names[i]:
-            names += [f"hint {h}" for h in _hints(tree.names[i])]
+            hints = _hints(tree.names[i])
+            names += [f"hint {h}" for h in hints]
+            if hints:
+                names.append(f"other {not OWN.issuperset(hints)}")
         out.append(names)
     return out
 
@@ -168,7 +175,7 @@ def count_page(html: str, marked: bool = False) -> Counter:
             return Counter()
         state = [0] * len(tree.tags)
         for i in range(1, len(state)):
-            bad = NEVER.search(tree.tags[i]) or set(_hints(tree.names[i])) - {"article", "body", "content", "entry", "main", "post", "story", "text"}
+            bad = NEVER.search(tree.tags[i]) or not OWN.issuperset(_hints(tree.names[i]))
             state[i] = int((tree.tags[i] == "article" or state[tree.parents[i]] == 1) and not bad)
     else:
         state = [int(y) for y in tree.labels]
@@ -199,13 +206,16 @@ def train(pages: DataFrame | None = None, html_col: str = "html", sample: int =
                     own.update(count_page(html, marked=True))
             yield pd.DataFrame({"key": list(own), "n": list(own.values())}).astype({"key": "object", "n": "int64"})
 
-        chosen = (pages.select(F.col(html_col).alias("html")).where("html is not null")
-                  .orderBy(F.xxhash64("html"), "html").limit(sample))
+        # Equal pages count once: hashes of all are made distinct, the smallest taken.
+        chosen = (pages.select(F.col(html_col).alias("html")).where("html is not null").groupBy(F.xxhash64("html").alias("hash"))
+                  .agg(F.min("html").alias("html")).orderBy("hash").limit(sample).select("html"))
         for row in chosen.mapInPandas(count, "key string, n bigint").groupBy("key").agg(F.sum("n").alias("n")).collect():
             counts[row["key"]] += row["n"]
     log = lambda name, y, least: math.log((counts[f"{name}|{y}"] + 1) / (counts[f"all|{y}"] + least))
     names = {k.rsplit("|", 1)[0] for k in counts if not k.startswith(("all|", "pair "))}
-    weight = {n: 0.5 * (log(n, 1, 20) - log(n, 0, 20)) for n in names}  # halved: features of a node repeat each other
+    # Features of a node repeat each other, its tag twice; what an element is called stands on its own.
+    part = lambda name: 1.0 if name.startswith(("hint ", "other ")) else 0.25 if name.startswith("tag ") else 0.5
+    weight = {n: part(n) * (log(n, 1, 20) - log(n, 0, 20)) for n in names}
     pair = {}
     for parent in ("page", "box", "text"):
         for child in ("page", "box", "text"):

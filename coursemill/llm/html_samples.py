@@ -25,4 +25,8 @@ LABELLED = (
     f'{_HEAD}<nav><ul>{_LINKS}</ul></nav><div class="ad"><p>{_MID}</p></div><article data-y="1">{_BODY}<aside class="promo" data-y="0"><p>{_LONG}</p></aside><figure><figcaption>{_MID}</figcaption></figure></article><div class="notice banner" role="alert" data-y="0"><p>{_LONG}</p></div><ol class="comment-list" data-y="0"><li class="comment"><p>{_REMARK}</p></li><li class="comment"><p>{_REMARK}</p></li></ol>{_FORM}{_FOOT}',
     f'{_HEAD}<div class="top header">The Paper</div><div data-y="1"><p>{_LONG}</p><p>{_LONG}</p><p>{_MID}</p></div><div class="footer" data-y="0"><p>{_MID}</p><p>Imprint</p></div></body></html>',
     f'{_HEAD}<div class="story text" data-y="1"><div>{_LONG}</div><div>{_LONG}</div><pre>a = 1</pre></div><div class="related recommended" data-y="0"><ul>{_LINKS}</ul><div><p>{_LONG}</p></div></div><div class="newsletter subscribe" data-y="0"><p>{_LONG}</p></div><div class="popup modal" data-y="0"><p>{_LONG}</p></div>{_FOOT}',
+    f'{_HEAD}<nav><ul>{_LINKS}</ul></nav><article data-y="1">{_BODY}<section class="comments" data-y="0"><h3>Comments</h3>{_SAID}</section></article>{_FOOT}',
+    f'{_HEAD}<article data-y="1"><h1>Bridge</h1><div class="notice" data-y="0"><p>{_MID}</p></div><p>{_LONG}</p><ul><li>stone</li><li>steel</li></ul><p>{_MID}</p><div class="newsletter" data-y="0"><p>{_LONG}</p></div></article><div id="disqus_thread" data-y="0"><p>{_REMARK}</p><p>{_REMARK}</p></div>{_FOOT}',
+    f'{_HEAD}<main data-y="1"><article>{_BODY}<div class="warning alert" role="alert" data-y="0">{_MID}</div><ol><li>one</li><li>two</li><li>three</li></ol><div id="respond" class="replies" data-y="0"><div><p>{_REMARK}</p></div><div><p>{_REMARK}</p></div></div></article></main>{_FOOT}',
+    f'{_HEAD}<article data-y="1"><p>{_LONG}</p><p>{_LONG}</p><ul><li>Work</li><li>Rest</li></ul><dl><dt>Length</dt><dd>90 metres</dd></dl></article><div id="discussion" class="comment-area" data-y="0"><ul><li>{_REMARK}</li><li>{_REMARK}</li></ul></div>{_FOOT}',
 )

@@ -87,6 +87,37 @@ def test_marginals_equal_enumeration():
     assert np.allclose(html.marginals(tree, runs, model), np.array(one) / total)
 
 
+L = "The harbour was rebuilt after the storm of that winter, and the boats came back one after the other in spring."
+S, C = "It took a while.", "Nonsense, my boat is still waiting for its place and nobody answers letters."
+#: Layouts that are not among those learned from, with their blocks of text.
+UNSEEN_LAYOUTS = {
+    "comments in the article": (f"<nav><a href=1>Home</a></nav><article><h1>Harbour</h1><p>{L}</p><p>{S}</p><section class='comments'><h2>Comments</h2><p>{C}</p><p>{C}</p></section></article>", ["Harbour", L, S]),
+    "notice in the article": (f"<article><p>{L}</p><div class='notice'>{S}</div><p>{L}</p></article>", [L, L]),
+    "long notice in the article": (f"<article><h1>T</h1><p>{L}</p><div class='site-notice'><p>{L}</p></div><p>{L}</p></article>", ["T", L, L]),
+    "comment widget": (f"<article><p>{L}</p><p>{S}</p></article><div id=disqus_thread><p>{C}</p></div>", [L, S]),
+    "short list at the end": (f"<article><p>{L}</p><p>{L}</p><ul><li>one</li><li>two</li></ul></article>", [L, L, "one", "two"]),
+    "short list first": (f"<div class=menu><ul><li><a href=1>a</a></li></ul></div><article><h1>T</h1><ul><li>rope</li><li>sail</li></ul><p>{L}</p></article>", ["T", "rope", "sail", L]),
+    "reader comments": (f"<main><h1>T</h1><p>{L}</p><p>{L}</p><div class='reader-comments'><div><b>Ann</b><p>{C}</p></div></div></main>", ["T", L, L]),
+    "list of comments": (f"<div class='post-content'><p>{L}</p><p>{S}</p></div><ol class='commentlist'><li>{C}</li><li>{C}</li></ol>", [L, S]),
+    "advert in the article": (f"<article><p>{L}</p><div class='advert'><p>{L}</p></div><p>{S}</p></article>", [L, S]),
+    "table": (f"<article><p>{L}</p><table><tr><td>Length</td><td>12 m</td></tr></table></article>", [L, "Length", "12 m"]),
+    "quotation": (f"<article><p>{L}</p><blockquote>{S}</blockquote><p>{S}</p></article>", [L, S, S]),
+}
+
+
+@pytest.mark.parametrize("learned", ["layouts", "pages"])
+def test_blocks_of_layouts_not_learned_from(spark, learned):
+    model = html.train(spark.read.parquet(f"{SF}/pages.parquet") if learned == "pages" else None)
+    for name, (page, blocks) in UNSEEN_LAYOUTS.items():
+        assert html.main_text(f"<html><body>{page}</body></html>", model).split("\n") == blocks, name
+
+
+def test_copies_of_a_page_count_once(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    many = pages.unionByName(pages.limit(1).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("n"))
+    assert html.train(many, sample=50) == html.train(pages, sample=50)
+
+
 # 2, 3
 def test_parts_give_the_ids_of_the_whole_text():
     code = tokens.encoder(tokens.default_tokenizer())
