@@ -5,7 +5,7 @@ vocabulary reports which tokens are suffixes of the prefix; of these, one stands
 prefix it leaves in such a way that no merge would have joined the two across their border. Following the stored tokens
 back from the end of the word gives its ids, the same that applying all merges in order gives.
 
-Words are what the tokenizer file's normalizer and splitting pattern make of a text; they repeat, so a task remembers the
+Words are what the tokenizer file's normalizer and splitting pattern make of a text; they repeat, so a worker remembers the
 ids of a bounded number of blank-separated parts. Nothing is shuffled, and no text depends on another.
 """
 
@@ -14,7 +14,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Blank-separated parts that a task remembers, and the longest of them; longer ones are encoded each time.
+#: Blank-separated parts that a worker remembers, and the longest of them; longer ones are encoded each time.
 KNOWN, LONGEST = 250_000, 64
 #: Border tests that a worker remembers.
 TESTED = 400_000
@@ -98,34 +98,34 @@ class Vocabulary:
             else:
                 return True
 
-    def encode(self, word: bytes) -> bytes:
-        """Ids of one word, given as its UTF-8 bytes; ids are 32-bit numbers in the machine's order throughout."""
-        symbols = word.decode("latin-1")
+    def encode(self, word: str) -> bytes:
+        """Ids of one word, of which bytes beyond UTF-8 are surrogates; ids are 32-bit numbers in the machine's order throughout."""
+        symbols = word if word.isascii() else word.encode("utf-8", "surrogateescape").decode("latin-1")
         if self.has_ends:
-            symbols = symbols[:-1] + chr(END + word[-1])
-        last = [-1] * len(symbols)  # the last token of each prefix, and its length
-        size = [0] * len(symbols)
+            symbols = symbols[:-1] + chr(END + ord(symbols[-1]))
+        n = len(symbols)
+        last, size = [-1] * n, [0] * n  # the last token of each prefix, and its length
         tested = self.tested
-        for at, (token, length) in self.finder.iter(symbols):
+        for at, (token, length) in self.finder.iter(symbols):  # tokens that end at a place, longest first
             if size[at]:
                 continue
             if at >= length:
-                before = last[at - length]
-                pair = before << 20 | token
+                pair = last[at - length] << 20 | token
                 apart = tested.get(pair)
                 if apart is None:
                     if len(tested) >= TESTED:
                         tested.clear()
-                    apart = tested[pair] = self._apart(before, token, len(self.merged))
+                    apart = tested[pair] = self._apart(last[at - length], token, len(self.merged))
                 if not apart:
                     continue
-            last[at], size[at] = token, length
-        out, at = array("i"), len(symbols) - 1
+            last[at] = token
+            size[at] = length
+        out, at = [], n - 1
         while at >= 0:
             out.append(last[at])
             at -= size[at]
         out.reverse()
-        return out.tobytes()
+        return array("i", out).tobytes()
 
 
 class Codec:
@@ -189,7 +189,7 @@ class Codec:
             words = self.words.findall(part) if PLAIN.fullmatch(part) else [part]
             if words != [part]:
                 return b"".join(known.all(words))
-        return self.vocabulary.encode(part.encode("utf-8", "surrogateescape"))
+        return self.vocabulary.encode(part)
 
     def encode(self, text: str | None, known: Words) -> bytes:
         """Ids of a whole text; null and empty texts have none."""
@@ -198,7 +198,7 @@ class Codec:
         pieces = self.marks.split(text) if any(map(text.__contains__, self.added)) else [text]
         return b"".join(self.added_ids[p] if p in self.added_ids else b"".join(known.all(self.split(p))) for p in pieces if p)
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: Iterable[int]) -> str:
         """The text of ids. Without a decoder in the file, tokens stand as they are, with a blank between."""
         if not self.joined:
             return " ".join(map(self.names.__getitem__, ids))
@@ -215,10 +215,13 @@ class Words:
         self.old: dict[str, bytes] = {}
 
     def all(self, parts: list[str]) -> list[bytes]:
-        try:
-            return [*map(self.young.__getitem__, parts)]
-        except KeyError:
-            return [*map(self.one, parts)]
+        found = [*map(self.young.get, parts)]
+        if None in found:
+            at = -1
+            for _ in range(found.count(None)):
+                at = found.index(None, at + 1)
+                found[at] = self.one(parts[at])
+        return found
 
     def one(self, part: str) -> bytes:
         ids = self.young.get(part)
@@ -233,21 +236,25 @@ class Words:
         return ids
 
 
-_codecs: dict[str, Codec] = {}
+_codecs: dict[str, tuple[Codec, Words]] = {}
 
 
-def codec(path: str) -> Codec:
+def codec(path: str) -> tuple[Codec, Words]:
+    """A worker's codec of a file, and the words that it remembers from one task to the next."""
     if path not in _codecs:
         _codecs.clear()
-        _codecs[path] = Codec(path)
+        own = Codec(path)
+        _codecs[path] = own, Words(own)
     return _codecs[path]
 
 
-def _mapped(df: DataFrame, source: str, name: str, kind: str, make: Callable[[], Callable[[pa.Array], pa.Array]]) -> DataFrame:
-    """Add column ``name``, made of column ``source`` in small batches, whatever else the rows hold."""
-    if name in df.columns:
-        raise ValueError(f"the input has a column {name} already")
-    fields = ", ".join([f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields] + [f"`{name}` {kind}"])
+def _mapped(df: DataFrame, source: str, added: dict[str, str], make: Callable[[], Callable[[pa.Array], list[pa.Array]]]) -> DataFrame:
+    """Add the columns ``added`` (with their types), made of column ``source`` in small batches, whatever else the rows hold."""
+    for name in added:
+        if name in df.columns:
+            raise ValueError(f"the input has a column {name} already")
+    fields = ", ".join([f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields]
+                       + [f"`{name}` {kind}" for name, kind in added.items()])
     place = df.columns.index(source)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,31 +262,37 @@ def _mapped(df: DataFrame, source: str, name: str, kind: str, make: Callable[[],
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                yield pa.RecordBatch.from_arrays([*part.columns, step(part.column(place))], [*part.schema.names, name])
+                yield pa.RecordBatch.from_arrays([*part.columns, *step(part.column(place))], [*part.schema.names, *added])
 
     return df.mapInArrow(each, fields)
 
 
-def encode_texts(df: DataFrame, text_col: str = "text", ids_col: str = "ids", tokenizer: str | None = None) -> DataFrame:
+def _ids(coded: list[bytes]) -> pa.Array:
+    ends = np.cumsum([0, *(len(c) // 4 for c in coded)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(coded), np.int32)))
+
+
+def encode_texts(df: DataFrame, text_col: str = "text", ids_col: str = "ids", tokenizer: str | None = None,
+                 decoded_col: str | None = None) -> DataFrame:
     """Every row with the ids of its whole text, ``array<int>``; null and empty texts have none, other columns pass through.
 
     Strings of added tokens in a text are these tokens, as in the library. A text is encoded whole and alone, so repeated
-    rows, order and partitions make no difference. An empty table stays empty.
+    rows, order and partitions make no difference. An empty table stays empty. With ``decoded_col`` the ids are decoded
+    again in the same pass, as ``decode_ids`` does.
     """
     path = tokenizer or default_tokenizer()
 
     def make():
-        own = codec(path)
-        words = Words(own)
+        own, words = codec(path)
 
-        def step(texts: pa.Array) -> pa.Array:
+        def step(texts: pa.Array) -> list[pa.Array]:
             coded = [own.encode(t, words) for t in texts.to_pylist()]
-            ends = np.cumsum([0, *(len(c) // 4 for c in coded)]).astype(np.int32)
-            return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(coded), np.int32)))
+            back = [pa.array([own.decode(array("i", c)) for c in coded], pa.string())] if decoded_col else []
+            return [_ids(coded), *back]
 
         return step
 
-    return _mapped(df, text_col, ids_col, "array<int>", make)
+    return _mapped(df, text_col, {ids_col: "array<int>", **({decoded_col: "string"} if decoded_col else {})}, make)
 
 
 def decode_ids(df: DataFrame, ids_col: str = "ids", text_col: str = "decoded", tokenizer: str | None = None) -> DataFrame:
@@ -287,13 +300,13 @@ def decode_ids(df: DataFrame, ids_col: str = "ids", text_col: str = "decoded", t
     path = tokenizer or default_tokenizer()
 
     def make():
-        own = codec(path)
-        return lambda ids: pa.array([own.decode(i or []) for i in ids.to_pylist()], pa.string())
+        own, _ = codec(path)
+        return lambda ids: [pa.array([own.decode(i or []) for i in ids.to_pylist()], pa.string())]
 
-    return _mapped(df, ids_col, text_col, "string", make)
+    return _mapped(df, ids_col, {text_col: "string"}, make)
 
 
 def coded_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None) -> DataFrame:
     """``doc_id, ids, decoded`` of each row: its text encoded, and the ids decoded again."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return decode_ids(encode_texts(rows, tokenizer=tokenizer).drop("text"), tokenizer=tokenizer)
+    return encode_texts(rows, tokenizer=tokenizer, decoded_col="decoded").drop("text")

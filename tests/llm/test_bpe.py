@@ -38,7 +38,7 @@ def test_ids_and_decoded_texts_are_those_of_the_library(name):
 
 
 def test_few_remembered_words_change_nothing(monkeypatch):
-    own = bpe.codec(bpe.default_tokenizer())
+    own, _ = bpe.codec(bpe.default_tokenizer())
     rows = texts(200, 9)
     many = [own.encode(t, bpe.Words(own)) for t in rows]
     monkeypatch.setattr(bpe, "KNOWN", 3)
@@ -49,6 +49,8 @@ def test_few_remembered_words_change_nothing(monkeypatch):
 
 def test_rows_keep_their_other_columns(spark, hard):
     out = bpe.decode_ids(bpe.encode_texts(hard))
+    both = bpe.encode_texts(hard, decoded_col="decoded")
+    assert sorted(map(str, out.collect())) == sorted(map(str, both.collect()))
     assert out.columns == [*hard.columns, "ids", "decoded"]
     library = Tokenizer.from_file(bpe.default_tokenizer())
     rows = out.collect()
