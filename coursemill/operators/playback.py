@@ -78,18 +78,20 @@ def play_coverage(learn: DataFrame) -> DataFrame:
     """Every play event with the seconds it is the first to cover.
 
     In logs without an event id equal rows are one row with their number
-    (``plays``): of them, the first covers the fresh seconds.
+    (``plays``): of them, the first covers the fresh seconds. Both sides grow
+    with the plays, and the optimizer takes parsed lines for much smaller than
+    they are, so neither is ever broadcast.
     """
     if "event_id" in learn.columns:
         fresh = fresh_ranges(learn).select("first.event_id", *VIDEO, "ps", "pe", "fresh").alias("f")
         e = learn.select("event_id", *VIDEO, "ps", "pe").alias("e")
         on = [F.col(f"e.{c}") == F.col(f"f.{c}") for c in ["event_id", *VIDEO, "ps", "pe"]]
-        return e.join(fresh, on, "left").select("e.*", F.coalesce("f.fresh", F.lit(0)).alias("fresh"))
+        return e.join(fresh.hint("merge"), on, "left").select("e.*", F.coalesce("f.fresh", F.lit(0)).alias("fresh"))
     order = ["ts", "te", "content"]
     plays = learn.select("*", play_order(learn)[-1]).groupBy(*learn.columns, "content").agg(F.count(F.lit(1)).alias("plays")).alias("e")
     fresh = fresh_ranges(learn).select(*VIDEO, "ps", "pe", *[f"first.{c}" for c in order], "fresh").alias("f")
     on = [F.col(f"e.{c}").eqNullSafe(F.col(f"f.{c}")) for c in [*VIDEO, "ps", "pe", *order]]
-    return plays.join(fresh, on, "left").select(
+    return plays.join(fresh.hint("merge"), on, "left").select(
         *[F.col(f"e.{c}") for c in learn.columns], "e.plays", F.coalesce("f.fresh", F.lit(0)).alias("fresh"))
 
 

@@ -3,7 +3,8 @@ from __future__ import annotations
 import random
 
 import pytest
-from helpers import rows_of
+from helpers import plan_of, rows_of
+from pyspark.sql import functions as F
 
 from coursemill.operators import mastery as K
 from coursemill.operators import playback as P
@@ -82,6 +83,16 @@ def test_equal_times_are_put_in_order_by_content(frame):
     assert len(first) == 1 and first == again
 
 
+@pytest.mark.parametrize("log", [False, True])
+def test_coverage_broadcasts_no_side_however_small_it_looks(spark, log):
+    e = F.col("id")
+    plays = spark.range(200).select(e.alias("event_id"), (e % 3).alias("userid"), (e % 2).alias("cwareid"), (e % 5).alias("videoid"),
+                                    (e % 7).alias("ps"), (e % 7 + 4).alias("pe"), e.alias("ts"), (e + 9000).alias("te"))
+    got = P.play_coverage(plays.drop("event_id") if log else plays)
+    assert "BroadcastHashJoin" not in plan_of(got) and "SortMergeJoin" in plan_of(got)
+    assert got.count() == 200
+
+
 # --- mastery ----------------------------------------------------------------------------
 
 ANSWER = "userid int, courseid int, pointid int, questionid string, istrue string, createtime string"
