@@ -61,13 +61,14 @@ def salted_join(small: DataFrame, big: DataFrame, keys: list[str], how: str = "r
 
     Rows of ``big`` take a salt, rows of ``small`` are copied once per salt. Equal rows of ``big`` are one row with a
     number while they are shuffled and joined; the number is dealt over the salts as well.
+    The copies are never broadcast: the optimizer takes them for as small as ``small`` itself.
     ``how`` is ``right`` (keep all of ``big``) or ``inner``: with any other kind
     the copies that find no partner would surface as extra rows.
     """
     if how not in ("right", "inner"):
         raise ValueError("a salted join keeps the salted side: use right or inner")
     copies = small.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    return unfold(copies.join(spread_folded(fold_equal(big), n), [*keys, SALT], how).drop(SALT))
+    return unfold(copies.hint("merge").join(spread_folded(fold_equal(big), n), [*keys, SALT], how).drop(SALT))
 
 
 def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS) -> DataFrame:

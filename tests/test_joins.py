@@ -97,6 +97,15 @@ def test_equal_rows_are_dealt_over_the_salts(spark, frame):
     assert rows_of(got) == rows_of(small.join(big, ["k"], "left"))
 
 
+def test_copies_of_the_small_side_are_never_broadcast(spark):
+    small = spark.range(30).select(F.col("id").alias("k"), (F.col("id") * 2).alias("name"))
+    big = spark.range(400).select((F.col("id") % 40).alias("k"), F.col("id").alias("v"))
+    for how in ("right", "inner"):
+        got = J.salted_join(small, big, ["k"], how, 100)
+        assert "BroadcastHashJoin" not in plan_of(got) and "SortMergeJoin" in plan_of(got)
+        assert rows_of(got) == rows_of(small.join(big, ["k"], how))
+
+
 def test_unfolding_goes_in_bounded_steps(frame):
     got = J.unfold(frame("a int, _times bigint", (1, 2 * J.AT_ONCE + 1), (2, 1), (3, None), (4, J.AT_ONCE)))
     assert rows_of(got.groupBy("a").count()) == [(1, 2 * J.AT_ONCE + 1), (2, 1), (3, 1), (4, J.AT_ONCE)]
