@@ -145,6 +145,7 @@ def filter_after_project(df: DataFrame, columns: list[str], cond: Column) -> Dat
 
 
 BAND = [*PAPER, "score_segment"]
+SLOTS = 1 << 16  # counts of bands that a task holds at once
 
 
 def score_segment_users(detail: DataFrame, dt: str | None = None, ids_per_row: int = 100_000) -> DataFrame:
@@ -156,18 +157,31 @@ def score_segment_users(detail: DataFrame, dt: str | None = None, ids_per_row: i
     particular order.
     """
     rows = (partition_filter(detail, dt).where(F.col("userid").isNotNull())
-            .groupBy(*PAPER, score_band(F.col("score")).alias("score_segment"), "userid").agg(F.count(F.lit(1)).alias("n")))
-    # At most one band in ``ids_per_row`` rows is long.
-    long = rows.groupBy(*BAND).agg(F.sum("n").alias("_n")).where(F.col("_n") > ids_per_row).select(*BAND, F.lit(True).alias("_long"))
-    marked = _same_band(rows, F.broadcast(long), "left").select(*[F.col(f"a.{c}") for c in rows.columns], "_long")
-    short = marked.where(F.col("_long").isNull()).select(
-        *BAND, "userid", F.lit(0).cast("bigint").alias("part"), F.col("n").cast("int").alias("copies"))
-    cut = short.unionByName(_numbered(marked.where("_long").drop("_long"), ids_per_row))
+            .select(*PAPER, score_band(F.col("score")).alias("score_segment"), "userid"))
+    long = _long_bands(rows, ids_per_row)
+    marked = _same_band(rows, F.broadcast(long.withColumn("_long", F.lit(True))), "left").select(*[F.col(f"a.{c}") for c in rows.columns], "_long")
+    # Rows of short bands are shuffled once, as they are: nearly all users differ, so folding them first would save nothing.
+    short = (marked.where(F.col("_long").isNull()).repartition(*BAND).groupBy(*BAND)
+             .agg(F.array_sort(F.collect_list("userid")).alias("ids"))
+             .select(*BAND, F.lit(0).cast("bigint").alias("part"), F.concat_ws(",", F.col("ids").cast("array<string>")).alias("userids")))
+    many = marked.where("_long").groupBy(*BAND, "userid").agg(F.count(F.lit(1)).alias("n"))
     ids = F.array_sort(F.collect_list(F.struct("userid", "copies")))
     text = F.concat_ws(",", F.flatten(F.transform(
         ids, lambda u: F.array_repeat(u["userid"].cast("string"), u["copies"]))))
-    return (cut.groupBy(*BAND, "part").agg(text.alias("userids"))
-            .select("paperviewid", "paperviewname", "score_segment", "part", "userids", "dt", "dn"))
+    cut = _numbered(many, ids_per_row).groupBy(*BAND, "part").agg(text.alias("userids"))
+    return short.unionByName(cut).select("paperviewid", "paperviewname", "score_segment", "part", "userids", "dt", "dn")
+
+
+def _long_bands(rows: DataFrame, ids_per_row: int, slots: int = SLOTS) -> DataFrame:
+    """Bands of more than ``ids_per_row`` rows.
+
+    Bands are first counted by a slot of their hash, inside each task: only bands of slots that full are counted one by
+    one. At most one band, and one slot, in ``ids_per_row`` rows is that full.
+    """
+    own = rows.select(*BAND, F.pmod(F.xxhash64(*BAND), F.lit(slots)).alias("slot"))
+    full = own.groupBy("slot").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > ids_per_row).select("slot")
+    return (own.join(F.broadcast(full), "slot", "left_semi").groupBy(*BAND).agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > ids_per_row).select(*BAND))
 
 
 def _same_band(a: DataFrame, b: DataFrame, how: str, more: tuple[str, ...] = ()) -> DataFrame:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from decimal import Decimal
 
 import pytest
@@ -74,6 +75,19 @@ def test_score_segments_cut_long_bands(detail, size):
     assert sorted(i for _, text in parts[2, None] for i in text.split(",")) == ["8", "9"]
 
 
+def test_rows_of_short_bands_are_shuffled_once_and_not_by_user(detail):
+    got = M.score_segment_users(detail(*[(u, u % 4, "15", 1, 1, "d") for u in range(40)]), "d")
+    assert len(got.collect()) == 4
+    keys = re.findall(r"Exchange hashpartitioning\((.*?)\)", plan_of(got).split("== Initial Plan ==")[0])
+    assert keys and not any("userid" in k for k in keys)
+
+
+def test_bands_that_share_a_slot_are_told_apart(detail):
+    rows = detail(*[(u, int(u % 10 == 0), "15", 1, 1, "d") for u in range(40)]).withColumn("score_segment", F.lit("0-20"))
+    for slots in (1, 1 << 16):
+        assert rows_of(M._long_bands(rows, 20, slots), "paperviewid") == [(0,)]
+
+
 def test_pass_rate_needs_both_sides(detail):
     df = detail((1, 1, "0", 1, 1, "d"), (2, 1, "60", 1, 1, "d"), (3, 1, "60.5", 1, 1, "d"), (4, 2, "99", 1, 1, "d"),
                 (5, 3, "1", 1, 1, "d"), (6, 1, None, 1, 1, "d"), (7, 1, "-1", 1, 1, "d"))
