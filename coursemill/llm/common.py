@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,11 +20,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """Compute once and keep the rows in the shared checkpoint folder, so that losing an executor loses nothing."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_dir(df.sparkSession, "checkpoint"))
-    return df.checkpoint()
+    """Compute once and keep the rows in the shared checkpoint folder, so that losing an executor loses nothing.
+
+    What was shuffled for them is deleted at once: nothing reads it again, and else it stays until the driver happens to
+    collect its garbage. The rows get a plan of their own for that, so frames that ``df`` is made of keep what they hold.
+    """
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(scratch_dir(spark, "checkpoint"))
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        return df.select("*").checkpoint()
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -33,17 +38,21 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 @contextmanager
-def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
-    """What runs inside sends Python so many rows at once: whole texts in batches of ten thousand take much memory."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """What runs inside has this setting of the session."""
     before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.set(key, before)
 
 
+def arrow_batches(spark: SparkSession, rows: int) -> AbstractContextManager[None]:
+    """What runs inside sends Python so many rows at once: whole texts in batches of ten thousand take much memory."""
+    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def shield(docs: DataFrame, own: list[str], added: tuple[str, ...] = ()) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
     """Columns other than ``own`` under names that no operator uses, and what gives them their names back.
 
