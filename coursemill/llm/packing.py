@@ -7,11 +7,13 @@ best window that ends there; since padding grows by one with each id that a wind
 head of a monotone queue of the places up to ``size`` ids back, or a power of two away. That is the minimum over all cuts.
 
 Every task packs what it reads, in chunks of about four million ids, so nothing is shuffled and memory is bounded. A chunk
-is cut into lanes of a few full windows each, which take their steps side by side.
+is cut into lanes of a few full windows each, which take their steps side by side. A lane ends at a sentence end a little
+before it is full: the ids that it lacks are the padding that its inner cuts may spend to reach sentence ends too.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +26,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from coursemill.llm.tokens import default_tokenizer, encoder
 
 #: Ids of a chunk and of a lane, and the costs of a cut at a sentence end and inside a sentence, in ids of padding.
-CHUNK, LANE, SENTENCE_CUT, INNER_CUT = 1 << 22, 1 << 12, 1.0, 4.0
+CHUNK, LANE, SENTENCE_CUT, INNER_CUT = 1 << 22, 1 << 12, 1.0, 32.0
 
 
 def unpadded(size: int) -> list[int]:
@@ -90,17 +92,34 @@ def lane_cuts(price: np.ndarray, length: np.ndarray, size: int) -> tuple[list[li
     return edges, best[length, own] - price[length, own]
 
 
+def lane_starts(ends: np.ndarray, lane: int) -> np.ndarray:
+    """Where lanes of at most ``lane`` ids begin: at the last end that leaves the lane before short of 3 ids in 512 or more.
+
+    Without one within a 64th of the lane it is the last end at all there, else the lane is full.
+    """
+    least, most, stops, starts = lane * 3 // 512, lane // 64, ends.tolist(), [0]
+    while stops[-1] - starts[-1] > lane:
+        full = starts[-1] + lane
+        for upto in (full - least, full):
+            at = bisect_right(stops, upto) - 1
+            if at >= 0 and stops[at] > max(full - most, starts[-1]):
+                starts.append(stops[at])
+                break
+        else:
+            starts.append(full)
+    return np.array(starts)
+
+
 def window_cuts(ends: np.ndarray, is_document: np.ndarray, size: int = 1024, lane: int = LANE) -> list[int]:
     """Window edges (0 first, the total last) over ids whose sentences end at ``ends``, in order, the last at the total.
 
-    They cost the least of all that have an edge at each multiple of ``lane``, a multiple of ``size``.
+    They cost the least of all that have an edge wherever a lane begins; ``lane`` is rounded to a multiple of ``size``.
     """
     total = int(ends[-1])
-    lane = size * max(1, lane // size)
-    begin = np.arange(0, total, lane)
-    length = np.minimum(lane, total - begin)
+    begin = lane_starts(ends, size * max(1, lane // size))
+    length = np.diff(np.append(begin, total))
     price = np.full((int(length.max()) + 1, len(length)), INNER_CUT, np.float32)
-    own = (ends - 1) // lane
+    own = np.searchsorted(begin, ends - 1, "right") - 1
     price[ends - begin[own], own] = np.where(is_document, 0.0, SENTENCE_CUT)
     edges = [0]
     for a, cuts in zip(begin.tolist(), lane_cuts(price, length, size)[0]):

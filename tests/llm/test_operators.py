@@ -176,6 +176,30 @@ def test_documents_without_sentence_ends_are_packed_without_padding():
         assert padded < 0.02 * ends[-1] and len(edges) < 1.05 * ends[-1] / 1024 + 12
 
 
+def test_window_cuts_reach_sentence_ends():
+    """Most cuts lie at sentence ends for little padding; the grid of full windows hits one in twenty."""
+    r = random.Random(8)
+    ends = np.cumsum([r.randint(3, 40) for _ in range(20_000)])
+    is_document = np.arange(len(ends)) % 50 == 49
+    is_document[-1] = True
+    edges = packing.window_cuts(ends, is_document)
+    total, length = int(ends[-1]), np.diff(edges)
+    assert edges[0] == 0 and edges[-1] == total and length.min() > 0 and length.max() <= 1024
+    price = np.full(total + 1, packing.INNER_CUT)
+    price[ends] = np.where(is_document, 0.0, packing.SENTENCE_CUT)
+    grid = [*range(0, total, 1024), total]
+    assert np.isin(grid[1:-1], ends).mean() < 0.1 and np.isin(edges[1:-1], ends).mean() > 0.5
+    assert sum(1024 - n for n in length.tolist() if n & (n - 1)) < 0.01 * total
+    assert cost_of_cuts(edges, price, 1024) < 0.8 * cost_of_cuts(grid, price, 1024)
+
+
+def test_lanes_begin_at_ends_and_are_full_without():
+    assert packing.lane_starts(np.array([10_000]), 4096).tolist() == [0, 4096, 8192]
+    ends = np.array([2000, 4030, 4060, 4090, 8170, 8186, 9000])
+    assert packing.lane_starts(ends, 4096).tolist() == [0, 4060, 4060 + 4096]
+    assert packing.lane_starts(ends[ends != 4060], 4096).tolist() == [0, 4090, 8186]
+
+
 def test_large_ids_beside_null_stay(spark):
     big = 9007199254740993
     docs = spark.createDataFrame([(big, "one two"), (None, "three"), (big + 2, None)], "doc_id bigint, text string").coalesce(1)
