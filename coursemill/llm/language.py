@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from coursemill.llm.common import shield
 DIMENSIONS, SEED = 1024, 20
-#: Texts whose trigrams are counted together.
-GROUP = 128
+#: Texts whose trigrams are counted together, and trigrams whose vectors are held at once.
+GROUP, VECTORS = 128, 512
 
 _letters: dict[int, np.ndarray] = {}
 _alpha: list[np.ndarray] = []
@@ -60,7 +60,10 @@ def _bundles(texts: list[str | None], owner: np.ndarray | None = None, owners: i
     cells = np.repeat(own, [len(g) for g in grams]) * len(keys) + index
     counts = np.bincount(cells, minlength=owners * len(keys)).reshape(owners, -1)
     kind = np.float32 if owner is None else np.float64  # sums of languages stay exact
-    return counts.astype(kind) @ trigram_vectors(keys).astype(kind)
+    bundles = np.zeros((owners, DIMENSIONS), kind)
+    for at in range(0, len(keys), VECTORS):  # sums of whole numbers: exact in any order
+        bundles += counts[:, at:at + VECTORS].astype(kind) @ trigram_vectors(keys[at:at + VECTORS]).astype(kind)
+    return bundles
 
 
 def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> dict[str, np.ndarray]:

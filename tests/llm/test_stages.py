@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import corpus_pipeline
+import numpy as np
 from pyspark.sql import functions as F
 
 from coursemill.llm import language
@@ -52,6 +54,20 @@ POLISH = ("Wszyscy ludzie rodzą się wolni i równi pod względem swej godnośc
           "powinni postępować wobec innych w duchu braterstwa. ")
 
 
+def test_language_holds_the_vectors_of_few_trigrams_at_once():
+    r = random.Random(3)
+    texts = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1000)) for _ in range(64)]
+    owner = np.arange(64) % 3
+    language._bundles(texts[:2])
+    tracemalloc.start()
+    alone, owned = language._bundles(texts), language._bundles(texts, owner, 3)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 40e6, f"{most / 1e6:.0f} MB"
+    assert (alone[5] == language.trigram_vectors(language.trigrams(texts[5])).sum(axis=0, dtype=np.int64)).all()
+    assert all((owned[k] == alone[owner == k].astype(np.float64).sum(axis=0)).all() for k in range(3))
+
+
 def test_language_bound_rises_smoothly_with_the_length(spark):
     given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     cut = [given.where(F.length("text") >= n).select((F.col("doc_id") + n * 10 ** 6).alias("doc_id"), F.substring("text", 1, n).alias("text"),
