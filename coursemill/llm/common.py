@@ -48,9 +48,18 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def arrow_batches(spark: SparkSession, rows: int) -> AbstractContextManager[None]:
     """What runs inside sends Python so many rows at once: whole texts in batches of ten thousand take much memory."""
-    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return setting(spark, BATCH, str(rows))
+
+
+def few_rows_to_python(spark: SparkSession, rows: int) -> None:
+    """The session sends Python at most so many rows at once from here on: for frames that run only when they are written."""
+    if not 0 < int(spark.conf.get(BATCH)) <= rows:
+        spark.conf.set(BATCH, str(rows))
 
 
 def shield(docs: DataFrame, own: list[str], added: tuple[str, ...] = ()) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:

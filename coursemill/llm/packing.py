@@ -27,6 +27,8 @@ from coursemill.llm.tokens import default_tokenizer, encoder
 
 #: Ids of a chunk and of a lane, and the costs of a cut at a sentence end and inside a sentence, in ids of padding.
 CHUNK, LANE, SENTENCE_CUT, INNER_CUT = 1 << 22, 1 << 12, 1.0, 32.0
+#: Ids that are looked up at once, and pieces that Spark is sent at once: a chunk's ids are 16 MB.
+LOOKED_UP, SENT = 1 << 16, 1 << 10
 
 
 def unpadded(size: int) -> list[int]:
@@ -45,8 +47,11 @@ def lane_cuts(price: np.ndarray, length: np.ndarray, size: int) -> tuple[list[li
     """
     steps, lanes = price.shape
     own = np.arange(lanes)
-    best = np.zeros((steps, lanes), np.float32)
-    source = np.zeros((steps, lanes), np.int32)
+    # Costs are kept for the places that a window may begin at, cuts as the length of the window before them.
+    recent = (1 << (size - 1).bit_length()) - 1
+    best, least = np.zeros((recent + 1, lanes), np.float32), np.zeros(lanes, np.float32)
+    ended = {n: np.flatnonzero(length == n) for n in np.unique(length).tolist()}
+    source = np.zeros((steps, lanes), np.min_scalar_type(size))
     shorts = [w for w in unpadded(size) if w < size]
     # Queues of places, the cheapest start first: rings of a power of two entries, one behind the other.
     mask = (1 << size.bit_length()) - 1
@@ -54,7 +59,7 @@ def lane_cuts(price: np.ndarray, length: np.ndarray, size: int) -> tuple[list[li
     worth, place = np.zeros(lanes * (mask + 1), np.float32), np.zeros(lanes * (mask + 1), np.int32)
     head, tail = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)  # entries head to below tail
     for p in range(1, steps):
-        new = best[p - 1] + np.float32(p - 1)
+        new = best[(p - 1) & recent] + np.float32(p - 1)
         # Starts that are no cheaper and leave the window sooner are of no more use.
         over = np.flatnonzero((worth[base + ((tail - 1) & mask)] >= new) & (tail > head))
         while len(over):
@@ -76,20 +81,22 @@ def lane_cuts(price: np.ndarray, length: np.ndarray, size: int) -> tuple[list[li
         cost = worth[first] + np.float32(size - p)
         for short in shorts:
             if p >= short:
-                free = best[p - short]
+                free = best[(p - short) & recent]
                 better = free < cost
                 cost = np.where(better, free, cost)
                 start = np.where(better, p - short, start)
-        source[p] = start
-        np.add(cost, price[p], out=best[p])
+        source[p] = p - start
+        np.add(cost, price[p], out=best[p & recent])
+        if p in ended:
+            least[ended[p]] = cost[ended[p]]
     edges = []
     for lane, end in enumerate(length.tolist()):
         at, cuts = end, [end]
         while at > 0:
-            at = int(source[at, lane])
+            at -= int(source[at, lane])
             cuts.append(at)
         edges.append(cuts[::-1])
-    return edges, best[length, own] - price[length, own]
+    return edges, least
 
 
 def lane_starts(ends: np.ndarray, lane: int) -> np.ndarray:
@@ -118,7 +125,7 @@ def window_cuts(ends: np.ndarray, is_document: np.ndarray, size: int = 1024, lan
     total = int(ends[-1])
     begin = lane_starts(ends, size * max(1, lane // size))
     length = np.diff(np.append(begin, total))
-    price = np.full((int(length.max()) + 1, len(length)), INNER_CUT, np.float32)
+    price = np.full((int(length.max()) + 1, len(length)), INNER_CUT, np.float16)  # which holds the costs exactly
     own = np.searchsorted(begin, ends - 1, "right") - 1
     price[ends - begin[own], own] = np.where(is_document, 0.0, SENTENCE_CUT)
     edges = [0]
@@ -132,13 +139,18 @@ def window_cuts(ends: np.ndarray, is_document: np.ndarray, size: int = 1024, lan
 
 
 def _pack(keys: list, coded: list[bytes], ends: np.ndarray, size: int, first: int, kind: pa.DataType) -> tuple[pa.RecordBatch, int]:
-    """Pieces of one chunk; ``first``: the sequence id to begin with."""
+    """Pieces of one chunk; ``first``: the sequence id to begin with. Empties ``coded``, whose ids are held joined."""
     raw = b"".join(coded)
     ids = np.frombuffer(raw, "<u4")
     stops = np.cumsum([len(c) // 4 for c in coded])
     last = np.zeros(len(ids), bool)
     last[stops - 1] = True
-    at = np.flatnonzero(last | ends[np.minimum(ids, len(ends) - 1)])
+    coded.clear()
+    stop = last.copy()
+    for a in range(0, len(ids), LOOKED_UP):
+        stop[a:a + LOOKED_UP] |= ends.take(ids[a:a + LOOKED_UP], mode="clip")
+    at = np.flatnonzero(stop)
+    del stop
     cuts = np.array(window_cuts(at + 1, last[at], size))
     edges = np.union1d(cuts, stops)
     edges = edges[edges > 0]
@@ -170,6 +182,9 @@ def pack_in_order(docs: DataFrame, size: int = 1024, tokenizer: str | None = Non
     id_type = rows.schema["doc_id"].dataType
     kind = to_arrow_type(id_type)
 
+    def sent(out: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        return (out.slice(at, SENT) for at in range(0, out.num_rows, SENT))
+
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(path)
         following = TaskContext.get().partitionId() << 33
@@ -183,10 +198,10 @@ def pack_in_order(docs: DataFrame, size: int = 1024, tokenizer: str | None = Non
                     n += len(ids) // 4 + 1
                     if n >= CHUNK:
                         out, following = _pack(keys, coded, code.ends, size, following, kind)
-                        yield out
+                        yield from sent(out)
                         keys, coded, n = [], [], 0
         if keys:
-            yield _pack(keys, coded, code.ends, size, following, kind)[0]
+            yield from sent(_pack(keys, coded, code.ends, size, following, kind)[0])
 
     return rows.mapInArrow(pieces, f"doc_id {id_type.simpleString()}, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, "
                                    "offset bigint, ids binary")

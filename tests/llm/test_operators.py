@@ -6,10 +6,12 @@ import os
 import random
 import re
 import sys
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -167,6 +169,19 @@ def test_window_cuts_are_cheapest():
         assert cost[0] == best[total] - price[total, 0] == cost_of_cuts(edges, price[:, 0], size)
 
 
+def test_packing_holds_a_chunk_in_little_memory():
+    r = np.random.default_rng(5)
+    ids = r.integers(0, 60000, 1 << 20).astype("<u4")
+    coded = [x.tobytes() for x in np.split(ids, np.arange(700, len(ids), 700))]
+    ends = r.random(50000) < 0.05
+    tracemalloc.start()
+    out = packing._pack(list(range(len(coded))), coded, ends, 1024, 0, pa.int64())[0]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 24e6, f"{most / 1e6:.0f} MB"  # 31 with costs of all places and ids held twice
+    assert b"".join(out["ids"].to_pylist()) == ids.tobytes() and not coded
+
+
 def test_documents_without_sentence_ends_are_packed_without_padding():
     for length in (1500, 2500, 3000):
         ends = np.arange(length, 400 * length, length)

@@ -9,9 +9,11 @@ from collections import Counter, defaultdict
 
 import corpus_pipeline
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
-from coursemill.llm import language
+from coursemill.llm import language, near
+from coursemill.llm.common import arrow_batches
 
 
 def plain_mix(rows, weights=(5, 2, 1), share=1.5, most=2.0, seed=7):
@@ -54,6 +56,25 @@ POLISH = ("Wszyscy ludzie rodzą się wolni i równi pod względem swej godnośc
           "powinni postępować wobec innych w duchu braterstwa. ")
 
 
+def test_stages_send_python_few_texts_at_once(spark, docs, monkeypatch):
+    """Also where rows are made only when they are written; numbers come in larger batches again."""
+    @F.pandas_udf("int")
+    def together(key: pd.Series) -> pd.Series:
+        return pd.Series([len(key)] * len(key))
+
+    given = docs(*[(i, POLISH * 2 + str(i), "pl", "a") for i in range(1000)]).coalesce(1)
+    for stage in (corpus_pipeline.language_id, corpus_pipeline.packing):
+        with arrow_batches(spark, 10_000):
+            out = stage(spark, given, "").select(together("doc_id").alias("n"))
+            assert 0 < out.agg(F.max("n")).first()[0] <= 256
+    with arrow_batches(spark, 256):
+        key = spark.range(0, 3000, 1, 1).select(F.col("id").alias("node"))
+        seen, plain = [], near._kept
+        monkeypatch.setattr(near, "_kept", lambda *own: seen.append(key.select(together("node").alias("n")).agg(F.max("n")).first()[0]) or plain(*own))
+        corpus_pipeline.near_dedup(spark, given.limit(5), "")
+    assert seen == [3000]
+
+
 def test_language_holds_the_vectors_of_few_trigrams_at_once():
     r = random.Random(3)
     texts = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1000)) for _ in range(64)]
