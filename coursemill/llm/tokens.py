@@ -13,6 +13,7 @@ import os
 import re
 import sys
 from array import array
+from functools import cached_property
 
 import numpy as np
 
@@ -31,20 +32,26 @@ def default_tokenizer() -> str:
 
 class Encoder:
     def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        vocabulary = self.tokenizer.get_vocab()
         names = byte_names()
+        self.quick = self._quick(spec, names)
+        added = spec.get("added_tokens") or []
+        vocabulary = self.tokenizer.get_vocab() if self.quick is None else spec["model"]["vocab"] | {t["content"]: t["id"] for t in added}
         stops = tuple("".join(names[b] for b in s.encode()) for s in STOPS)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that may end a sentence
         for token, i in vocabulary.items():
             self.ends[i] = token.endswith(stops)
-        self.added = [t["content"] for t in spec.get("added_tokens") or []]
-        self.quick = self._quick(spec, names)
+        self.added = [t["content"] for t in added]
+
+    @cached_property
+    def tokenizer(self):
+        """The tokenizers library itself: 30 MB that most workers never need."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
 
     @staticmethod
     def _quick(spec: dict, names: list[str]):

@@ -248,6 +248,17 @@ def test_quick_ids_are_those_of_the_library_for_any_characters():
     assert code.encode(cases) == want and sum(bool(tokens.KNOWN.fullmatch(c)) for c in cases) > 50
 
 
+def test_plain_texts_do_not_load_the_library():
+    code = tokens.Encoder(tokens.default_tokenizer())
+    ids = code.encode(["Plain words. Więcej słów!", "", None])
+    assert ids[0] and "tokenizer" not in vars(code)
+    vocabulary = code.tokenizer.get_vocab()
+    assert len(code.ends) == max(vocabulary.values()) + 1
+    assert np.frombuffer(ids[0], "<u4").tolist() == code.tokenizer.encode("Plain words. Więcej słów!", add_special_tokens=False).ids
+    code.encode(["\u0378"])
+    assert "tokenizer" in vars(code)
+
+
 def test_matrices_are_lossless_and_best_fit():
     r = random.Random(2)
     sizes = [r.randint(1, 64) for _ in range(400)]
